@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from textfeat.catalog import inputs
 from textfeat.functions import names, text
 from textfeat.operators import clean, terms
+from textfeat.plans import sizing
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in inputs.STOP_WORDS)
 
@@ -39,20 +40,20 @@ def doc_variant_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_id_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    books = inputs.books(spark, sf_dir)
+    books = sizing.spread(inputs.books(spark, sf_dir))
     return books.select("doc_id", text.document_id(F.col("text")).alias("ebook_id"))
 
 
 def strip_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.books(spark, sf_dir).select("doc_id", text.strip_header(F.col("text")).alias("body"))
+    return sizing.spread(inputs.books(spark, sf_dir)).select("doc_id", text.strip_header(F.col("text")).alias("body"))
 
 
 def strip_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.identify(inputs.books(spark, sf_dir).select("text"), keep_unidentified=True)
+    return clean.identify(sizing.spread(inputs.books(spark, sf_dir)), keep_unidentified=True)
 
 
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.tokenize(inputs.documents(spark, sf_dir))
+    return terms.tokenize(sizing.spread(inputs.documents(spark, sf_dir)))
 
 
 def stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

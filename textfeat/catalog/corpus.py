@@ -28,8 +28,7 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_term_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = stage(word_count(spark, sf_dir), "counts")
-    lists = terms.term_lists(counts, "cnt", "terms")
+    lists = terms.term_lists(stage(word_count(spark, sf_dir), "counts"), "cnt", "terms")
     items = F.transform("terms", lambda t: F.concat_ws(":", t["word"], t["cnt"].cast("string")))
     return lists.select(
         "doc_id", "part", F.size("terms").cast("bigint").alias("n_terms"), F.array_join(items, " ").alias("terms")
@@ -107,24 +106,21 @@ def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _batch_states(spark: SparkSession, sf_dir: str) -> str:
-    """Frequency state of every batch of documents, written batch by batch."""
-    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"))
-    counts = terms.term_counts(docs).select("doc_id", "word", (F.col("doc_id") % BATCHES).alias("batch"))
-    counts = stage(counts, "counts")
+def _batch_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequency states of the batches of documents, written and read back."""
+    counts = word_count(spark, sf_dir).select("doc_id", "word", (F.col("doc_id") % BATCHES).alias("batch"))
     path = stage_path(spark, "states")
-    for batch in range(BATCHES):
-        frequency.write_state(counts.where(F.col("batch") == batch).drop("batch"), path, batch)
-    return path
+    frequency.write_states(stage(counts, "counts"), path)
+    return frequency.read_state(spark, path)
 
 
 def df_batch_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = frequency.read_state(spark, _batch_states(spark, sf_dir))
+    states = _batch_states(spark, sf_dir)
     return weights.state_frequency(weights.merge_states(states))
 
 
 def df_resume_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = frequency.read_state(spark, _batch_states(spark, sf_dir))
+    states = _batch_states(spark, sf_dir)
     saved = weights.merge_states(states.where(F.col("batch") < BATCHES - 1))
     saved = stage(saved, "saved")
     merged = stage(weights.merge_states(saved, states.where(F.col("batch") == BATCHES - 1)), "merged")

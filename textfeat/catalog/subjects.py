@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from textfeat.catalog import features, inputs
 from textfeat.operators import folds as fold_ops
 from textfeat.operators import subjects
-from textfeat.plans import runs
+from textfeat.plans import runs, sizing
 from textfeat.plans.staging import stage
 from textfeat.sources import metadata as rdf
 
@@ -17,7 +17,7 @@ SEED = 42
 
 
 def subjects_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = rdf.last_by_path(rdf.parse_rdf(inputs.rdf_files(spark, sf_dir)))
+    parsed = rdf.last_by_path(rdf.parse_rdf(sizing.spread(inputs.rdf_files(spark, sf_dir))))
     items = F.transform("subjects", lambda s: F.concat_ws("|", s["subject"], s["taxonomy"]))
     return parsed.select("doc_id", F.array_join(F.sort_array(items), " ").alias("subjects"))
 

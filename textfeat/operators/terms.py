@@ -4,10 +4,15 @@ from collections.abc import Collection
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from textfeat.functions import text
 from textfeat.plans import sizing
+from textfeat.plans.staging import stage
+
+StopWords = DataFrame | Collection[str]
+
+# Stop words kept as a set inside the expression; a longer list is joined.
+INLINE_STOP_WORDS = 10_000
 
 # Terms per list; longer documents get several lists.
 TERMS_PER_LIST = 100_000
@@ -19,7 +24,7 @@ def tokenize(docs: DataFrame, body: str = "body", keep_empty: bool = False) -> D
     return words if keep_empty else words.where("word <> ''")
 
 
-def remove_stop_words(words: DataFrame, stop_words: DataFrame | Collection[str]) -> DataFrame:
+def remove_stop_words(words: DataFrame, stop_words: StopWords) -> DataFrame:
     """Rows whose ``word`` is not listed. Runs a row count when given a DataFrame."""
     if isinstance(stop_words, DataFrame):
         listed = stop_words.select("word")
@@ -27,39 +32,93 @@ def remove_stop_words(words: DataFrame, stop_words: DataFrame | Collection[str])
     return words.where(~F.col("word").isin(list(stop_words))) if stop_words else words
 
 
+def _inline(stop_words: StopWords) -> StopWords:
+    """A short table of stop words as a list; anything else unchanged."""
+    if isinstance(stop_words, DataFrame):
+        listed = stop_words.select("word").limit(INLINE_STOP_WORDS + 1).collect()
+        return [row["word"] for row in listed] if len(listed) <= INLINE_STOP_WORDS else stop_words
+    return stop_words
+
+
+def count_in_place(
+    docs: DataFrame, body: str = "body", stop_words: Collection[str] = (), keep_empty: bool = False
+) -> DataFrame:
+    """``doc_id, terms array<struct<word, cnt>>, max_cnt``, one row per text, sorted by word.
+
+    Each text is counted within its own row: its words are sorted, the ends of the runs of
+    equal words are found, and the distance between two ends is a count. No shuffle.
+    """
+    listed = list(stop_words)
+
+    def wanted(word):
+        keep = F.lit(True) if keep_empty else word != ""
+        return keep & ~word.isin(listed) if listed else keep
+
+    # One select per step: each reads the array of the step before more than once, which
+    # keeps the optimizer from merging them and computing an array again for every element.
+    words = docs.select("doc_id", F.sort_array(F.filter(text.tokens(F.col(body)), wanted)).alias("words"))
+    size = F.size("words")
+    places = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
+    ends = words.select(
+        "doc_id",
+        "words",
+        F.filter(places, lambda i: (i == size) | (F.get("words", i) != F.get("words", i - 1))).alias("ends"),
+    )
+
+    def term(end, nth):
+        count = end - F.coalesce(F.get("ends", nth - 1), F.lit(0))
+        return F.struct(F.get("words", end - 1).alias("word"), count.cast("bigint").alias("cnt"))
+
+    counted = ends.select("doc_id", F.transform("ends", term).alias("terms"))
+    return counted.select("doc_id", "terms", F.array_max(F.col("terms.cnt")).alias("max_cnt"))
+
+
+def _counts_in_place(docs, body, stop_words, keep_empty) -> DataFrame:
+    # The outer form and the filter after it: for the plain form the optimizer derives a
+    # filter on the array and pushes it below the selects that build the array.
+    rows = count_in_place(docs, body, stop_words, keep_empty)
+    return rows.select("doc_id", F.inline_outer("terms"), "max_cnt").where("word IS NOT NULL")
+
+
+def _counts_combined(docs, body, stop_words, keep_empty, with_max) -> DataFrame:
+    words = remove_stop_words(tokenize(docs, body, keep_empty), stop_words)
+    counts = words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.join(max_counts(counts), "doc_id") if with_max else counts
+
+
 def term_counts(
     docs: DataFrame,
     body: str = "body",
-    stop_words: DataFrame | Collection[str] = (),
+    stop_words: StopWords = (),
     keep_empty: bool = False,
     with_max: bool = False,
-    colocate: bool | None = None,
+    max_repeated: int = sizing.BROADCAST_ROWS,
 ) -> DataFrame:
     """``doc_id, word, cnt`` and, with ``with_max``, the highest count of the document.
 
-    Texts with the same id add up. Two plans give the same rows:
+    Texts with the same id add up. One job over the ids finds those that repeat:
 
-    * co-located: the texts are shuffled once by id, and nothing after that needs another
-      shuffle, neither the count nor the maximum. Text is several times smaller than the
-      rows counted from it.
-    * combined: counts are combined in each task and shuffled by id and word, so that an id
-      shared by very many texts spreads over all tasks.
+    * none: every text is counted in its own row, nothing is shuffled;
+    * up to ``max_repeated``: these ids, broadcast, set the texts to be merged apart;
+    * more: all texts are merged.
 
-    Unless ``colocate`` decides, a look at the ids alone does (one job): the first plan where
-    no id has more than ``sizing.ROWS_PER_ID`` texts, else the second.
+    Merging combines counts in each task before it shuffles them by id and word, so an id
+    shared by very many texts still spreads over all tasks.
     """
-    if colocate is None:
-        colocate = not sizing.has_hot_key(docs, "doc_id")
-    docs = docs.select("doc_id", body)
-    if colocate:
-        docs = docs.repartition("doc_id")
-    words = remove_stop_words(tokenize(docs, body, keep_empty), stop_words)
-    counts = words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("cnt"))
-    if not with_max:
-        return counts
-    if colocate:
-        return counts.withColumn("max_cnt", F.max("cnt").over(W.partitionBy("doc_id")))
-    return counts.join(max_counts(counts), "doc_id").select("doc_id", "word", "cnt", "max_cnt")
+    stop_words = _inline(stop_words)
+    columns = ["doc_id", "word", "cnt"] + (["max_cnt"] if with_max else [])
+    n_texts, n_repeated = sizing.key_profile(docs, "doc_id")
+    docs = sizing.spread(docs.select("doc_id", body), n_texts)
+    if n_repeated > max_repeated or isinstance(stop_words, DataFrame):
+        return _counts_combined(docs, body, stop_words, keep_empty, with_max).select(columns)
+    if n_repeated == 0:
+        return _counts_in_place(docs, body, stop_words, keep_empty).select(columns)
+    repeated = F.broadcast(stage(sizing.repeated_keys(docs, "doc_id"), "repeated"))
+    alone = docs.join(repeated, "doc_id", "left_anti")
+    shared = docs.join(repeated, "doc_id", "left_semi")
+    alone = _counts_in_place(alone, body, stop_words, keep_empty).select(columns)
+    shared = _counts_combined(shared, body, stop_words, keep_empty, with_max).select(columns)
+    return alone.unionByName(shared)
 
 
 def max_counts(counts: DataFrame) -> DataFrame:

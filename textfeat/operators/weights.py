@@ -62,14 +62,17 @@ def tfidf(tf: DataFrame, idf: DataFrame, max_rows: int = sizing.BROADCAST_ROWS)
     return joined.select("doc_id", "word", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
-# Document-frequency state: one row per batch and word, and one row per batch whose word is
-# null and whose df counts the documents of the batch. Both add up under the same rule.
+# Document-frequency state: a row per word, and one row whose word is null and whose df counts
+# the documents. Batches, where told apart by a column, each have such rows; all add up under
+# the same rule.
 
 
-def frequency_state(counts: DataFrame) -> DataFrame:
-    """``word, df`` of one batch, the number of its documents under the null word."""
-    size = corpus_size(counts).select(F.lit(None).cast("string").alias("word"), F.col("n_docs").alias("df"))
-    return document_frequency(counts).unionByName(size)
+def frequency_state(counts: DataFrame, *keys: str) -> DataFrame:
+    """``keys, word, df``: the state of ``counts``, of each batch where ``keys`` tell batches
+    apart. Stage ``counts`` before: they are read twice."""
+    words = counts.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("df"))
+    sizes = counts.groupBy(*keys).agg(F.countDistinct("doc_id").alias("df"))
+    return words.unionByName(sizes.select(*keys, F.lit(None).cast("string").alias("word"), "df"))
 
 
 def merge_states(*states: DataFrame) -> DataFrame:

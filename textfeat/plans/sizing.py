@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 # Rows that may be broadcast. A vocabulary row is about 50 bytes, so about 50 MB.
 BROADCAST_ROWS = 1_000_000
 
-# Texts that may share an id and still be sent to one task together.
-ROWS_PER_ID = 1_000
+# Texts per core below which they are spread over the cluster before heavy work.
+SPREAD_ROWS = 10_000
 
 
 def within(df: DataFrame, max_rows: int) -> bool:
@@ -20,7 +20,33 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if within(df, max_rows) else df
 
 
-def has_hot_key(df: DataFrame, key: str, max_rows: int = ROWS_PER_ID) -> bool:
+def _key_sizes(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def has_hot_key(df: DataFrame, key: str, max_rows: int) -> bool:
     """Whether one key value has more than ``max_rows`` rows. Reads the key column only."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return not sizes.where(F.col("n") > max_rows).isEmpty()
+    return not _key_sizes(df, key).where(F.col("n") > max_rows).isEmpty()
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """Key values with more than one row."""
+    return _key_sizes(df, key).where("n > 1").select(key)
+
+
+def key_profile(df: DataFrame, key: str) -> tuple[int, int]:
+    """Number of rows, number of key values with more than one row; reads the key only."""
+    found = _key_sizes(df, key).agg(F.sum("n"), F.count_if(F.col("n") > 1)).first()
+    return found[0] or 0, found[1]
+
+
+def spread(df: DataFrame, n_rows: int | None = None) -> DataFrame:
+    """``df`` over all cores where it has so few rows that its files may not fill them.
+
+    A file is split between row groups only, and a small one has a single row group. Larger
+    inputs come back as they are, without a shuffle. Counts rows unless told their number.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    limit = cores * SPREAD_ROWS
+    small = within(df, limit) if n_rows is None else n_rows <= limit
+    return df.repartition(cores) if small else df

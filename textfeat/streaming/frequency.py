@@ -19,10 +19,10 @@ from textfeat.sources import datasets
 STATE_SCHEMA = "word string, df bigint, batch bigint"
 
 
-def write_state(counts: DataFrame, path: str, batch: int) -> None:
-    """Write the frequency state of one batch, replacing that batch only."""
-    state = weights.frequency_state(counts).withColumn("batch", F.lit(int(batch)).cast("bigint"))
-    datasets.write_dataset(state, path, ["batch"])
+def write_states(counts: DataFrame, path: str) -> None:
+    """Write the frequency state of each batch in ``doc_id, word, batch``, replacing these
+    batches only."""
+    datasets.write_dataset(weights.frequency_state(counts, "batch"), path, ["batch"])
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
@@ -45,7 +45,8 @@ def maintain_state(
 
     def count_batch(batch: DataFrame, batch_id: int) -> None:
         counts = terms.term_counts(batch, body, stop_words)
-        write_state(stage(counts.select("doc_id", "word"), "batch"), state_path, batch_id)
+        counts = counts.select("doc_id", "word", F.lit(batch_id).cast("bigint").alias("batch"))
+        write_states(stage(counts, "batch"), state_path)
 
     return (
         docs.writeStream.foreachBatch(count_batch)
