@@ -57,12 +57,17 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(runs.frequency_state(inputs.documents(spark, sf_dir)), "state")
+
+
 def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_corpus(spark, sf_dir).vocabulary().select("word", "df", _six("idf"))
+    return weights.state_idf(_state(spark, sf_dir)).select("word", "df", _six("idf"))
 
 
 def vocab_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_corpus(spark, sf_dir).vocabulary(MIN_DOC_PCT).select("word", "df", _six("idf"))
+    kept = weights.state_idf(_state(spark, sf_dir), MIN_DOC_PCT)
+    return kept.select("word", "df", _six("idf"))
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,9 +113,10 @@ def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _batch_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequency states of the batches of documents, written and read back."""
-    counts = word_count(spark, sf_dir).select("doc_id", "word", (F.col("doc_id") % BATCHES).alias("batch"))
+    batch = (F.col("doc_id") % BATCHES).alias("batch")
+    docs = inputs.documents(spark, sf_dir).select("doc_id", "body", batch)
     path = stage_path(spark, "states")
-    frequency.write_states(stage(counts, "counts"), path)
+    frequency.write_states(runs.frequency_state(docs, keys=["batch"]), path)
     return frequency.read_state(spark, path)
 
 

@@ -1,6 +1,6 @@
 """Words of documents and their counts."""
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +18,9 @@ INLINE_STOP_WORDS = 10_000
 TERMS_PER_LIST = 100_000
 
 
-def tokenize(docs: DataFrame, body: str = "body", keep_empty: bool = False) -> DataFrame:
-    """``doc_id, word``, one row per occurrence."""
-    words = docs.select("doc_id", F.explode(text.tokens(F.col(body))).alias("word"))
+def tokenize(docs: DataFrame, body: str = "body", keep_empty: bool = False, keys: Sequence[str] = ()) -> DataFrame:
+    """``keys, doc_id, word``, one row per occurrence."""
+    words = docs.select(*keys, "doc_id", F.explode(text.tokens(F.col(body))).alias("word"))
     return words if keep_empty else words.where("word <> ''")
 
 
@@ -32,7 +32,7 @@ def remove_stop_words(words: DataFrame, stop_words: StopWords) -> DataFrame:
     return words.where(~F.col("word").isin(list(stop_words))) if stop_words else words
 
 
-def _inline(stop_words: StopWords) -> StopWords:
+def inline_stop_words(stop_words: StopWords) -> StopWords:
     """A short table of stop words as a list; anything else unchanged."""
     if isinstance(stop_words, DataFrame):
         listed = stop_words.select("word").limit(INLINE_STOP_WORDS + 1).collect()
@@ -41,14 +41,18 @@ def _inline(stop_words: StopWords) -> StopWords:
 
 
 def count_in_place(
-    docs: DataFrame, body: str = "body", stop_words: Collection[str] = (), keep_empty: bool = False
+    docs: DataFrame,
+    body: str = "body",
+    stop_words: Collection[str] = (),
+    keep_empty: bool = False,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc_id, terms array<struct<word, cnt>>, max_cnt``, one row per text, sorted by word.
+    """``keys, doc_id, terms array<struct<word, cnt>>, max_cnt``, one row per text, by word.
 
     Each text is counted within its own row: its words are sorted, the ends of the runs of
     equal words are found, and the distance between two ends is a count. No shuffle.
     """
-    listed = list(stop_words)
+    listed, ids = list(stop_words), [*keys, "doc_id"]
 
     def wanted(word):
         keep = F.lit(True) if keep_empty else word != ""
@@ -56,11 +60,11 @@ def count_in_place(
 
     # One select per step: each reads the array of the step before more than once, which
     # keeps the optimizer from merging them and computing an array again for every element.
-    words = docs.select("doc_id", F.sort_array(F.filter(text.tokens(F.col(body)), wanted)).alias("words"))
+    words = docs.select(*ids, F.sort_array(F.filter(text.tokens(F.col(body)), wanted)).alias("words"))
     size = F.size("words")
     places = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
     ends = words.select(
-        "doc_id",
+        *ids,
         "words",
         F.filter(places, lambda i: (i == size) | (F.get("words", i) != F.get("words", i - 1))).alias("ends"),
     )
@@ -69,8 +73,8 @@ def count_in_place(
         count = end - F.coalesce(F.get("ends", nth - 1), F.lit(0))
         return F.struct(F.get("words", end - 1).alias("word"), count.cast("bigint").alias("cnt"))
 
-    counted = ends.select("doc_id", F.transform("ends", term).alias("terms"))
-    return counted.select("doc_id", "terms", F.array_max(F.col("terms.cnt")).alias("max_cnt"))
+    counted = ends.select(*ids, F.transform("ends", term).alias("terms"))
+    return counted.select(*ids, "terms", F.array_max(F.col("terms.cnt")).alias("max_cnt"))
 
 
 def _counts_in_place(docs, body, stop_words, keep_empty) -> DataFrame:
@@ -80,9 +84,24 @@ def _counts_in_place(docs, body, stop_words, keep_empty) -> DataFrame:
     return rows.select("doc_id", F.inline_outer("terms"), "max_cnt").where("word IS NOT NULL")
 
 
+def count_combined(
+    docs: DataFrame,
+    body: str = "body",
+    stop_words: StopWords = (),
+    keep_empty: bool = False,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """``keys, doc_id, word, cnt``: texts with the same keys and id add up.
+
+    Counts are combined in each task before they are shuffled by id and word, so an id shared
+    by very many texts still spreads over all tasks.
+    """
+    words = remove_stop_words(tokenize(docs, body, keep_empty, keys), stop_words)
+    return words.groupBy(*keys, "doc_id", "word").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def _counts_combined(docs, body, stop_words, keep_empty, with_max) -> DataFrame:
-    words = remove_stop_words(tokenize(docs, body, keep_empty), stop_words)
-    counts = words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = count_combined(docs, body, stop_words, keep_empty)
     return counts.join(max_counts(counts), "doc_id") if with_max else counts
 
 
@@ -100,12 +119,9 @@ def term_counts(
 
     * none: every text is counted in its own row, nothing is shuffled;
     * up to ``max_repeated``: these ids, broadcast, set the texts to be merged apart;
-    * more: all texts are merged.
-
-    Merging combines counts in each task before it shuffles them by id and word, so an id
-    shared by very many texts still spreads over all tasks.
+    * more: all texts are merged, see ``count_combined``.
     """
-    stop_words = _inline(stop_words)
+    stop_words = inline_stop_words(stop_words)
     columns = ["doc_id", "word", "cnt"] + (["max_cnt"] if with_max else [])
     n_texts, n_repeated = sizing.key_profile(docs, "doc_id")
     docs = sizing.spread(docs.select("doc_id", body), n_texts)

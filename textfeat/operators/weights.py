@@ -75,6 +75,17 @@ def frequency_state(counts: DataFrame, *keys: str) -> DataFrame:
     return words.unionByName(sizes.select(*keys, F.lit(None).cast("string").alias("word"), "df"))
 
 
+def frequency_state_in_place(rows: DataFrame, *keys: str) -> DataFrame:
+    """The same state from ``terms.count_in_place``, in one pass: a text hands on its words
+    and, unless it has none, one null word that counts the text itself."""
+    words = F.transform("terms", lambda t: F.struct(t["word"].alias("word")))
+    text = F.array(F.struct(F.lit(None).cast("string").alias("word")))
+    # The outer form, as in terms: no filter on the array may be pushed below its making.
+    entry = F.explode_outer(F.when(F.size("terms") > 0, F.concat(words, text))).alias("entry")
+    entries = rows.select(*keys, entry).where("entry IS NOT NULL")
+    return entries.groupBy(*keys, F.col("entry.word").alias("word")).agg(F.count(F.lit(1)).alias("df"))
+
+
 def merge_states(*states: DataFrame) -> DataFrame:
     """Sum of batches; one table holding several batches will do as well."""
     merged = states[0].select("word", "df")
@@ -93,6 +104,10 @@ def state_frequency(state: DataFrame) -> DataFrame:
     return state.where("word IS NOT NULL")
 
 
-def state_idf(state: DataFrame) -> DataFrame:
-    """``word, df, idf`` of a merged state, which should be staged: it is read twice."""
-    return inverse_document_frequency(state_frequency(state), state_size(state))
+def state_idf(state: DataFrame, min_doc_pct: float = 0.0) -> DataFrame:
+    """``word, df, idf`` of the terms in at least ``min_doc_pct`` percent of the documents of
+    a merged state, which should be staged: it is read twice."""
+    df, n_docs = state_frequency(state), state_size(state)
+    if min_doc_pct > 0:
+        df = prune_vocabulary(df, n_docs, min_doc_pct)
+    return inverse_document_frequency(df, n_docs)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 
 from textfeat.operators import folds as fold_ops
 from textfeat.operators import hashing, models, subjects, terms, weights
+from textfeat.plans import sizing
 from textfeat.plans.staging import stage, stage_path
 from textfeat.sources import datasets
 
@@ -28,16 +29,13 @@ class Corpus:
 
     def vocabulary(self, min_doc_pct: float = 0.0) -> DataFrame:
         """``word, df, idf`` of the terms in at least ``min_doc_pct`` percent of documents."""
-        df = weights.state_frequency(self.state)
-        if min_doc_pct > 0:
-            df = weights.prune_vocabulary(df, self.size, min_doc_pct)
-        return weights.inverse_document_frequency(df, self.size)
+        return weights.state_idf(self.state, min_doc_pct)
 
 
 def count_corpus(
     docs: DataFrame,
     body: str = "body",
-    stop_words: DataFrame | Collection[str] = (),
+    stop_words: terms.StopWords = (),
     keep_empty: bool = False,
     earlier: DataFrame | None = None,
 ) -> Corpus:
@@ -54,6 +52,28 @@ def count_corpus(
     return Corpus(counts, stage(state, "state"))
 
 
+def frequency_state(
+    docs: DataFrame,
+    body: str = "body",
+    stop_words: terms.StopWords = (),
+    keep_empty: bool = False,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Document-frequency state alone, where no counts are needed afterwards.
+
+    With unique ids, which one job over the ids tells, the texts are read once and only their
+    words are shuffled, combined per task; else counts are merged and staged first.
+    """
+    stop_words = terms.inline_stop_words(stop_words)
+    n_texts, n_repeated = sizing.key_profile(docs, *keys, "doc_id")
+    docs = sizing.spread(docs.select(*keys, "doc_id", body), n_texts)
+    if n_repeated == 0 and not isinstance(stop_words, DataFrame):
+        rows = terms.count_in_place(docs, body, stop_words, keep_empty, keys)
+        return weights.frequency_state_in_place(rows, *keys)
+    counts = terms.count_combined(docs, body, stop_words, keep_empty, keys)
+    return weights.frequency_state(stage(counts, "counts"), *keys)
+
+
 def build_vectors(
     corpus: Corpus,
     lengths: Sequence[int],

@@ -20,8 +20,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if within(df, max_rows) else df
 
 
-def _key_sizes(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+def _key_sizes(df: DataFrame, *key: str) -> DataFrame:
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
 
 
 def has_hot_key(df: DataFrame, key: str, max_rows: int) -> bool:
@@ -34,9 +34,9 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     return _key_sizes(df, key).where("n > 1").select(key)
 
 
-def key_profile(df: DataFrame, key: str) -> tuple[int, int]:
+def key_profile(df: DataFrame, *key: str) -> tuple[int, int]:
     """Number of rows, number of key values with more than one row; reads the key only."""
-    found = _key_sizes(df, key).agg(F.sum("n"), F.count_if(F.col("n") > 1)).first()
+    found = _key_sizes(df, *key).agg(F.sum("n"), F.count_if(F.col("n") > 1)).first()
     return found[0] or 0, found[1]
 
 

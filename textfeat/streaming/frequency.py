@@ -12,17 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from textfeat.operators import terms, weights
-from textfeat.plans.staging import stage
+from textfeat.plans import runs
 from textfeat.sources import datasets
 
 STATE_SCHEMA = "word string, df bigint, batch bigint"
 
 
-def write_states(counts: DataFrame, path: str) -> None:
-    """Write the frequency state of each batch in ``doc_id, word, batch``, replacing these
-    batches only."""
-    datasets.write_dataset(weights.frequency_state(counts, "batch"), path, ["batch"])
+def write_states(states: DataFrame, path: str) -> None:
+    """Write ``batch, word, df``, replacing the batches in it only."""
+    datasets.write_dataset(states, path, ["batch"])
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
@@ -44,9 +42,8 @@ def maintain_state(
     """
 
     def count_batch(batch: DataFrame, batch_id: int) -> None:
-        counts = terms.term_counts(batch, body, stop_words)
-        counts = counts.select("doc_id", "word", F.lit(batch_id).cast("bigint").alias("batch"))
-        write_states(stage(counts, "batch"), state_path)
+        state = runs.frequency_state(batch, body, stop_words)
+        write_states(state.withColumn("batch", F.lit(batch_id).cast("bigint")), state_path)
 
     return (
         docs.writeStream.foreachBatch(count_batch)
