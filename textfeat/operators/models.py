@@ -78,7 +78,7 @@ def labelled_points(rows: DataFrame, *others: str) -> DataFrame:
 
 def fit(setting: Setting, training: DataFrame):
     """Train on ``label, features``. Runs the jobs of the estimator."""
-    return setting.estimator.fit(labelled_points(training))
+    return setting.estimator.copy().fit(labelled_points(training))
 
 
 def predict(model, rows: DataFrame, *others: str) -> DataFrame:
