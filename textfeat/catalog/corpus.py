@@ -28,7 +28,7 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_term_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = terms.term_lists(stage(word_count(spark, sf_dir), "counts"), "cnt", "terms")
+    lists = terms.frequency_lists(inputs.documents(spark, sf_dir))
     items = F.transform("terms", lambda t: F.concat_ws(":", t["word"], t["cnt"].cast("string")))
     return lists.select(
         "doc_id", "part", F.size("terms").cast("bigint").alias("n_terms"), F.array_join(items, " ").alias("terms")
@@ -75,18 +75,17 @@ def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.term_frequency(counts).select("doc_id", "word", _six("tf"))
 
 
-def tfidf_weights(spark: SparkSession, sf_dir: str, min_doc_pct: float = 0.0) -> DataFrame:
-    corpus = count_corpus(spark, sf_dir)
+def _weights(corpus: runs.Corpus, min_doc_pct: float = 0.0) -> DataFrame:
     return weights.tfidf(corpus.tf, stage(corpus.vocabulary(min_doc_pct), "vocabulary"))
 
 
 def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tfidf_weights(spark, sf_dir).select("doc_id", "word", _six("tfidf"))
+    return _weights(count_corpus(spark, sf_dir)).select("doc_id", "word", _six("tfidf"))
 
 
 def tfidf_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pruned = stage(tfidf_weights(spark, sf_dir, MIN_DOC_PCT), "weights")
-    vectors = terms.term_lists(pruned, "tfidf", "vector")
+    corpus = count_corpus(spark, sf_dir)
+    vectors = terms.term_lists(_weights(corpus, MIN_DOC_PCT), "tfidf", "vector", counts=corpus.counts)
     total = F.aggregate("vector", F.lit(0.0), lambda acc, t: acc + t["tfidf"])
     return vectors.select(
         "doc_id",

@@ -50,7 +50,8 @@ def count_in_place(
     """``keys, doc_id, terms array<struct<word, cnt>>, max_cnt``, one row per text, by word.
 
     Each text is counted within its own row: its words are sorted, the ends of the runs of
-    equal words are found, and the distance between two ends is a count. No shuffle.
+    equal words are found, and the distance between two ends is a count. No shuffle. Texts
+    without words give no row.
     """
     listed, ids = list(stop_words), [*keys, "doc_id"]
 
@@ -74,14 +75,11 @@ def count_in_place(
         return F.struct(F.get("words", end - 1).alias("word"), count.cast("bigint").alias("cnt"))
 
     counted = ends.select(*ids, F.transform("ends", term).alias("terms"))
-    return counted.select(*ids, "terms", F.array_max(F.col("terms.cnt")).alias("max_cnt"))
-
-
-def _counts_in_place(docs, body, stop_words, keep_empty) -> DataFrame:
-    # The outer form and the filter after it: for the plain form the optimizer derives a
-    # filter on the array and pushes it below the selects that build the array.
-    rows = count_in_place(docs, body, stop_words, keep_empty)
-    return rows.select("doc_id", F.inline_outer("terms"), "max_cnt").where("word IS NOT NULL")
+    counted = counted.select(*ids, "terms", F.array_max(F.col("terms.cnt")).alias("max_cnt"))
+    # Handed on through a generator: a later filter on the result then stays above it, where
+    # otherwise it would be pushed below the selects with the arrays built once more inside it.
+    filled = F.when(F.size("terms") > 0, F.array(F.struct("terms", "max_cnt")))
+    return counted.select(*ids, F.inline_outer(filled)).where("terms IS NOT NULL")
 
 
 def count_combined(
@@ -128,15 +126,20 @@ def term_counts(
     if n_repeated > max_repeated or isinstance(stop_words, DataFrame):
         return _counts_combined(docs, body, stop_words, keep_empty, with_max).select(columns)
     if n_repeated == 0:
-        return _counts_in_place(docs, body, stop_words, keep_empty).select(columns)
+        return flatten_terms(count_in_place(docs, body, stop_words, keep_empty)).select(columns)
     repeated = F.broadcast(stage(sizing.repeated_keys(docs, "doc_id"), "repeated"))
     alone = docs.join(repeated, "doc_id", "left_anti")
     shared = docs.join(repeated, "doc_id", "left_semi")
-    alone = _counts_in_place(alone, body, stop_words, keep_empty).select(columns)
+    alone = flatten_terms(count_in_place(alone, body, stop_words, keep_empty)).select(columns)
     shared = _counts_combined(shared, body, stop_words, keep_empty, with_max).select(columns)
     return alone.unionByName(shared)
 
 
+def flatten_terms(rows: DataFrame) -> DataFrame:
+    """``doc_id, word, cnt, max_cnt`` from ``count_in_place``."""
+    return rows.select("doc_id", F.inline("terms"), "max_cnt")
+
+
 def max_counts(counts: DataFrame) -> DataFrame:
     """``doc_id, max_cnt``."""
     return counts.groupBy("doc_id").agg(F.max("cnt").alias("max_cnt"))
@@ -149,21 +152,41 @@ def term_frequency(counts: DataFrame) -> DataFrame:
     return counts.select("doc_id", "word", (F.col("cnt") / F.col("max_cnt")).alias("tf"))
 
 
-def term_lists(rows: DataFrame, value: str, alias: str, max_terms: int = TERMS_PER_LIST) -> DataFrame:
+def term_lists(
+    rows: DataFrame, value: str, alias: str, counts: DataFrame | None = None, max_terms: int = TERMS_PER_LIST
+) -> DataFrame:
     """``doc_id, part, <alias> array<struct<word, value>>`` sorted by word.
 
     A document has one list (part 0) unless it has more than ``max_terms`` different words,
     which merged texts can reach; those are hashed over several parts, so no list grows
-    without bound. Runs one job over the ids to see whether there are such documents.
+    without bound. One job over the ids of ``counts``, a staged table that has at least the
+    words of ``rows`` and is ``rows`` by default, tells whether there are such documents.
     """
-    if sizing.has_hot_key(rows, "doc_id", max_terms):
-        sizes = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"))
-        parts = sizes.select("doc_id", F.ceil(F.col("n_terms") / max_terms).alias("n_parts"))
-        part = F.pmod(F.xxhash64("word"), F.col("n_parts"))
-        rows = rows.join(parts, "doc_id").withColumn("part", part)
-        keys = ["doc_id", "part"]
-    else:
-        keys = ["doc_id"]
+    counts = rows if counts is None else counts
     items = F.array_sort(F.collect_list(F.struct("word", value))).alias(alias)
-    lists = rows.groupBy(*keys).agg(items)
-    return lists if "part" in keys else lists.select("doc_id", F.lit(0).cast("bigint").alias("part"), alias)
+    if not sizing.has_hot_key(counts, "doc_id", max_terms):
+        lists = rows.groupBy("doc_id").agg(items)
+        return lists.select("doc_id", F.lit(0).cast("bigint").alias("part"), alias)
+    sizes = counts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"))
+    parts = sizes.select("doc_id", F.ceil(F.col("n_terms") / max_terms).alias("n_parts"))
+    part = F.pmod(F.xxhash64("word"), F.col("n_parts"))
+    return rows.join(parts, "doc_id").groupBy("doc_id", part.alias("part")).agg(items)
+
+
+def frequency_lists(
+    docs: DataFrame,
+    body: str = "body",
+    stop_words: StopWords = (),
+    keep_empty: bool = False,
+    max_terms: int = TERMS_PER_LIST,
+) -> DataFrame:
+    """``doc_id, part, terms array<struct<word, cnt>>``: the counts of ``term_counts`` as
+    lists. With unique ids a list is made within the row of its text."""
+    stop_words = inline_stop_words(stop_words)
+    n_texts, n_repeated = sizing.key_profile(docs, "doc_id")
+    if n_repeated == 0 and not isinstance(stop_words, DataFrame):
+        docs = sizing.spread(docs.select("doc_id", body), n_texts)
+        rows = count_in_place(docs, body, stop_words, keep_empty)
+        return rows.select("doc_id", F.lit(0).cast("bigint").alias("part"), "terms")
+    counts = stage(term_counts(docs, body, stop_words, keep_empty), "counts")
+    return term_lists(counts, "cnt", "terms", max_terms=max_terms)

@@ -38,18 +38,17 @@ def prune_vocabulary(df: DataFrame, n_docs: DataFrame, min_doc_pct: float) -> Da
 def join_vocabulary(tf: DataFrame, vocabulary: DataFrame, max_rows: int = sizing.BROADCAST_ROWS) -> DataFrame:
     """Rows of ``tf`` with the columns of their ``word`` in ``vocabulary``; others drop.
 
-    ``vocabulary`` needs ``df`` and should be staged, as its rows are counted. Up to
-    ``max_rows`` it is broadcast and ``tf`` is not shuffled at all. Beyond that it is split at
-    a document frequency that leaves fewer than ``max_rows`` frequent words: those are
-    broadcast, which covers most rows of ``tf`` and every hot word, and only rows with rare
-    words are shuffled.
+    ``vocabulary`` needs ``df`` and should be staged, as it is measured. A small one is
+    broadcast and ``tf`` is not shuffled at all. Another is split at a document frequency that
+    leaves fewer than ``max_rows`` frequent words: those are broadcast, which covers most rows
+    of ``tf`` and the hot words, and only rows with rare words are shuffled.
     """
-    if sizing.within(vocabulary, max_rows):
+    if sizing.is_small(vocabulary, max_rows):
         return tf.join(F.broadcast(vocabulary), "word")
     total = vocabulary.agg(F.sum("df")).first()[0]
     # df adds up to total, so fewer than total / frequent_df words lie above frequent_df.
     frequent_df = ceil(total / max_rows)
-    is_frequent = F.col("df") > frequent_df
+    is_frequent = (F.col("df") > frequent_df) & (F.octet_length("word") <= sizing.BYTES_PER_ROW)
     frequent, rare = vocabulary.where(is_frequent), vocabulary.where(~is_frequent)
     with_frequent = tf.join(F.broadcast(frequent), "word")
     without_frequent = tf.join(F.broadcast(frequent.select("word")), "word", "left_anti")
@@ -77,13 +76,10 @@ def frequency_state(counts: DataFrame, *keys: str) -> DataFrame:
 
 def frequency_state_in_place(rows: DataFrame, *keys: str) -> DataFrame:
     """The same state from ``terms.count_in_place``, in one pass: a text hands on its words
-    and, unless it has none, one null word that counts the text itself."""
-    words = F.transform("terms", lambda t: F.struct(t["word"].alias("word")))
-    text = F.array(F.struct(F.lit(None).cast("string").alias("word")))
-    # The outer form, as in terms: no filter on the array may be pushed below its making.
-    entry = F.explode_outer(F.when(F.size("terms") > 0, F.concat(words, text))).alias("entry")
-    entries = rows.select(*keys, entry).where("entry IS NOT NULL")
-    return entries.groupBy(*keys, F.col("entry.word").alias("word")).agg(F.count(F.lit(1)).alias("df"))
+    and a null word that counts the text itself."""
+    text = F.array(F.lit(None).cast("string"))
+    words = rows.select(*keys, F.explode_outer(F.concat("terms.word", text)).alias("word"))
+    return words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("df"))
 
 
 def merge_states(*states: DataFrame) -> DataFrame:

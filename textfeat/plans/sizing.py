@@ -3,8 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows that may be broadcast. A vocabulary row is about 50 bytes, so about 50 MB.
+# Rows that may be broadcast, and bytes of text they may hold on average: 256 MB at most.
 BROADCAST_ROWS = 1_000_000
+BYTES_PER_ROW = 256
 
 # Texts per core below which they are spread over the cluster before heavy work.
 SPREAD_ROWS = 10_000
@@ -15,9 +16,18 @@ def within(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` may be broadcast: rows and bytes of its strings are counted, no further
+    than ``max_rows``."""
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+    size = sum((F.sum(F.octet_length(c)) for c in texts), F.lit(0))
+    n_rows, n_bytes = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return n_rows <= max_rows and (n_bytes or 0) <= max_rows * BYTES_PER_ROW
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a row count; a larger ``df`` comes back without it."""
-    return F.broadcast(df) if within(df, max_rows) else df
+    """Broadcast hint behind a check of the size; a larger ``df`` comes back without it."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def _key_sizes(df: DataFrame, *key: str) -> DataFrame:

@@ -33,3 +33,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(staged: DataFrame) -> None:
+    """Delete the files of a staged table that is no longer needed."""
+    spark = staged.sparkSession
+    root = f"{shared_folder(spark)}/textfeat/"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for folder in {file.rsplit("/", 1)[0] for file in staged.inputFiles()}:
+        path = hadoop.Path(folder)
+        if path.toUri().getPath().startswith(hadoop.Path(root).toUri().getPath()):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
