@@ -34,10 +34,5 @@ def strip_boilerplate(text: Column) -> Column:
 
 
 def tokens(body: Column) -> Column:
-    """Lower-cased words, empty ones included where separators touch an end of the text.
-
-    Separators become single blanks first, so that lower-casing runs once over the text
-    rather than once per word, and cannot turn a separator into a word character.
-    """
-    blanked = F.regexp_replace(body, patterns.WORD_SEPARATOR_RANGES, " ")
-    return F.split(F.lower(blanked), " ")
+    """Lower-cased words, empty ones included where separators touch an end of the text."""
+    return F.transform(F.split(body, patterns.WORD_SEPARATOR_RANGES), F.lower)
