@@ -67,7 +67,7 @@ def test_stop_words(spark, tmp_path):
 
 NAMESPACES = (
     'xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:dcterms="http://purl.org/dc/terms/" '
-    'xmlns:dcam="http://purl.org/dc/dcam/" xmlns:pgterms="http://www.gutenberg.org/2009/pgterms/"'
+    'xmlns:dcam="http://purl.org/dc/dcam/" xmlns:pgterms="urn:pgterms"'
 )
 
 

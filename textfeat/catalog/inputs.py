@@ -106,7 +106,7 @@ def rdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = F.transform("subjects", lambda s: F.format_string(node, s["taxonomy"], s["subject"]))
     namespaces = (
         'xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:dcterms="http://purl.org/dc/terms/" '
-        'xmlns:dcam="http://purl.org/dc/dcam/" xmlns:pgterms="http://www.gutenberg.org/2009/pgterms/"'
+        'xmlns:dcam="http://purl.org/dc/dcam/" xmlns:pgterms="urn:pgterms"'
     )
     xml = F.format_string(
         f'<?xml version="1.0"?>\n<rdf:RDF {namespaces}><pgterms:ebook rdf:about="ebooks/%d">%s</pgterms:ebook></rdf:RDF>',

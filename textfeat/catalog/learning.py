@@ -13,6 +13,7 @@ from textfeat.plans.staging import stage
 RANKS = (1,)
 NUM_FOLDS = 3
 SMOOTHING = 0.5
+SMOOTHINGS = (0.5, 0.1)
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,14 @@ def lr_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.results_table(_grid(spark, sf_dir, models.regularised_grid())).drop("trainTime", "classifyTime")
 
 
+def nb_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation of the Naive Bayes settings alone, which SQL can repeat."""
+    settings = [models.naive_bayes(smoothing) for smoothing in SMOOTHINGS]
+    rows = models.results_table(_grid(spark, sf_dir, settings)).drop("trainTime", "classifyTime")
+    names = ("accuracy", "precision", "recall", "f1score")
+    return rows.withColumns({n: F.round(n, 6) for n in names})
+
+
 def model_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _grid(spark, sf_dir, models.default_grid()).drop("trainTime", "classifyTime")
 
@@ -94,48 +103,66 @@ QUERIES = {
     "dt_predict": dt_predict,
     "lr_predict": lr_predict,
     "lr_grid": lr_grid,
+    "nb_grid": nb_grid,
     "model_grid": model_grid,
     "results_summary": results_summary,
 }
 
-# Multinomial Naive Bayes in closed form, over every class and bin.
+_SMOOTHING_ROWS = ", ".join(f"({s}::DOUBLE)" for s in SMOOTHINGS)
+
+# Multinomial Naive Bayes in closed form, of every validation fold and smoothing, over every
+# class and bin.
 _NB_SQL = f"""{features.hashed_sql((features.NUM_BINS,))},
 {subjects.folds_sql("hashed", RANKS, NUM_FOLDS)},
 {subjects.roles_sql(NUM_FOLDS)},
-run AS (SELECT doc_id, label, role FROM roles WHERE valid_fold = 0),
+smoothings(smoothing) AS (VALUES {_SMOOTHING_ROWS}),
+class_sizes AS (
+  SELECT valid_fold, label, count(*) AS n FROM roles WHERE role = 'Training' GROUP BY ALL),
 priors AS (
-  SELECT label, ln(count(*) + {SMOOTHING}) - ln(sum(count(*)) OVER () + count(*) OVER () * {SMOOTHING}) AS pi
-  FROM run WHERE role = 'Training' GROUP BY label),
+  SELECT valid_fold, smoothing, label,
+         ln(n + smoothing) - ln(sum(n) OVER w + count(*) OVER w * smoothing) AS pi
+  FROM class_sizes, smoothings WINDOW w AS (PARTITION BY valid_fold, smoothing)),
 sums AS (
-  SELECT label, bin, sum(weight) AS total FROM run JOIN hashed USING (doc_id)
-  WHERE role = 'Training' GROUP BY label, bin),
-class_sums AS (SELECT label, sum(total) AS total FROM sums GROUP BY label),
+  SELECT valid_fold, label, bin, sum(weight) AS total FROM roles JOIN hashed USING (doc_id)
+  WHERE role = 'Training' GROUP BY ALL),
+class_sums AS (SELECT valid_fold, label, sum(total) AS total FROM sums GROUP BY ALL),
 params AS (
-  SELECT p.label, b.bin::BIGINT AS bin, p.pi,
-         ln(coalesce(s.total, 0.0) + {SMOOTHING}) - ln(c.total + {features.NUM_BINS} * {SMOOTHING}) AS theta
-  FROM priors p JOIN class_sums c ON c.label = p.label
+  SELECT p.valid_fold, p.smoothing, p.label, b.bin::BIGINT AS bin, p.pi,
+         ln(coalesce(s.total, 0.0) + p.smoothing) - ln(c.total + {features.NUM_BINS} * p.smoothing) AS theta
+  FROM priors p JOIN class_sums c ON c.valid_fold = p.valid_fold AND c.label = p.label
   JOIN (SELECT unnest(range({features.NUM_BINS})) AS bin) b ON true
-  LEFT JOIN sums s ON s.label = p.label AND s.bin = b.bin),
+  LEFT JOIN sums s ON s.valid_fold = p.valid_fold AND s.label = p.label AND s.bin = b.bin),
 scored AS (
-  SELECT r.doc_id, r.role, r.label, m.label AS class, any_value(m.pi) + sum(h.weight * m.theta) AS score
-  FROM run r JOIN hashed h ON h.doc_id = r.doc_id JOIN params m ON m.bin = h.bin GROUP BY ALL),
+  SELECT r.subject, r.valid_fold, m.smoothing, r.doc_id, r.role, r.label, m.label AS class,
+         any_value(m.pi) + sum(h.weight * m.theta) AS score
+  FROM roles r JOIN hashed h ON h.doc_id = r.doc_id
+  JOIN params m ON m.valid_fold = r.valid_fold AND m.bin = h.bin GROUP BY ALL),
 predicted AS (
-  SELECT doc_id, role, label, arg_max(class, score) AS prediction FROM scored GROUP BY doc_id, role, label),
+  SELECT subject, valid_fold, smoothing, doc_id, role, label, arg_max(class, score) AS prediction
+  FROM scored GROUP BY ALL),
 cells AS (
-  SELECT role, count(*) FILTER (label = 1 AND prediction = 1) AS tp, count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+  SELECT subject, valid_fold, smoothing, role,
+         count(*) FILTER (label = 1 AND prediction = 1) AS tp, count(*) FILTER (label = 0 AND prediction = 1) AS fp,
          count(*) FILTER (label = 0 AND prediction = 0) AS tn, count(*) FILTER (label = 1 AND prediction = 0) AS fn
-  FROM predicted GROUP BY role),
+  FROM predicted GROUP BY ALL),
 rates AS (
-  SELECT role, (tp + tn)::DOUBLE / (tp + fp + tn + fn) AS accuracy,
+  SELECT *, (tp + tn)::DOUBLE / (tp + fp + tn + fn) AS accuracy,
          coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0.0) AS p, coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0.0) AS r
   FROM cells)"""
 
+_RUN_SQL = f"valid_fold = 0 AND smoothing = {SMOOTHING}"
+_RATES_SQL = """round(accuracy, 6) AS accuracy, round(p, 6) AS "precision", round(r, 6) AS recall,
+       round(coalesce(2 * p * r / nullif(p + r, 0), 0.0), 6) AS f1score"""
+_CELLS_SQL = 'tp AS "truePos", fp AS "falsePos", tn AS "trueNeg", fn AS "falseNeg"'
+
 ORACLES = {
-    "nb_model": f"WITH {_NB_SQL} SELECT label, bin, round(pi, 6) AS pi, round(theta, 6) AS theta FROM params",
-    "nb_predict": f"WITH {_NB_SQL} SELECT doc_id, role, label, prediction FROM predicted",
-    "confusion": f"""WITH {_NB_SQL}
-SELECT role, tp AS "truePos", fp AS "falsePos", tn AS "trueNeg", fn AS "falseNeg" FROM cells""",
-    "metrics": f"""WITH {_NB_SQL}
-SELECT role, round(accuracy, 6) AS accuracy, round(p, 6) AS "precision", round(r, 6) AS recall,
-       round(coalesce(2 * p * r / nullif(p + r, 0), 0.0), 6) AS f1score FROM rates""",
+    "nb_model": f"""WITH {_NB_SQL}
+SELECT label, bin, round(pi, 6) AS pi, round(theta, 6) AS theta FROM params WHERE {_RUN_SQL}""",
+    "nb_predict": f"WITH {_NB_SQL} SELECT doc_id, role, label, prediction FROM predicted WHERE {_RUN_SQL}",
+    "confusion": f"WITH {_NB_SQL} SELECT role, {_CELLS_SQL} FROM cells WHERE {_RUN_SQL}",
+    "metrics": f"WITH {_NB_SQL} SELECT role, {_RATES_SQL} FROM rates WHERE {_RUN_SQL}",
+    "nb_grid": f"""WITH {_NB_SQL}
+SELECT subject, 'NBay' AS method, CASE WHEN smoothing = 0.5 THEN '0.5' ELSE '0.1' END AS params,
+       valid_fold AS fold, role AS "set", {_RATES_SQL}, {_CELLS_SQL}
+FROM rates""",
 }

@@ -102,7 +102,7 @@ def state_frequency(state: DataFrame) -> DataFrame:
 
 def state_idf(state: DataFrame, min_doc_pct: float = 0.0) -> DataFrame:
     """``word, df, idf`` of the terms in at least ``min_doc_pct`` percent of the documents of
-    a merged state, which should be staged: it is read twice."""
+    a state; a merged one should be staged, as it is read twice."""
     df, n_docs = state_frequency(state), state_size(state)
     if min_doc_pct > 0:
         df = prune_vocabulary(df, n_docs, min_doc_pct)

@@ -14,7 +14,7 @@ from textfeat.sources import datasets
 
 @dataclass(frozen=True)
 class Corpus:
-    """Staged results of counting: ``counts`` of documents, merged frequency ``state``."""
+    """Results of counting: staged ``counts`` of documents, merged frequency ``state``."""
 
     counts: DataFrame
     state: DataFrame
@@ -42,14 +42,15 @@ def count_corpus(
     """Count ``doc_id, body`` once; ``earlier`` is the frequency state of previous batches.
 
     Texts are read and split one time. The counts are staged, as document frequency, corpus
-    size and term frequency all come from them.
+    size and term frequency all come from them. Of an unmerged state each reader computes its
+    own part, so it is staged only where ``earlier`` is merged in.
     """
     counts = terms.term_counts(docs, body, stop_words, keep_empty, with_max=True)
     counts = stage(counts, "counts")
     state = weights.frequency_state(counts)
     if earlier is not None:
-        state = weights.merge_states(earlier, state)
-    return Corpus(counts, stage(state, "state"))
+        state = stage(weights.merge_states(earlier, state), "state")
+    return Corpus(counts, state)
 
 
 def frequency_state(
@@ -101,10 +102,11 @@ def draw_folds(
 ) -> tuple[DataFrame, DataFrame]:
     """Chosen subjects and stratified folds of the documents with a vector.
 
-    The subjects and the labels are staged: both are read more than once.
+    The subjects, one row per rank asked for, pass through the driver; the labels are staged.
     """
     pairs = subjects.subject_pairs(subjects.with_vectors(metadata, vectors))
-    chosen = stage(subjects.pick_ranks(subjects.subject_counts(pairs), ranks), "chosen")
+    chosen = subjects.pick_ranks(subjects.subject_counts(pairs), ranks)
+    chosen = vectors.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
     labels = stage(subjects.one_vs_rest(vectors, pairs, chosen), "labels")
     return chosen, fold_ops.stratified_folds(labels, num_folds, seed)
 
