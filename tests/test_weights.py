@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from textfeat.operators import hashing, index, weights
 from textfeat.plans import runs
+from textfeat.plans.staging import stage
 
 ROWS = [(1, "a", 1.0), (1, "b", 0.5), (2, "a", 1.0), (3, "a", 0.25), (3, "c", 1.0), (4, "a", 1.0)]
 
@@ -85,3 +86,17 @@ def test_hashing_keeps_the_sum(tf, idf, portable):
     assert hashed.where("bin < 0 OR bin >= num_bins").count() == 0
     single = {tuple(r) for r in hashing.hash_weights(named, 64, portable).collect()}
     assert single == {tuple(r) for r in hashed.where("num_bins = 64").collect()}
+
+
+@pytest.mark.parametrize("max_rows", [1000, 1])
+def test_shuffling_by_document_changes_no_weight(tf, idf, max_rows):
+    plain = hashing.hashed_tfidf(tf, idf, [3, 8])
+    together = hashing.hashed_tfidf(tf, idf, [3, 8], max_rows=max_rows, by_document=True)
+    assert sorted(together.collect()) == sorted(plain.collect())
+
+
+def test_vectors_take_one_shuffle_by_document(tf, idf):
+    staged = stage(idf, "idf")
+    hashed = hashing.hashed_tfidf(stage(tf, "tf"), staged, [3, 8], by_document=True)
+    plan = hashing.assemble_vectors(hashed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -11,10 +11,12 @@ NUM_BINS = 256
 LENGTHS = (64, 256, 1024)
 
 
-def hashed_weights(spark: SparkSession, sf_dir: str, lengths=(NUM_BINS,)) -> DataFrame:
+def hashed_weights(
+    spark: SparkSession, sf_dir: str, lengths=(NUM_BINS,), by_document: bool = False
+) -> DataFrame:
     counted = corpus.count_corpus(spark, sf_dir)
     vocabulary = stage(counted.vocabulary(corpus.MIN_DOC_PCT), "vocabulary")
-    return hashing.hashed_tfidf(counted.tf, vocabulary, lengths, portable=True)
+    return hashing.hashed_tfidf(counted.tf, vocabulary, lengths, portable=True, by_document=by_document)
 
 
 def _rounded(hashed: DataFrame) -> DataFrame:

@@ -17,7 +17,8 @@ SMOOTHINGS = (0.5, 0.1)
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.stage_vectors(features.hashed_weights(spark, sf_dir), features.NUM_BINS)
+    hashed = features.hashed_weights(spark, sf_dir, by_document=True)
+    return runs.stage_vectors(hashed, features.NUM_BINS)
 
 
 def _training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:

@@ -30,14 +30,20 @@ def hashed_tfidf(
     lengths: Sequence[int],
     portable: bool = False,
     max_rows: int = sizing.BROADCAST_ROWS,
+    by_document: bool = False,
 ) -> DataFrame:
     """``doc_id, num_bins, bin, weight``: TF-IDF weights that share a bin add up.
 
-    All lengths come out of one pass over ``tf``.
+    All lengths come out of one pass over ``tf``. ``by_document`` is for results that go on to
+    ``assemble_vectors``: rows are shuffled once by document and length, which serves both
+    steps, instead of once for each. A document then brings at most the rows of ``idf`` to one
+    task, so it is only done where these are at most ``max_rows``.
     """
     joined = weights.join_vocabulary(tf, bin_vocabulary(idf, lengths, portable), max_rows)
-    weight = F.sum(F.col("tf") * F.col("idf")).alias("weight")
-    return joined.groupBy("doc_id", "num_bins", "bin").agg(weight)
+    rows = joined.select("doc_id", "num_bins", "bin", (F.col("tf") * F.col("idf")).alias("weight"))
+    if by_document and sizing.within(idf, max_rows):
+        rows = rows.repartition("doc_id", "num_bins")
+    return rows.groupBy("doc_id", "num_bins", "bin").agg(F.sum("weight").alias("weight"))
 
 
 def hash_weights(tfidf: DataFrame, num_bins: int, portable: bool = False) -> DataFrame:

@@ -85,7 +85,7 @@ def build_vectors(
 ) -> None:
     """Hash the TF-IDF weights of a corpus at every length and write the vectors."""
     vocabulary = stage(corpus.vocabulary(min_doc_pct), "vocabulary")
-    hashed = hashing.hashed_tfidf(corpus.tf, vocabulary, lengths, portable)
+    hashed = hashing.hashed_tfidf(corpus.tf, vocabulary, lengths, portable, by_document=True)
     datasets.write_vectors(hashing.assemble_vectors(hashed), path, batch)
 
 
