@@ -22,16 +22,19 @@ def test_release_leaves_other_tables_alone(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
-def test_cluster_needs_a_shared_folder(spark, monkeypatch):
-    class Conf:
-        def get(self, key, default):
-            return None
+class Session:
+    """A session whose configuration names no folder."""
 
-    class Context:
-        master = "yarn"
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master})()
+        self.conf = type("Conf", (), {"get": lambda self, key, default: default})()
 
-    class Session:
-        conf, sparkContext = Conf(), Context()
 
+def test_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError):
-        staging.shared_folder(Session())
+        staging.shared_folder(Session("yarn"))
+
+
+def test_local_mode_makes_one_folder():
+    folder = staging.shared_folder(Session("local[2]"))
+    assert os.path.isdir(folder) and staging.shared_folder(Session("local[2]")) == folder

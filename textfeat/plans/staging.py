@@ -7,10 +7,16 @@ which it chooses join strategies.
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="textfeat-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -18,9 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="textfeat-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
