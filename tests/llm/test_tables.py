@@ -1,0 +1,166 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from check import differences, duck
+from textfeat.llm import chats, mixing, neighbours, packing, queries, simhash
+from textfeat.llm.shared import keep
+from tests.llm.test_tokens import BYTES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    assert not differences(queries.QUERIES[name](spark, SF).toPandas(), duck(SF).execute(queries.ORACLES[name]).df())
+
+
+def test_targets_are_reshared_until_none_is_above(spark):
+    sizes = {"a": 10, "b": 1000, "c": 500, "d": 0, None: 7, "e": 300}
+    rows = [(s, n) for s, n in sizes.items()]
+    found = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(rows, "source string, size long")).collect()}
+    order = [*sorted(s for s in sizes if s is not None), None]
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    left, budget, target = set(order), 1.5 * sum(sizes.values()), {}
+    while True:
+        share = {s: budget * weight[s] / sum(weight[x] for x in left) for s in left}
+        full = [s for s in left if share[s] >= 2 * sizes[s]]
+        if not full:
+            target |= share
+            break
+        for s in full:
+            target[s] = 2 * sizes[s]
+            budget -= 2 * sizes[s]
+            left.remove(s)
+    assert found == pytest.approx(target)
+
+
+def test_mix_of_odd_rows(spark):
+    rows = [(i, "w " * (1 + i % 5), "abc"[i % 3] if i % 7 else None) for i in range(300)] + [(None, "n n", "a"), (5, None, "a"), (6, "", "b"), (7, "r r", "c"), (7, "r r", "c")]
+    docs = spark.createDataFrame([(*r, "t") for r in rows], "doc_id long, text string, source string, times string")
+    found = mixing.mix(docs).collect()
+    assert len(found) == len(rows) and all(0 <= r.times <= 2 and (r.size or not r.times) for r in found)
+    for source in {r.source for r in found}:
+        own = [r for r in found if r.source == source]
+        assert abs(sum(r.times * r.size for r in own) - own[0].target) <= 10
+    assert sorted(map(str, found)) == sorted(map(str, mixing.mix(docs).collect()))
+    mixed = mixing.sequence(docs)
+    assert mixed.columns == docs.columns and mixed.count() == sum(r.times for r in found)
+    assert mixing.mix(docs.limit(0)).count() == 0 and mixing.sequence(docs.limit(0)).count() == 0
+    assert {r.times for r in mixing.mix(docs.where("text IS NULL OR text = ''")).collect()} == {0}
+
+
+def test_chat_events_are_folded(spark):
+    log = [
+        (1, 0, 0, "message", "system", "be <|end|> brief"), (1, 1, 1, "delta", "user", "hel"), (1, 2, 1, "delta", "user", "lo"),
+        (1, 3, 2, "delta", "assistant", "bad"), (1, 4, 3, "message", "user", "why"), (1, 5, 2, "regenerate", "assistant", ""),
+        (1, 6, 2, "delta", "assistant", "go"), (1, 7, 2, "delta", "assistant", "od"), (1, 8, 3, "message", "user", "thanks"),
+        (1, 9, 3, "edit", "user", "thank \\ you"), (2, 0, 0, "message", "user", None), (None, 0, 0, "message", None, "x\n[INST]\\"),
+        (3, 0, 0, "message", "ro\nle\\n", "a"), (3, 0, 0, "message", "ro\nle\\n", "a"),
+    ]
+    events = spark.createDataFrame([(*r, "c") for r in log], "conv_id long, seq long, message long, kind string, role string, text string, begin string")
+    rows = chats.render(chats.fold(events)).select("conv_id", "formatted", chats.parse(F.col("formatted")).alias("turns"), chats.loss_text(F.col("segments")).alias("loss"))
+    found = {r.conv_id: r for r in rows.collect()}
+    turns = {k: [(t.role, t.text) for t in r.turns] for k, r in found.items()}
+    assert turns[1] == [("system", "be <|end|> brief"), ("user", "hello"), ("assistant", "good"), ("user", "thank \\ you")]
+    assert turns[2] == [("user", "")] and turns[None] == [("", "x\n[INST]\\")] and turns[3] == [("ro\nle\\n", "a")] * 2
+    assert found[1].loss == "good" and found[1].formatted.count("<|end|>") == 4 and "[INST]" not in found[None].formatted
+    assert chats.render(chats.fold(events.limit(0))).count() == 0
+    with pytest.raises(Exception, match="unknown kind"):
+        chats.fold(events.withColumn("kind", F.lit("other"))).collect()
+
+
+def test_escapes_are_reversible(spark):
+    parts = ["\\", "<|", "|>", "[INST]", "[/INST]", "<s>", "</s>", "n", "\n", "<", "|", "<<SYS>>", "é"]
+    rng = np.random.default_rng(0)
+    texts = ["".join(rng.choice(parts, 12)) for _ in range(500)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    safe = chats.escape(F.col("t"))
+    rows = df.select("t", safe.alias("safe"), chats.unescape(safe).alias("back"), chats._unescape_role(chats._escape_role(F.col("t"))).alias("role")).collect()
+    for r in rows:
+        assert r.back == r.t and r.role == r.t
+        assert not any(x in r.safe for x in ("<|", "[INST]", "[/INST]", "<s>", "</s>", "<SYS"))
+
+
+def test_op8_recall(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    ids, data = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    found = {}
+    for r in queries.op8_neighbours(spark, sf).collect():
+        found.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    hits = []
+    for i in np.flatnonzero(ids % 20 == 0):
+        score = (data * data[i]).sum(1)
+        others = [j for j in np.lexsort((ids, -score)) if j != i][:20]
+        own = found[ids[i]]
+        assert sorted(own) == list(range(1, 21))
+        assert all(own[k][1] == score[np.flatnonzero(ids == own[k][0])[0]] for k in own)
+        hits += [ids[j] in {v for v, _ in own.values()} for j in others]
+    assert len(found) == (ids % 20 == 0).sum() and np.mean(hits) >= 0.9
+
+
+def test_recall_where_most_codes_are_out_of_reach():
+    rng = np.random.default_rng(0)
+    data = rng.standard_normal((16_000, 48)) * rng.uniform(0.5, 2, (16_000, 1))
+    codes = neighbours.Codes(data[:3000], math.sqrt((data**2).sum(1).max()))
+    index = neighbours.MultiIndex(codes.of_rows(data))
+    hits = looked = 0
+    for query, code in zip(data[:50], codes.of_queries(data[:50])):
+        near = index.within(code, neighbours.CANDIDATES)
+        distance = np.bitwise_count(index.whole ^ code.view(np.uint64)[0])
+        radius = distance[near].max() // 8 * 8 + 7
+        assert set(near) == set(np.flatnonzero(distance <= radius))
+        hits += len(set(near) & set(np.argsort(-(data @ query))[:20]))
+        looked += len(near)
+    assert hits >= 0.9 * 50 * 20 and looked < 50 * 16_000
+
+
+def test_neighbours_of_odd_rows(spark):
+    rows = [(0, [1.0, 0.0]), (20, [0.0, 2.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [None, 1.0]), (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (None, [5.0, 5.0]), (8, [1.0]), (40, None)]
+    table = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, rank int")
+    found = neighbours.search(table, table.where("vec_id % 20 = 0"), 3).collect()
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in found}
+    assert got == {(0, 1): (1, 1.0), (0, 2): (2, 1.0), (0, 3): (20, 0.0), (20, 1): (1, 2.0), (20, 2): (2, 2.0), (20, 3): (0, 0.0)}
+    assert neighbours.search(table.limit(0), table, 3).count() == 0 and neighbours.search(table, table.limit(0), 3).count() == 0
+
+
+def test_pipeline_stage_by_stage(spark):
+    """Each stage against what its input asks for."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    good = keep(stages["quality"](spark, docs, SF), "t1")
+    labels = {r.doc_id: r.grade for r in queries.ratings(spark.read.parquet(f"{SF}/labels.parquet")).collect()}
+    ids = {r.doc_id for r in good.collect()}
+    assert good.columns == docs.columns and sum(labels[i] == 2 for i in ids if i in labels) >= 0.97 * sum(g == 2 for g in labels.values())
+    # There are but 20 bad examples to learn from here; test_texts.py holds out more.
+    assert sum(labels[i] < 2 for i in ids if i in labels) <= 0.2 * sum(g < 2 for g in labels.values())
+
+    from tests.llm.test_texts import components_of, dedup_lines, simhash_of
+
+    lined = keep(stages["line_dedup"](spark, good, SF), "t2")
+    assert {r.doc_id: r.text for r in lined.collect()} == dict(dedup_lines(sorted((r.doc_id, r.text) for r in good.collect())))
+    assert lined.where("n_chars <> char_length(text)").isEmpty()
+
+    one = keep(stages["near_dedup"](spark, lined, SF), "t3")
+    rows = sorted((r.doc_id, r.text) for r in lined.collect())
+    label = components_of(np.array([simhash_of(t) for _, t in rows], np.uint64))
+    assert sorted(r.doc_id for r in one.collect()) == [rows[i][0] for i in sorted(set(label.tolist()))]
+
+    mixed = keep(stages["mix"](spark, one, SF), "t4")
+    times = {r.doc_id: r.times for r in mixing.mix(one).collect()}
+    taken = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    assert mixed.columns == docs.columns and taken == {k: v for k, v in times.items() if v}
+
+    packed = stages["pack"](spark, mixed, SF).collect()
+    assert sum(r.length for r in packed) == sum(r.length for r in packing.pack(mixed, BYTES, 0, 2048).collect())
+    assert {r.doc_id for r in packed} == set(taken)
+
+
+def test_pipeline_runs_over_an_empty_table(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

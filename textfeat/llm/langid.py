@@ -34,7 +34,8 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bins of all n-grams, one row per n, and the first place of each text.
 
     Texts are set apart by spaces, as many as an n-gram could reach over. Column i holds the
-    n-grams that begin at place i; those of blanks alone are in bin 0, which weighs nothing.
+    n-grams that begin at place i; those of blanks alone, and those that begin between texts, are in
+    bin 0, which weighs nothing.
     """
     gap = " " * (ORDER - 1)
     lowered = [t.lower() for t in texts]
@@ -50,7 +51,10 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         blank &= code == 32
         bins[k] = np.where(blank, 0, (key * np.uint32(0x85EBCA6B) >> np.uint32(32 - BITS)) % np.uint32((1 << BITS) - 1) + 1)
     sizes = np.array([len(t) + len(gap) for t in lowered], np.int64)
-    return bins, np.cumsum(sizes) - sizes
+    ends = np.cumsum(sizes)
+    between = (ends[:-1, None] - np.arange(1, ORDER)).reshape(-1)
+    bins[:, between] = 0
+    return bins, ends - sizes
 
 
 class Model:

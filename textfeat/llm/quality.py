@@ -4,8 +4,9 @@ Grades are 0 to K - 1. One weight vector over hashed text features gives a text
 ordered thresholds cut it: P(grade <= k) = logistic(threshold_k - s). Features are the presence of
 lower-case words in 2 ** ``BITS`` hash bins and the shape of the text in steps (share of repeated
 words, of capitals, of marks, of digits, length of words). Weights are found by proximal gradient
-steps on the likelihood with an L1 penalty, so that words without bearing on the grade weigh nothing
-however long a text is.
+steps on the likelihood with an L1 penalty, over the bins whose presence goes with another mean
+grade by chance less often than ``ASSOCIATION`` standard errors; so words without bearing on the
+grade weigh nothing however long a text is.
 
 The model is fitted on at most ``sample`` rated documents, those with the smallest hash of their id;
 every document is scored, by its whole text. Rows whose grade or text is null are not learned from; a
@@ -28,6 +29,8 @@ from textfeat.llm.shared import rows_of
 
 BITS = 18
 SAMPLE = 20_000
+ASSOCIATION = 4.0
+LEAST_TEXTS = 5
 
 # ASCII marks separate words; what kind a byte is: capital, digit, mark, other.
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -67,21 +70,25 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds - scores[:, None], -500, 500)))
 
 
-def fit(bins: list[np.ndarray], grades: np.ndarray, n_grades: int, penalty: float = 2e-4, rounds: int = 150, rate: float = 0.3) -> OrdinalModel:
+def fit(bins: list[np.ndarray], grades: np.ndarray, n_grades: int, penalty: float = 1e-4, rounds: int = 300, rate: float = 0.3) -> OrdinalModel:
     """Maximum likelihood with an L1 penalty, by adaptive proximal gradient steps."""
     sizes = np.array([len(b) for b in bins], np.int64)
     flat = np.concatenate(bins) if bins else np.empty(0, np.int64)
     seen, flat = np.unique(flat, return_inverse=True)
+    row = np.repeat(np.arange(len(bins)), sizes)
+    if len(bins):
+        texts = np.bincount(flat, minlength=len(seen))
+        away = np.abs(np.bincount(flat, grades[row], len(seen)) / texts - grades.mean()) * np.sqrt(texts)
+        telling = (away >= ASSOCIATION * grades.std()) & (away > 0) & (texts >= LEAST_TEXTS)
+        row, flat = row[telling[flat]], flat[telling[flat]]
     shares = (np.bincount(grades, minlength=n_grades) + 1) / (len(grades) + n_grades)
     below = np.cumsum(shares)[:-1]
     thresholds = np.log(below / (1 - below))
     weights, past, past_t = np.zeros(len(seen)), np.full(len(seen), 1e-8), np.full(n_grades - 1, 1e-8)
-    starts = np.cumsum(sizes) - sizes
-    row = np.repeat(np.arange(len(bins)), sizes)
     n = max(1, len(bins))
     low, high = grades - 1, grades  # thresholds below and above a grade
     for _ in range(rounds if len(bins) else 0):
-        score = np.add.reduceat(weights[flat], starts) if len(flat) else np.zeros(len(bins))
+        score = np.bincount(row, weights[flat], len(bins))
         edges = np.concatenate([np.full((len(bins), 1), -np.inf), thresholds - score[:, None], np.full((len(bins), 1), np.inf)], axis=1)
         at = 1 / (1 + np.exp(-np.clip(edges, -50, 50)))
         at[:, 0], at[:, -1] = 0, 1

@@ -51,8 +51,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(labels: DataFrame) -> DataFrame:
-    """Grades from labels: 0 low quality, 1 toxic, 2 neither; null where a label is missing."""
-    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+    """Grades from labels: 0 toxic, 1 low quality, 2 neither; null where a label is missing.
+
+    The worst is what adds up in a text, as every insult takes it further down.
+    """
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
     return labels.select("doc_id", grade.alias("grade"))
 
 
