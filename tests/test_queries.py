@@ -6,12 +6,11 @@ import pytest
 
 import __spark_entry__ as contract
 from check import differences, duck
+from textfeat.catalog import ORACLES as SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not found")
 
-SQL = contract.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -27,7 +26,7 @@ def test_query_matches_sql(spark, con, name):
 
 
 def test_contract(spark):
-    assert set(SQL) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).columns == ["doc_id", "word", "tfidf"]
 
 
