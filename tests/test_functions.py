@@ -89,3 +89,11 @@ def test_scores(spark):
     import hashlib
 
     assert row.portable == int(hashlib.md5(b"word").hexdigest()[:8], 16) % 97
+
+
+def test_terms_on_the_limit_are_kept(spark):
+    for pct, n, df in ((1.1, 100_000, 1_100), (0.07, 10_000, 7), (1.0, 300, 3)):
+        row = spark.range(1).select(
+            scores.keeps_share(F.lit(df), F.lit(n), pct).alias("on"), scores.keeps_share(F.lit(df - 1), F.lit(n), pct).alias("under")
+        ).first()
+        assert row.on and not row.under

@@ -97,7 +97,7 @@ def test_metadata(spark, tmp_path):
     }
     for name, content in texts.items():
         (tmp_path / name).write_text(content)
-    found = {r.doc_id: [tuple(s) for s in r.subjects] for r in metadata.read_metadata(spark, str(tmp_path)).collect()}
+    found = {r.doc_id: [tuple(s) for s in r.subjects] for r in metadata.read_metadata(spark, str(tmp_path), strict=False).collect()}
     assert found == {
         11: [("Late", "T")],
         12: [("A & B", "T"), (None, "T"), ("V", None)],
@@ -140,3 +140,16 @@ def test_dataset_round_trip(spark, tmp_path):
     datasets.write_dataset(df, str(tmp_path / "d"))
     datasets.write_dataset(df, str(tmp_path / "d"))
     assert sorted(datasets.read_dataset(spark, str(tmp_path / "d")).collect()) == sorted(df.collect())
+
+
+def test_metadata_of_other_prefixes_and_malformed_files(spark, tmp_path):
+    xml = """<r:RDF xmlns:r="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:p="http://www.gutenberg.org/2009/pgterms/"
+      xmlns:d="http://purl.org/dc/terms/" xmlns:m="http://purl.org/dc/dcam/"><p:ebook r:about="ebooks/21">
+      <d:subject><r:Description><m:memberOf r:resource="T"/><r:value>S</r:value></r:Description></d:subject></p:ebook></r:RDF>"""
+    (tmp_path / "a.rdf").write_text(xml)
+    found = [(r.doc_id, [tuple(s) for s in r.subjects]) for r in metadata.read_metadata(spark, str(tmp_path)).collect()]
+    assert found == [(21, [("S", "T")])]
+    (tmp_path / "b.rdf").write_text("<a><b></a>")
+    with pytest.raises(Exception, match="no document id in .*b.rdf"):
+        metadata.read_metadata(spark, str(tmp_path)).collect()
+    assert metadata.read_metadata(spark, str(tmp_path), strict=False).count() == 1

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from textfeat.catalog import inputs
 from textfeat.catalog.cleaning import TOKENS_SQL
+from textfeat.functions import scores
 from textfeat.operators import index, terms, weights
 from textfeat.plans import runs
 from textfeat.plans.staging import stage, stage_path
@@ -48,7 +49,7 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_docs = corpus.size.scalar()
     sizes = weights.state_frequency(corpus.state).agg(
         F.count(F.lit(1)).alias("vocab_size"),
-        F.count_if(F.col("df") * 100.0 >= MIN_DOC_PCT * n_docs).alias("pruned_vocab_size"),
+        F.count_if(scores.keeps_share(F.col("df"), n_docs, MIN_DOC_PCT)).alias("pruned_vocab_size"),
     )
     kept = corpus.vocabulary(MIN_DOC_PCT)
     with_vector = weights.corpus_size(weights.join_vocabulary(corpus.tf, stage(kept, "vocabulary")))
@@ -85,7 +86,7 @@ def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tfidf_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = count_corpus(spark, sf_dir)
-    vectors = terms.term_lists(_weights(corpus, MIN_DOC_PCT), "tfidf", "vector", counts=corpus.counts)
+    vectors = terms.term_lists(_weights(corpus, MIN_DOC_PCT), "tfidf", "vector")
     total = F.aggregate("vector", F.lit(0.0), lambda acc, t: acc + t["tfidf"])
     return vectors.select(
         "doc_id",
@@ -132,6 +133,29 @@ def df_resume_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weights.state_idf(merged).select("word", "df", _six("idf"))
 
 
+def _shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as texts that share the id of their conversation."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return turns.select(F.col("conv_id").alias("doc_id"), F.col("text").alias("body"))
+
+
+def shared_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return terms.term_counts(_shared(spark, sf_dir))
+
+
+def shared_term_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = terms.frequency_lists(_shared(spark, sf_dir))
+    items = F.transform("terms", lambda t: F.concat_ws(":", t["word"], t["cnt"].cast("string")))
+    return lists.select(
+        "doc_id", "part", F.size("terms").cast("bigint").alias("n_terms"), F.array_join(items, " ").alias("terms")
+    )
+
+
+def shared_document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = stage(runs.frequency_state(_shared(spark, sf_dir)), "state")
+    return weights.state_frequency(state)
+
+
 QUERIES = {
     "word_count": word_count,
     "doc_term_list": doc_term_list,
@@ -146,6 +170,9 @@ QUERIES = {
     "inverted_index": inverted_index,
     "df_batch_merge": df_batch_merge,
     "df_resume_merge": df_resume_merge,
+    "shared_word_count": shared_word_count,
+    "shared_term_list": shared_term_list,
+    "shared_document_frequency": shared_document_frequency,
 }
 
 COUNTS_SQL = f"""{TOKENS_SQL},
@@ -166,6 +193,8 @@ tf AS (SELECT doc_id, word, cnt::DOUBLE / max_cnt AS tf FROM counts JOIN peak US
 WEIGHTS_SQL = f"""{PRUNED_SQL},{TF_SQL},
 weights AS (SELECT doc_id, word, tf * idf AS tfidf FROM tf JOIN kept USING (word))"""
 
+_SHARED_SQL = f"documents AS (SELECT conv_id AS doc_id, text FROM conversations), {COUNTS_SQL}"
+
 _DF_SQL = f"WITH {COUNTS_SQL} SELECT word, count(*) AS df FROM counts GROUP BY word"
 _IDF_SQL = f"WITH {IDF_SQL} SELECT word, df, round(idf, 6) AS idf FROM idf"
 
@@ -196,4 +225,10 @@ SELECT word, doc_id // {BLOCK_SIZE} AS block, count(*) AS n_postings, round(sum(
 FROM tf GROUP BY ALL""",
     "df_batch_merge": _DF_SQL,
     "df_resume_merge": _IDF_SQL,
+    "shared_word_count": f"WITH {_SHARED_SQL} SELECT doc_id, word, cnt FROM counts",
+    "shared_term_list": f"""WITH {_SHARED_SQL}
+SELECT doc_id, 0::BIGINT AS part, count(*) AS n_terms,
+       string_agg(word || ':' || cnt, ' ' ORDER BY word) AS terms
+FROM counts GROUP BY doc_id""",
+    "shared_document_frequency": f"WITH {_SHARED_SQL} SELECT word, count(*) AS df FROM counts GROUP BY word",
 }

@@ -23,10 +23,10 @@ WORD_SEPARATOR_RANGES = r"[\x00-&(-,.-@\[-`{-¿ǀ-\x{10FFFF}]+|--+"
 
 # Namespaces of the RDF metadata, as prefixed in its files.
 RDF_SCHEMA = (
-    "`pgterms:ebook` array<struct<"
-    "`_rdf:about`: string, "
-    "`dcterms:subject`: array<struct<"
-    "`rdf:Description`: array<struct<"
-    "`rdf:value`: array<string>, "
-    "`dcam:memberOf`: array<struct<`_rdf:resource`: string>>>>>>>>"
+    "`ebook` array<struct<"
+    "`_about`: string, "
+    "`subject`: array<struct<"
+    "`Description`: array<struct<"
+    "`value`: array<string>, "
+    "`memberOf`: array<struct<`_resource`: string>>>>>>>>"
 )

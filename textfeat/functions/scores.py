@@ -1,5 +1,7 @@
 """Expressions over counts and weights."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,8 +12,12 @@ def inverse_frequency(df: Column, n_docs: Column) -> Column:
 
 
 def keeps_share(df: Column, n_docs: Column, min_doc_pct: float) -> Column:
-    """Whether a term is found in at least ``min_doc_pct`` percent of the documents."""
-    return df * 100.0 >= F.lit(float(min_doc_pct)) * n_docs
+    """Whether a term is found in at least ``min_doc_pct`` percent of the documents.
+
+    Compared in decimals, so a term exactly on the limit is kept for any percentage.
+    """
+    limit = F.lit(Decimal(str(min_doc_pct))) * n_docs.cast("decimal(18,0)")
+    return df.cast("decimal(18,0)") * 100 >= limit
 
 
 def hash_bin(word: Column, num_bins: int, portable: bool = False) -> Column:

@@ -14,9 +14,6 @@ StopWords = DataFrame | Collection[str]
 # Stop words kept as a set inside the expression; a longer list is joined.
 INLINE_STOP_WORDS = 10_000
 
-# Terms per list; longer documents get several lists.
-TERMS_PER_LIST = 100_000
-
 
 def tokenize(docs: DataFrame, body: str = "body", keep_empty: bool = False, keys: Sequence[str] = ()) -> DataFrame:
     """``keys, doc_id, word``, one row per occurrence."""
@@ -25,17 +22,28 @@ def tokenize(docs: DataFrame, body: str = "body", keep_empty: bool = False, keys
 
 
 def remove_stop_words(words: DataFrame, stop_words: StopWords) -> DataFrame:
-    """Rows whose ``word`` is not listed. Runs a row count when given a DataFrame."""
+    """Rows whose ``word`` is not listed; nulls in the list are ignored. Runs a row count when
+    given a DataFrame."""
     if isinstance(stop_words, DataFrame):
-        listed = stop_words.select("word")
+        listed = stop_words.select("word").where("word IS NOT NULL")
         return words.join(sizing.broadcast_if_small(listed), "word", "left_anti")
-    return words.where(~F.col("word").isin(list(stop_words))) if stop_words else words
+    listed = _known(stop_words)
+    return words.where(~F.col("word").isin(listed)) if listed else words
+
+
+def _known(stop_words: Collection[str]) -> list[str]:
+    return [word for word in stop_words if word is not None]
+
+
+def _with_id(docs: DataFrame) -> DataFrame:
+    """Texts without an id belong to no document."""
+    return docs.where("doc_id IS NOT NULL")
 
 
 def inline_stop_words(stop_words: StopWords) -> StopWords:
     """A short table of stop words as a list; anything else unchanged."""
     if isinstance(stop_words, DataFrame):
-        listed = stop_words.select("word").limit(INLINE_STOP_WORDS + 1).collect()
+        listed = stop_words.select("word").where("word IS NOT NULL").limit(INLINE_STOP_WORDS + 1).collect()
         return [row["word"] for row in listed] if len(listed) <= INLINE_STOP_WORDS else stop_words
     return stop_words
 
@@ -53,7 +61,7 @@ def count_in_place(
     equal words are found, and the distance between two ends is a count. No shuffle. Texts
     without words give no row.
     """
-    listed, ids = list(stop_words), [*keys, "doc_id"]
+    listed, ids = _known(stop_words), [*keys, "doc_id"]
 
     def wanted(word):
         keep = F.lit(True) if keep_empty else word != ""
@@ -113,7 +121,8 @@ def term_counts(
 ) -> DataFrame:
     """``doc_id, word, cnt`` and, with ``with_max``, the highest count of the document.
 
-    Texts with the same id add up. One job over the ids finds those that repeat:
+    Texts with the same id add up; those without one are left out. One job over the ids finds
+    those that repeat, which decides the plan only:
 
     * none: every text is counted in its own row, nothing is shuffled;
     * up to ``max_repeated``: these ids, broadcast, set the texts to be merged apart;
@@ -121,8 +130,9 @@ def term_counts(
     """
     stop_words = inline_stop_words(stop_words)
     columns = ["doc_id", "word", "cnt"] + (["max_cnt"] if with_max else [])
-    n_texts, n_repeated = sizing.key_profile(docs, "doc_id")
-    docs = sizing.spread(docs.select("doc_id", body), n_texts)
+    docs = _with_id(docs)
+    _, n_repeated = sizing.key_profile(docs, "doc_id")
+    docs = sizing.spread(docs.select("doc_id", body))
     if n_repeated > max_repeated or isinstance(stop_words, DataFrame):
         return _counts_combined(docs, body, stop_words, keep_empty, with_max).select(columns)
     if n_repeated == 0:
@@ -153,24 +163,17 @@ def term_frequency(counts: DataFrame) -> DataFrame:
 
 
 def term_lists(
-    rows: DataFrame, value: str, alias: str, counts: DataFrame | None = None, max_terms: int = TERMS_PER_LIST
+    rows: DataFrame, value: str, alias: str, parts: int = 1
 ) -> DataFrame:
     """``doc_id, part, <alias> array<struct<word, value>>`` sorted by word.
 
-    A document has one list (part 0) unless it has more than ``max_terms`` different words,
-    which merged texts can reach; those are hashed over several parts, so no list grows
-    without bound. One job over the ids of ``counts``, a staged table that has at least the
-    words of ``rows`` and is ``rows`` by default, tells whether there are such documents.
+    A document has one list (part 0), which holds each of its different words once. Where
+    merged texts make lists that are too long, ``parts`` hashes the words of every document
+    over so many lists.
     """
-    counts = rows if counts is None else counts
     items = F.array_sort(F.collect_list(F.struct("word", value))).alias(alias)
-    if not sizing.has_hot_key(counts, "doc_id", max_terms):
-        lists = rows.groupBy("doc_id").agg(items)
-        return lists.select("doc_id", F.lit(0).cast("bigint").alias("part"), alias)
-    sizes = counts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"))
-    parts = sizes.select("doc_id", F.ceil(F.col("n_terms") / max_terms).alias("n_parts"))
-    part = F.pmod(F.xxhash64("word"), F.col("n_parts"))
-    return rows.join(parts, "doc_id").groupBy("doc_id", part.alias("part")).agg(items)
+    part = F.pmod(F.xxhash64("word"), F.lit(parts).cast("bigint"))
+    return rows.groupBy("doc_id", part.alias("part")).agg(items)
 
 
 def frequency_lists(
@@ -178,15 +181,17 @@ def frequency_lists(
     body: str = "body",
     stop_words: StopWords = (),
     keep_empty: bool = False,
-    max_terms: int = TERMS_PER_LIST,
+    parts: int = 1,
 ) -> DataFrame:
     """``doc_id, part, terms array<struct<word, cnt>>``: the counts of ``term_counts`` as
-    lists. With unique ids a list is made within the row of its text."""
+    lists, see ``term_lists``. With unique ids and one part a list is made within the row of
+    its text."""
     stop_words = inline_stop_words(stop_words)
-    n_texts, n_repeated = sizing.key_profile(docs, "doc_id")
-    if n_repeated == 0 and not isinstance(stop_words, DataFrame):
-        docs = sizing.spread(docs.select("doc_id", body), n_texts)
+    docs = _with_id(docs)
+    _, n_repeated = sizing.key_profile(docs, "doc_id")
+    if n_repeated == 0 and parts == 1 and not isinstance(stop_words, DataFrame):
+        docs = sizing.spread(docs.select("doc_id", body))
         rows = count_in_place(docs, body, stop_words, keep_empty)
         return rows.select("doc_id", F.lit(0).cast("bigint").alias("part"), "terms")
     counts = stage(term_counts(docs, body, stop_words, keep_empty), "counts")
-    return term_lists(counts, "cnt", "terms", max_terms=max_terms)
+    return term_lists(counts, "cnt", "terms", parts)

@@ -66,8 +66,9 @@ def frequency_state(
     words are shuffled, combined per task; else counts are merged and staged first.
     """
     stop_words = terms.inline_stop_words(stop_words)
-    n_texts, n_repeated = sizing.key_profile(docs, *keys, "doc_id")
-    docs = sizing.spread(docs.select(*keys, "doc_id", body), n_texts)
+    docs = docs.where("doc_id IS NOT NULL")
+    _, n_repeated = sizing.key_profile(docs, *keys, "doc_id")
+    docs = sizing.spread(docs.select(*keys, "doc_id", body))
     if n_repeated == 0 and not isinstance(stop_words, DataFrame):
         rows = terms.count_in_place(docs, body, stop_words, keep_empty, keys)
         return weights.frequency_state_in_place(rows, *keys)
@@ -104,9 +105,12 @@ def draw_folds(
 
     The subjects, one row per rank asked for, pass through the driver; the labels are staged.
     """
-    pairs = subjects.subject_pairs(subjects.with_vectors(metadata, vectors))
+    pairs = stage(subjects.subject_pairs(subjects.with_vectors(metadata, vectors)), "pairs")
     chosen = subjects.pick_ranks(subjects.subject_counts(pairs), ranks)
-    chosen = vectors.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
+    rows = chosen.collect()
+    if missing := sorted(set(ranks) - {row["rank"] for row in rows}):
+        raise ValueError(f"there are no subjects of rank {missing}")
+    chosen = vectors.sparkSession.createDataFrame(rows, chosen.schema)
     labels = stage(subjects.one_vs_rest(vectors, pairs, chosen), "labels")
     return chosen, fold_ops.stratified_folds(labels, num_folds, seed)
 

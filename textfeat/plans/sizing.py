@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 BYTES_PER_ROW = 256
 
-# Texts per core below which they are spread over the cluster before heavy work.
-SPREAD_ROWS = 10_000
+# Bytes of input files up to which they are spread over all cores before heavy work.
+SPREAD_BYTES = 256 << 20
 
 
 def within(df: DataFrame, max_rows: int) -> bool:
@@ -50,13 +50,16 @@ def key_profile(df: DataFrame, *key: str) -> tuple[int, int]:
     return found[0] or 0, found[1]
 
 
-def spread(df: DataFrame, n_rows: int | None = None) -> DataFrame:
-    """``df`` over all cores where it has so few rows that its files may not fill them.
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its files are too few and too small to fill them.
 
-    A file is split between row groups only, and a small one has a single row group. Larger
-    inputs come back as they are, without a shuffle. Counts rows unless told their number.
+    A file is split between row groups only, and a small one has a single row group. Goes by
+    the files and their bytes, of which nothing is read; above ``SPREAD_BYTES`` the input comes
+    back as it is, without a shuffle, whatever the size of the cluster.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    limit = cores * SPREAD_ROWS
-    small = within(df, limit) if n_rows is None else n_rows <= limit
-    return df.repartition(cores) if small else df
+    spark, files = df.sparkSession, df.inputFiles()
+    cores = spark.sparkContext.defaultParallelism
+    if not files or len(files) >= cores:
+        return df
+    n_bytes = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0
+    return df.repartition(cores) if n_bytes <= SPREAD_BYTES else df

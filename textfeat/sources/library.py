@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textfeat.functions import names, text
 from textfeat.operators import clean
+from textfeat.plans import sizing
 
 
 def child_folders(root: str, children: Sequence[str]) -> list[str]:
@@ -56,12 +57,13 @@ def read_library(
     """``path, text`` of the preferred variant of each book, where it is small enough.
 
     Variants are chosen before sizes are looked at: a book whose preferred variant is too
-    large is left out.
+    large is left out. The chosen paths are broadcast behind a check of their size, so that
+    texts are not shuffled by path.
     """
     folders = child_folders(root, children)
     chosen = clean.dedupe_variants(list_files(spark, folders))
     chosen = clean.eligible_files(chosen, max_mib).select("path")
-    return read_texts(spark, folders, max_mib, charset).join(chosen, "path", "left_semi")
+    return read_texts(spark, folders, max_mib, charset).join(sizing.broadcast_if_small(chosen), "path", "left_semi")
 
 
 def read_stop_words(spark: SparkSession, path: str) -> DataFrame:

@@ -12,16 +12,16 @@ def _empty_if_null(items: Column) -> Column:
 
 def _description(node: Column) -> Column:
     return F.struct(
-        F.get(node["rdf:value"], 0).alias("subject"),
-        F.get(node["dcam:memberOf"], 0)["_rdf:resource"].alias("taxonomy"),
+        F.get(node["value"], 0).alias("subject"),
+        F.get(node["memberOf"], 0)["_resource"].alias("taxonomy"),
     )
 
 
 def _book_subjects(book: Column) -> Column:
     return F.flatten(
         F.transform(
-            _empty_if_null(book["dcterms:subject"]),
-            lambda s: F.transform(_empty_if_null(s["rdf:Description"]), _description),
+            _empty_if_null(book["subject"]),
+            lambda s: F.transform(_empty_if_null(s["Description"]), _description),
         )
     )
 
@@ -29,12 +29,13 @@ def _book_subjects(book: Column) -> Column:
 def parse_rdf(files: DataFrame, column: str = "text") -> DataFrame:
     """Adds ``doc_id, subjects array<struct<subject, taxonomy>>`` and drops the XML.
 
-    A part that is missing becomes null; XML that cannot be parsed gives a null id and no
+    Names are matched without their prefixes, whatever a file binds them to. A part that is
+    missing becomes null; XML that cannot be parsed gives a null id and no
     subjects. The id comes from the first book of the file.
     """
     others = [c for c in files.columns if c != column]
-    books = files.select(*others, F.from_xml(column, RDF_SCHEMA)["pgterms:ebook"].alias("books"))
-    about = F.get("books", 0)["_rdf:about"]
+    books = files.select(*others, F.from_xml(column, RDF_SCHEMA, {"ignoreNamespace": "true"})["ebook"].alias("books"))
+    about = F.get("books", 0)["_about"]
     return books.select(
         *others,
         F.substring(about, len("ebooks/") + 1, 2**31 - 1).try_cast("bigint").alias("doc_id"),
@@ -51,8 +52,16 @@ def last_by_path(parsed: DataFrame) -> DataFrame:
     )
 
 
-def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, subjects`` from a tree of RDF/XML files; hidden files are skipped."""
+def read_metadata(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """``doc_id, subjects`` from a tree of RDF/XML files; hidden files are skipped.
+
+    A file without an id, which malformed XML has not either, is an error naming the file;
+    unless ``strict`` it is left out.
+    """
     files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     files = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    return last_by_path(parse_rdf(files))
+    parsed = parse_rdf(files)
+    if strict:
+        no_id = F.raise_error(F.concat(F.lit("no document id in "), "path")).cast("bigint")
+        parsed = parsed.withColumn("doc_id", F.coalesce("doc_id", no_id))
+    return last_by_path(parsed)
