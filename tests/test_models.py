@@ -92,3 +92,23 @@ def test_metrics_without_positives(spark):
     assert (found.accuracy, found.precision, found.recall, found.f1score) == (0.75, 0.0, 0.0, 0.0)
     empty = metrics.metrics(metrics.confusion(rows.where("label > 1"))).first()
     assert empty.accuracy is None and empty.f1score == 0.0
+
+
+def test_finished_models_survive_a_failing_fit(spark, tmp_path, monkeypatch):
+    calls = []
+
+    def evaluate(table, subject, valid_fold, num_folds, setting):
+        calls.append((subject, valid_fold))
+        if subject == "b" and fails:
+            raise RuntimeError("lost")
+        return [(subject, setting.method, setting.params, valid_fold, name, 0.0, 0.0, 1, 2, 3, 4) for name in ("Training", "Validation", "Test")]
+
+    monkeypatch.setattr(models, "_evaluate", evaluate)
+    table, grid, path = spark.range(1), [models.naive_bayes(0.5)], str(tmp_path / "results")
+    fails = True
+    with pytest.raises(RuntimeError, match="lost"):
+        models.evaluate_grid(table, ["a", "b", "c"], 3, grid, path=path)
+    assert len(calls) == 6
+    fails = False
+    rows = models.evaluate_grid(table, ["a", "b", "c"], 3, grid, path=path).collect()
+    assert sorted(calls[6:]) == [("b", 0), ("b", 1)] and len(rows) == len({(r.subject, r.fold, r.set) for r in rows}) == 18

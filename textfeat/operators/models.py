@@ -4,10 +4,12 @@ from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from time import perf_counter
+from uuid import NAMESPACE_OID, uuid5
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes, NaiveBayesModel
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from textfeat.operators import folds as fold_ops
@@ -150,25 +152,57 @@ def evaluate_grid(
     num_folds: int,
     settings: Sequence[Setting],
     parallel_fits: int = PARALLEL_FITS,
+    path: str | None = None,
 ) -> DataFrame:
     """Confusion counts and seconds of every subject, validation fold, setting and set.
 
     ``table`` is a staged ``training_table``. Runs the jobs of all fits, a few at a time; each
     model scores its three sets in one pass, so the three rows share one ``classifyTime``.
     Only models and counts reach the driver.
+
+    A fit that fails does not stop the others; its error is raised after them. With ``path`` the
+    rows of every model are written below it as soon as they are there, and a rerun fits only what
+    is missing. Use a new path for another table.
     """
     if num_folds < 3:
         raise ValueError("two folds leave nothing to train on; use three or more")
     spark = table.sparkSession
+    finished = _finished(spark, path) if path else []
+    done = {(r.subject, r.method, r.params, r.fold) for r in finished}
+    missing = [
+        (subject, valid_fold, setting)
+        for subject, valid_fold, setting in _runs(subjects, num_folds, settings)
+        if (subject, setting.method, setting.params, valid_fold) not in done
+    ]
 
-    def run(args: tuple) -> list[tuple]:
+    def run(args: tuple) -> list[tuple] | Exception:
         subject, valid_fold, setting = args
-        return _evaluate(table, subject, valid_fold, num_folds, setting)
+        try:
+            rows = _evaluate(table, subject, valid_fold, num_folds, setting)
+            if path:  # a folder for each model, as several are written at a time
+                name = uuid5(NAMESPACE_OID, repr((subject, setting.method, setting.params, valid_fold))).hex
+                spark.createDataFrame(rows, RESULT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+        except Exception as error:  # raised below, when the other models are through
+            return error
+        return rows
 
     with ThreadPoolExecutor(parallel_fits) as pool:
-        target = inheritable_thread_target(spark)(run)
-        found = list(pool.map(target, _runs(subjects, num_folds, settings)))
-    return spark.createDataFrame([row for rows in found for row in rows], RESULT_SCHEMA)
+        found = list(pool.map(inheritable_thread_target(spark)(run), missing))
+    for error in found:
+        if isinstance(error, Exception):
+            raise error
+    return spark.createDataFrame([tuple(r) for r in finished] + [row for rows in found for row in rows], RESULT_SCHEMA)
+
+
+def _finished(spark: SparkSession, path: str) -> list[Row]:
+    """Rows of earlier runs: three for each model."""
+    try:
+        saved = spark.read.schema(RESULT_SCHEMA).option("recursiveFileLookup", True).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return saved.collect()
 
 
 def results_table(counts: DataFrame) -> DataFrame:

@@ -122,13 +122,16 @@ def classify(
     num_folds: int,
     seed: int = 0,
     settings: Sequence[models.Setting] | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Result rows of every subject, validation fold, setting and set.
 
+    ``path`` keeps the rows of each finished model, see ``models.evaluate_grid``.
+
     The subject names come to the driver, one per rank asked for, as it starts the fits.
     """
     chosen, folds = draw_folds(vectors, metadata, ranks, num_folds, seed)
     table = stage(models.training_table(folds, vectors), "training")
     names = [row["subject"] for row in chosen.orderBy("rank").collect()]
-    counts = models.evaluate_grid(table, names, num_folds, settings or models.default_grid())
+    counts = models.evaluate_grid(table, names, num_folds, settings or models.default_grid(), path=path)
     return models.results_table(counts)
