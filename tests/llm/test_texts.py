@@ -69,6 +69,18 @@ def test_sketches_merge_and_estimate_containment(spark):
     assert row[0] == 1 and abs(row[1] - 0.25) < 0.06 and row[2] == 1 and row[3] == 0 and row[4] and row[5]
 
 
+def test_short_texts_are_told_apart(spark):
+    rows = [(f"word{i}", f"other{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    sa, sb = fingerprints.sketch(F.col("a")), fingerprints.sketch(F.col("b"))
+    long = fingerprints.sketch(F.lit(" ".join(f"w{i}" for i in range(100))))
+    found = df.select(fingerprints.containment(sa, sb), fingerprints.containment(sa, sa), F.size(sa), fingerprints.merge(sa, long), long, sa).collect()
+    limit = int(-(2**63) + fingerprints.FRACTION * 2**64)
+    for other, same, size, merged, large, own in found:
+        assert (other, same, size) == (0, 1, 1)
+        assert merged == sorted({*large, *(h for h in own if h < limit)})
+
+
 def simhash_of(text):
     w = words((text or "").translate({c: c + 32 for c in range(65, 91)}))
     parts = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
@@ -217,3 +229,11 @@ def test_cumulative_link_gradient_finds_an_ordered_scale():
     assert (np.diff([scores[grades == g].mean() for g in range(4)]) > 0.5).all()
     tails = model.tails(scores)
     assert (np.diff(tails, axis=1) <= 1e-12).all() and np.mean((tails > 0.5).sum(1) == grades) > 0.9
+
+
+def test_sample_holds_for_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 7}") for i in range(60)], "doc_id long, text string")
+    ratings = spark.createDataFrame([(1, 0), (1, 2), (None, 1), (2, None)], "doc_id long, grade int")
+    model = quality.train(docs, ratings, 3, sample=25)
+    again = quality.train(docs.repartition(5), ratings, 3, sample=25)
+    assert (model.weights == again.weights).all() and (model.thresholds == again.thresholds).all()

@@ -4,7 +4,8 @@ A sketch holds every different shingle hash below a fixed fraction of the hash r
 the text, so a short text can be looked for in a long one; sketches of parts of a text merge by
 union. Shingles are ``SHINGLE`` consecutive words, words being runs of characters other than ASCII
 white space. A text with fewer words has one shingle, the whole sequence; one without words, a null
-one included, has an empty sketch.
+one included, has an empty sketch. A text whose hashes all lie above the limit keeps its smallest, so
+that different short texts are told apart; merging drops it where another hash is below.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,6 @@ FRACTION = 0.25
 
 def sketch(text: Column, shingle: int = SHINGLE, fraction: float = FRACTION) -> Column:
     """Sorted different shingle hashes that lie in the lowest ``fraction`` of the range of a long."""
-    limit = F.lit(int(-(2**63) + fraction * 2**64))
     hashes = F.transform(words(text), lambda w: F.xxhash64(w))
 
     def shingles(h: Column) -> Column:
@@ -29,7 +29,15 @@ def sketch(text: Column, shingle: int = SHINGLE, fraction: float = FRACTION) ->
 
     # One round of a loop gives the hashes a name; written out, they would be computed at every use.
     found = F.transform(F.array(hashes), shingles)[0]
-    return F.array_sort(F.array_distinct(F.filter(found, lambda x: x < limit)))
+    return F.transform(F.array(found), lambda every: _retained(every, fraction))[0]
+
+
+def _retained(hashes: Column, fraction: float) -> Column:
+    """Sorted different hashes below the limit; the smallest one where there are none."""
+    limit = F.lit(int(-(2**63) + fraction * 2**64))
+    least = F.array_min(hashes)
+    below = F.array_sort(F.array_distinct(F.filter(hashes, lambda x: x < limit)))
+    return F.when(least >= limit, F.array(least)).otherwise(below)
 
 
 def fingerprint(sketch: Column) -> Column:
@@ -43,9 +51,9 @@ def containment(ours: Column, theirs: Column) -> Column:
     return F.when(F.size(ours) > 0, share).otherwise(F.when(F.size(theirs) == 0, 1.0).otherwise(0.0))
 
 
-def merge(ours: Column, theirs: Column) -> Column:
-    """Sketch of two texts together."""
-    return F.array_sort(F.array_union(ours, theirs))
+def merge(ours: Column, theirs: Column, fraction: float = FRACTION) -> Column:
+    """Sketch of two texts together, both made with ``fraction``."""
+    return F.transform(F.array(F.array_union(ours, theirs)), lambda both: _retained(both, fraction))[0]
 
 
 def _bounds(docs: DataFrame, buckets: int) -> list[int]:
