@@ -112,3 +112,15 @@ def test_finished_models_survive_a_failing_fit(spark, tmp_path, monkeypatch):
     fails = False
     rows = models.evaluate_grid(table, ["a", "b", "c"], 3, grid, path=path).collect()
     assert sorted(calls[6:]) == [("b", 0), ("b", 1)] and len(rows) == len({(r.subject, r.fold, r.set) for r in rows}) == 18
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_optimality_tells_finished_fits(training, number):
+    setting = [models.logistic_regression(), *models.regularised_grid()][number]
+    rows = models.subject_rows(training, "art").where("fold < 2")
+    found = models.optimality(setting, rows)
+    assert [b for b, _, _ in found] == list(range(BINS))
+    assert max(away for _, _, away in found) < 0.002
+    early = models.Setting("LogR", "", setting.estimator.copy({setting.estimator.maxIter: 0}))
+    # strong L1 has its optimum at zero, where the solver begins
+    assert setting.params == "(l1, 0.1)" or max(away for _, _, away in models.optimality(early, rows)) > 0.02

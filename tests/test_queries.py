@@ -40,4 +40,4 @@ def test_predictions(spark, name):
 @pytest.mark.parametrize("name,n_settings", [("lr_grid", 4), ("results_summary", 6)])
 def test_grids(spark, name, n_settings):
     rows = contract.queries()[name](spark, SF_DIR).collect()
-    assert len(rows) == n_settings * 2 * 3  # settings, validation folds, sets
+    assert len(rows) == 3 * n_settings * 2 * 3  # subjects, settings, validation folds, sets

@@ -1,5 +1,6 @@
-"""Classifiers and their evaluation, for the most frequent subject."""
+"""Classifiers of the most frequent subject; their evaluation for several."""
 
+from pyspark.ml.feature import Binarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -8,12 +9,18 @@ from textfeat.operators import folds as fold_ops
 from textfeat.operators import metrics as metric_ops
 from textfeat.operators import models
 from textfeat.plans import runs
-from textfeat.plans.staging import stage
+from textfeat.plans.staging import release, stage, stage_path
+from textfeat.sources import datasets
 
 RANKS = (1,)
+GRID_RANKS = (1, 2, 3)
 NUM_FOLDS = 3
 SMOOTHING = 0.5
 SMOOTHINGS = (0.5, 0.1)
+TREE_DEPTH = 3
+
+# How far a fitted sum may be off, as a share of the sum over all training documents.
+FIT_TOLERANCE = 0.002
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,10 +28,10 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.stage_vectors(hashed, features.NUM_BINS)
 
 
-def _training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+def _training(spark: SparkSession, sf_dir: str, ranks=RANKS) -> tuple[DataFrame, list[str]]:
     """Staged training table and the chosen subjects."""
     vectors = _vectors(spark, sf_dir)
-    chosen, folds = subjects.draw(spark, sf_dir, vectors, RANKS, NUM_FOLDS)
+    chosen, folds = subjects.draw(spark, sf_dir, vectors, ranks, NUM_FOLDS)
     names = [row["subject"] for row in chosen.orderBy("rank").collect()]
     return stage(models.training_table(folds, vectors), "training"), names
 
@@ -71,27 +78,78 @@ def lr_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predictions(spark, sf_dir, models.logistic_regression())
 
 
-def _grid(spark: SparkSession, sf_dir: str, settings) -> DataFrame:
-    table, names = _training(spark, sf_dir)
-    return models.evaluate_grid(table, names, NUM_FOLDS, settings)
+def dt_presence_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decision tree over the presence of bins: one threshold each, so SQL can grow it as well."""
+    rows, _ = _rows_and_training_set(spark, sf_dir)
+    present = Binarizer(threshold=0.0, inputCol="weights", outputCol="features")
+    rows = stage(present.transform(rows.withColumnRenamed("features", "weights")).drop("weights"), "presence")
+    model = models.fit(models.decision_tree(TREE_DEPTH, 10), rows.where("role = 'Training'"))
+    return models.predict(model, rows, "doc_id", "role")
+
+
+def lr_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether logistic regressions are at their optimum, where they are fitted to the class sums.
+
+    The derivative of the convex objective in a weight is the fitted sum of its feature, less the
+    sum over the class, plus the penalty; at the optimum it is 0.
+    """
+    _, training = _rows_and_training_set(spark, sf_dir)
+    settings = [models.logistic_regression(), *models.regularised_grid()]
+    rows = []
+    for setting in settings:
+        for bin_, total, away in models.optimality(setting, training):
+            rows.append((setting.params, bin_, round(total, 4), away <= FIT_TOLERANCE))
+    return spark.createDataFrame(rows, "params string, bin bigint, class_sum double, optimal boolean")
+
+
+def _grid(spark: SparkSession, sf_dir: str, settings, ranks=GRID_RANKS) -> DataFrame:
+    """Counts of all models; the training table is released, as only counts are left."""
+    table, names = _training(spark, sf_dir, ranks)
+    counts = models.evaluate_grid(table, names, NUM_FOLDS, settings)
+    release(table)
+    return counts
 
 
 def lr_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.results_table(_grid(spark, sf_dir, models.regularised_grid())).drop("trainTime", "classifyTime")
 
 
-def nb_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Evaluation of the Naive Bayes settings alone, which SQL can repeat."""
+def _nb_results(spark: SparkSession, sf_dir: str, ranks) -> DataFrame:
     settings = [models.naive_bayes(smoothing) for smoothing in SMOOTHINGS]
-    rows = models.results_table(_grid(spark, sf_dir, settings)).drop("trainTime", "classifyTime")
+    rows = models.results_table(_grid(spark, sf_dir, settings, ranks)).drop("trainTime", "classifyTime")
     names = ("accuracy", "precision", "recall", "f1score")
     return rows.withColumns({n: F.round(n, 6) for n in names})
 
 
+def nb_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation of the Naive Bayes settings alone, which SQL can repeat."""
+    return _nb_results(spark, sf_dir, GRID_RANKS)
+
+
+def results_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results written as CSV and read back."""
+    rows, path = _nb_results(spark, sf_dir, RANKS), stage_path(spark, "results")
+    datasets.write_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
 def model_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _grid(spark, sf_dir, models.default_grid()).drop("trainTime", "classifyTime")
 
 
+def model_grid_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of every row of the grid: class sizes of its set, and that a model is right
+    more often than the larger class is large, on the set it was fitted on (false for others)."""
+    tp, fp, tn, fn = (F.col(c) for c in ("truePos", "falsePos", "trueNeg", "falseNeg"))
+    learned = tp + tn > F.greatest(tp + fn, fp + tn)
+    return model_grid(spark, sf_dir).select(
+        *models.RESULT_KEYS,
+        (tp + fn).alias("n_pos"),
+        (fp + tn).alias("n_neg"),
+        ((F.col("set") == "Training") & learned).alias("learned"),
+    )
+
+
 def results_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.results_table(_grid(spark, sf_dir, models.default_grid()))
 
@@ -103,41 +161,51 @@ QUERIES = {
     "metrics": metrics,
     "dt_predict": dt_predict,
     "lr_predict": lr_predict,
+    "dt_presence_predict": dt_presence_predict,
+    "lr_optimality": lr_optimality,
     "lr_grid": lr_grid,
     "nb_grid": nb_grid,
+    "results_csv": results_csv,
     "model_grid": model_grid,
+    "model_grid_sets": model_grid_sets,
     "results_summary": results_summary,
 }
 
 _SMOOTHING_ROWS = ", ".join(f"({s}::DOUBLE)" for s in SMOOTHINGS)
 
-# Multinomial Naive Bayes in closed form, of every validation fold and smoothing, over every
-# class and bin.
-_NB_SQL = f"""{features.hashed_sql((features.NUM_BINS,))},
-{subjects.folds_sql("hashed", RANKS, NUM_FOLDS)},
-{subjects.roles_sql(NUM_FOLDS)},
+def _roles_sql(ranks) -> str:
+    return f"""{features.hashed_sql((features.NUM_BINS,))},
+{subjects.folds_sql("hashed", ranks, NUM_FOLDS)},
+{subjects.roles_sql(NUM_FOLDS)}"""
+
+
+def _nb_sql(ranks) -> str:
+    """Multinomial Naive Bayes in closed form, of every subject, validation fold and smoothing, over
+    every class and bin."""
+    return f"""{_roles_sql(ranks)},
 smoothings(smoothing) AS (VALUES {_SMOOTHING_ROWS}),
 class_sizes AS (
-  SELECT valid_fold, label, count(*) AS n FROM roles WHERE role = 'Training' GROUP BY ALL),
+  SELECT subject, valid_fold, label, count(*) AS n FROM roles WHERE role = 'Training' GROUP BY ALL),
 priors AS (
-  SELECT valid_fold, smoothing, label,
+  SELECT subject, valid_fold, smoothing, label,
          ln(n + smoothing) - ln(sum(n) OVER w + count(*) OVER w * smoothing) AS pi
-  FROM class_sizes, smoothings WINDOW w AS (PARTITION BY valid_fold, smoothing)),
+  FROM class_sizes, smoothings WINDOW w AS (PARTITION BY subject, valid_fold, smoothing)),
 sums AS (
-  SELECT valid_fold, label, bin, sum(weight) AS total FROM roles JOIN hashed USING (doc_id)
+  SELECT subject, valid_fold, label, bin, sum(weight) AS total FROM roles JOIN hashed USING (doc_id)
   WHERE role = 'Training' GROUP BY ALL),
-class_sums AS (SELECT valid_fold, label, sum(total) AS total FROM sums GROUP BY ALL),
+class_sums AS (SELECT subject, valid_fold, label, sum(total) AS total FROM sums GROUP BY ALL),
 params AS (
-  SELECT p.valid_fold, p.smoothing, p.label, b.bin::BIGINT AS bin, p.pi,
+  SELECT p.subject, p.valid_fold, p.smoothing, p.label, b.bin::BIGINT AS bin, p.pi,
          ln(coalesce(s.total, 0.0) + p.smoothing) - ln(c.total + {features.NUM_BINS} * p.smoothing) AS theta
-  FROM priors p JOIN class_sums c ON c.valid_fold = p.valid_fold AND c.label = p.label
+  FROM priors p JOIN class_sums c ON c.subject = p.subject AND c.valid_fold = p.valid_fold AND c.label = p.label
   JOIN (SELECT unnest(range({features.NUM_BINS})) AS bin) b ON true
-  LEFT JOIN sums s ON s.valid_fold = p.valid_fold AND s.label = p.label AND s.bin = b.bin),
+  LEFT JOIN sums s
+    ON s.subject = p.subject AND s.valid_fold = p.valid_fold AND s.label = p.label AND s.bin = b.bin),
 scored AS (
   SELECT r.subject, r.valid_fold, m.smoothing, r.doc_id, r.role, r.label, m.label AS class,
          any_value(m.pi) + sum(h.weight * m.theta) AS score
   FROM roles r JOIN hashed h ON h.doc_id = r.doc_id
-  JOIN params m ON m.valid_fold = r.valid_fold AND m.bin = h.bin GROUP BY ALL),
+  JOIN params m ON m.subject = r.subject AND m.valid_fold = r.valid_fold AND m.bin = h.bin GROUP BY ALL),
 predicted AS (
   SELECT subject, valid_fold, smoothing, doc_id, role, label, arg_max(class, score) AS prediction
   FROM scored GROUP BY ALL),
@@ -151,10 +219,57 @@ rates AS (
          coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0.0) AS p, coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0.0) AS r
   FROM cells)"""
 
+
+def _gini(pos: str, n: str) -> str:
+    return f"((1.0 - ({n} - {pos})::DOUBLE / {n} * (({n} - {pos})::DOUBLE / {n})) - {pos}::DOUBLE / {n} * ({pos}::DOUBLE / {n}))"
+
+
+def _level_sql(k: int) -> str:
+    """Documents at the nodes one level further down. Each node is split on the bin whose presence
+    lowers the Gini impurity most, the first of equals; one that none lowers stays."""
+    gain = (
+        f"{_gini('pos', 'n')} - (n - n1)::DOUBLE / n * {_gini('(pos - pos1)', '(n - n1)')}"
+        f" - n1::DOUBLE / n * {_gini('pos1', 'n1')}"
+    )
+    return f""",
+size{k} AS (SELECT node, count(*) AS n, sum(label) AS pos FROM at{k} WHERE role = 'Training' GROUP BY node),
+hit{k} AS (
+  SELECT node, bin, count(*) AS n1, sum(label) AS pos1
+  FROM at{k} JOIN present USING (doc_id) WHERE role = 'Training' GROUP BY node, bin),
+gain{k} AS (SELECT node, bin, {gain} AS gain FROM hit{k} JOIN size{k} USING (node) WHERE n1 < n),
+best{k} AS (
+  SELECT node, bin FROM gain{k} WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, bin) = 1),
+at{k + 1} AS (
+  SELECT a.doc_id, a.role, a.label,
+         CASE WHEN b.bin IS NULL THEN a.node WHEN p.bin IS NULL THEN 2 * a.node ELSE 2 * a.node + 1 END AS node
+  FROM at{k} a LEFT JOIN best{k} b ON b.node = a.node
+  LEFT JOIN present p ON p.doc_id = a.doc_id AND p.bin = b.bin)"""
+
+
+_TREE_SQL = f"""{_roles_sql(RANKS)},
+present AS (SELECT doc_id, bin FROM hashed WHERE weight > 0),
+at0 AS (SELECT doc_id, role, label, 1 AS node FROM roles WHERE valid_fold = 0)
+{"".join(map(_level_sql, range(TREE_DEPTH)))},
+leaves AS (
+  SELECT node, CASE WHEN 2 * sum(label) > count(*) THEN 1 ELSE 0 END::BIGINT AS prediction
+  FROM at{TREE_DEPTH} WHERE role = 'Training' GROUP BY node)
+SELECT doc_id, role, label, prediction FROM at{TREE_DEPTH} JOIN leaves USING (node)"""
+
+_NB_SQL, _NB_GRID_SQL = _nb_sql(RANKS), _nb_sql(GRID_RANKS)
+
+
+# Names of the settings, as models need a session to be made.
+_GRID_ROWS = "('NBay', '0.5'), ('NBay', '0.1'), ('Tree', '(3, 5)'), ('Tree', '(3, 10)'), ('Tree', '(4, 5)'), ('LogR', '(None, 0.0)')"
+_REGRESSION_ROWS = "('(None, 0.0)'), ('(l1, 0.1)'), ('(l1, 0.001)'), ('(l2, 0.1)'), ('(l2, 0.001)')"
+
 _RUN_SQL = f"valid_fold = 0 AND smoothing = {SMOOTHING}"
 _RATES_SQL = """round(accuracy, 6) AS accuracy, round(p, 6) AS "precision", round(r, 6) AS recall,
        round(coalesce(2 * p * r / nullif(p + r, 0), 0.0), 6) AS f1score"""
 _CELLS_SQL = 'tp AS "truePos", fp AS "falsePos", tn AS "trueNeg", fn AS "falseNeg"'
+_RESULTS_SQL = f"""SELECT subject, 'NBay' AS method, CASE WHEN smoothing = 0.5 THEN '0.5' ELSE '0.1' END AS params,
+       valid_fold AS fold, role AS "set", {_RATES_SQL}, {_CELLS_SQL}
+FROM rates"""
 
 ORACLES = {
     "nb_model": f"""WITH {_NB_SQL}
@@ -162,8 +277,20 @@ SELECT label, bin, round(pi, 6) AS pi, round(theta, 6) AS theta FROM params WHER
     "nb_predict": f"WITH {_NB_SQL} SELECT doc_id, role, label, prediction FROM predicted WHERE {_RUN_SQL}",
     "confusion": f"WITH {_NB_SQL} SELECT role, {_CELLS_SQL} FROM cells WHERE {_RUN_SQL}",
     "metrics": f"WITH {_NB_SQL} SELECT role, {_RATES_SQL} FROM rates WHERE {_RUN_SQL}",
-    "nb_grid": f"""WITH {_NB_SQL}
-SELECT subject, 'NBay' AS method, CASE WHEN smoothing = 0.5 THEN '0.5' ELSE '0.1' END AS params,
-       valid_fold AS fold, role AS "set", {_RATES_SQL}, {_CELLS_SQL}
-FROM rates""",
+    "nb_grid": f"WITH {_NB_GRID_SQL} {_RESULTS_SQL}",
+    "results_csv": f"WITH {_NB_SQL} {_RESULTS_SQL}",
+    "dt_presence_predict": f"WITH {_TREE_SQL}",
+    "lr_optimality": f"""WITH {_roles_sql(RANKS)},
+settings(params) AS (VALUES {_REGRESSION_ROWS}),
+sums AS (
+  SELECT bin, sum(weight) FILTER (label = 1) AS total FROM roles JOIN hashed USING (doc_id)
+  WHERE role = 'Training' AND valid_fold = 0 GROUP BY bin)
+SELECT params, b.bin::BIGINT AS bin, round(coalesce(total, 0.0), 4) AS class_sum, true AS optimal
+FROM settings, (SELECT unnest(range({features.NUM_BINS})) AS bin) b LEFT JOIN sums USING (bin)""",
+    "model_grid_sets": f"""WITH {_roles_sql(GRID_RANKS)},
+settings(method, params) AS (VALUES {_GRID_ROWS})
+SELECT subject, method, params, valid_fold AS fold, role AS "set",
+       count(*) FILTER (label = 1) AS n_pos, count(*) FILTER (label = 0) AS n_neg,
+       role = 'Training' AS learned
+FROM roles, settings GROUP BY ALL""",
 }

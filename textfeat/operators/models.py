@@ -8,6 +8,8 @@ from uuid import NAMESPACE_OID, uuid5
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes, NaiveBayesModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -103,6 +105,37 @@ def naive_bayes_parameters(model: NaiveBayesModel, template: DataFrame) -> DataF
     return spark.createDataFrame(rows, "label bigint, bin bigint, pi double, theta double")
 
 
+def optimality(setting: Setting, training: DataFrame) -> list[tuple[int, float, float]]:
+    """``bin, class sum, distance`` of each bin for a logistic regression fitted on ``training``.
+
+    The class sum adds up the feature over documents of label 1. At the optimum the sum weighted
+    with the fitted probabilities, plus the slope of the penalty, equals it; the distance is what is
+    missing, as a share of the sum over all documents. Features are non-negative. A few sums for each
+    bin reach the driver, combined per task.
+    """
+    lr, model = setting.estimator, fit(setting, training)
+    fitted = model.transform(labelled_points(training))
+    fitted = fitted.select("features", "label", vector_to_array("probability")[1].alias("p"))
+
+    def total(weight: str | None) -> Column:
+        summary = Summarizer.metrics("sum")
+        return (summary.summary(F.col("features"), F.col(weight)) if weight else summary.summary(F.col("features")))["sum"]
+
+    row = fitted.agg(total("p").alias("p"), total("label").alias("y"), total(None).alias("every"), F.count(F.lit(1)).alias("n")).first()
+    penalty, l1 = row.n * lr.getRegParam(), lr.getElasticNetParam()
+    found = []
+    for b, (p, y, every, w) in enumerate(zip(row.p, row.y, row.every, model.coefficients.toArray())):
+        slope = p - y
+        if not l1:
+            missing = abs(slope + penalty * w)
+        elif w:
+            missing = abs(slope + penalty * (1 if w > 0 else -1))
+        else:
+            missing = max(0.0, abs(slope) - penalty)
+        found.append((b, float(y), float(missing / every) if every else 0.0))
+    return found
+
+
 def training_table(folds: DataFrame, vectors: DataFrame) -> DataFrame:
     """``doc_id, features, assigned map<subject, struct<label, fold>>``.
 
