@@ -4,15 +4,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textfeat.catalog import inputs
-from textfeat.functions import names, text
+from textfeat.functions import names, patterns, text
 from textfeat.operators import clean, terms
 from textfeat.plans import sizing
 
-_STOP_SQL = ", ".join(f"'{w}'" for w in inputs.STOP_WORDS)
+STOP_SQL = ", ".join(f"'{w}'" for w in inputs.STOP_WORDS)
 
-HEADER_SQL = r"(?i)\n\*{3} ?START OF[^*\n]+GUTENBERG[^*\n]+\*{3}\n"
-FOOTER_SQL = r"(?i)\*{3} ?(END OF[^*\n]+GUTENBERG|START: FULL LICENSE)"
-ID_SQL = r"(?i)\[ *(ebook|etext) *# *([0-9]+) *\]"
+# SQL reads the same patterns.
+HEADER_SQL, FOOTER_SQL, ID_SQL = patterns.HEADER_END, patterns.FOOTER_START, patterns.DOCUMENT_ID
 
 TOKENS_SQL = r"""
 tokens AS (
@@ -97,5 +96,5 @@ SELECT coalesce(try_cast(regexp_extract(text, '{ID_SQL}', 2) AS BIGINT), -1) AS
        string_split_regex(string_split_regex(text, '{HEADER_SQL}')[-1], '{FOOTER_SQL}')[1] AS body
 FROM books""",
     "tokenize": f"WITH {TOKENS_SQL} SELECT doc_id, word FROM tokens",
-    "stopword_filter": f"WITH {TOKENS_SQL} SELECT doc_id, word FROM tokens WHERE word NOT IN ({_STOP_SQL})",
+    "stopword_filter": f"WITH {TOKENS_SQL} SELECT doc_id, word FROM tokens WHERE word NOT IN ({STOP_SQL})",
 }

@@ -4,11 +4,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textfeat.catalog import inputs
-from textfeat.catalog.cleaning import TOKENS_SQL
+from textfeat.catalog.cleaning import FOOTER_SQL, HEADER_SQL, ID_SQL, STOP_SQL, TOKENS_SQL
 from textfeat.functions import scores
-from textfeat.operators import index, terms, weights
+from textfeat.operators import clean, index, terms, weights
 from textfeat.plans import runs
 from textfeat.plans.staging import stage, stage_path
+from textfeat.sources import library
 from textfeat.streaming import frequency
 
 MIN_DOC_PCT = 1.0
@@ -37,7 +38,7 @@ def doc_term_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def max_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.max_counts(word_count(spark, sf_dir))
+    return terms.highest_counts(inputs.documents(spark, sf_dir))
 
 
 def document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,6 +157,19 @@ def shared_document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weights.state_frequency(state)
 
 
+def shared_max_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return terms.highest_counts(_shared(spark, sf_dir))
+
+
+def library_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From books to counts: ids, bodies between the markers, words without those of a stop-word file."""
+    path = stage_path(spark, "stop-words")
+    lines = [(",".join(inputs.STOP_WORDS[:3]),), (",".join(inputs.STOP_WORDS[3:]),)]
+    spark.createDataFrame(lines, "value string").write.text(path)
+    books = clean.identify(inputs.books(spark, sf_dir))
+    return terms.term_counts(books, stop_words=library.read_stop_words(spark, path))
+
+
 QUERIES = {
     "word_count": word_count,
     "doc_term_list": doc_term_list,
@@ -173,6 +187,8 @@ QUERIES = {
     "shared_word_count": shared_word_count,
     "shared_term_list": shared_term_list,
     "shared_document_frequency": shared_document_frequency,
+    "shared_max_tf": shared_max_tf,
+    "library_counts": library_counts,
 }
 
 COUNTS_SQL = f"""{TOKENS_SQL},
@@ -231,4 +247,12 @@ SELECT doc_id, 0::BIGINT AS part, count(*) AS n_terms,
        string_agg(word || ':' || cnt, ' ' ORDER BY word) AS terms
 FROM counts GROUP BY doc_id""",
     "shared_document_frequency": f"WITH {_SHARED_SQL} SELECT word, count(*) AS df FROM counts GROUP BY word",
+    "shared_max_tf": f"WITH {_SHARED_SQL} SELECT doc_id, max(cnt) AS max_cnt FROM counts GROUP BY doc_id",
+    "library_counts": f"""WITH {inputs.BOOKS_SQL},
+bodies AS (
+  SELECT try_cast(regexp_extract(text, '{ID_SQL}', 2) AS BIGINT) AS doc_id,
+         string_split_regex(string_split_regex(text, '{HEADER_SQL}')[-1], '{FOOTER_SQL}')[1] AS text
+  FROM books),
+{COUNTS_SQL.replace("FROM documents", "FROM bodies WHERE doc_id IS NOT NULL")}
+SELECT doc_id, word, cnt FROM counts WHERE word NOT IN ({STOP_SQL})""",
 }

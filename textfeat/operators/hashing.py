@@ -11,8 +11,8 @@ from textfeat.plans import sizing
 
 
 def bin_vocabulary(idf: DataFrame, lengths: Sequence[int], portable: bool = False) -> DataFrame:
-    """``word, df, idf, num_bins, bin``: each word is hashed once per length, not once per
-    document it is in."""
+    """``word, df, idf, bins array<struct<num_bins, bin>>``: each word is hashed once per length,
+    not once per document it is in."""
     word = F.col("word")
     bins = [
         F.struct(
@@ -21,7 +21,7 @@ def bin_vocabulary(idf: DataFrame, lengths: Sequence[int], portable: bool = Fals
         )
         for n in lengths
     ]
-    return idf.select("word", "df", "idf", F.inline(F.array(*bins)))
+    return idf.select("word", "df", "idf", F.array(*bins).alias("bins"))
 
 
 def hashed_tfidf(
@@ -35,14 +35,15 @@ def hashed_tfidf(
     """``doc_id, num_bins, bin, weight``: TF-IDF weights that share a bin add up.
 
     All lengths come out of one pass over ``tf``. ``by_document`` is for results that go on to
-    ``assemble_vectors``: rows are shuffled once by document and length, which serves both
-    steps, instead of once for each. A document then brings at most the rows of ``idf`` to one
+    ``assemble_vectors``: rows are shuffled once by document, before they are multiplied by the
+    lengths, which serves both steps. A document then brings at most the rows of ``idf`` to one
     task, so it is only done where these are at most ``max_rows``.
     """
     joined = weights.join_vocabulary(tf, bin_vocabulary(idf, lengths, portable), max_rows)
-    rows = joined.select("doc_id", "num_bins", "bin", (F.col("tf") * F.col("idf")).alias("weight"))
+    rows = joined.select("doc_id", "bins", (F.col("tf") * F.col("idf")).alias("weight"))
     if by_document and sizing.within(idf, max_rows):
-        rows = rows.repartition("doc_id", "num_bins")
+        rows = rows.repartition("doc_id")
+    rows = rows.select("doc_id", "weight", F.inline("bins"))
     return rows.groupBy("doc_id", "num_bins", "bin").agg(F.sum("weight").alias("weight"))
 
 

@@ -155,6 +155,20 @@ def max_counts(counts: DataFrame) -> DataFrame:
     return counts.groupBy("doc_id").agg(F.max("cnt").alias("max_cnt"))
 
 
+def highest_counts(
+    docs: DataFrame, body: str = "body", stop_words: StopWords = (), keep_empty: bool = False
+) -> DataFrame:
+    """``doc_id, max_cnt`` from texts. With unique ids it is known in the row of each text, and
+    nothing is shuffled."""
+    stop_words = inline_stop_words(stop_words)
+    docs = _with_id(docs)
+    _, n_repeated = sizing.key_profile(docs, "doc_id")
+    if n_repeated == 0 and not isinstance(stop_words, DataFrame):
+        rows = count_in_place(sizing.spread(docs.select("doc_id", body)), body, stop_words, keep_empty)
+        return rows.select("doc_id", "max_cnt")
+    return max_counts(term_counts(docs, body, stop_words, keep_empty))
+
+
 def term_frequency(counts: DataFrame) -> DataFrame:
     """``doc_id, word, tf``: counts over the highest count of the document, in (0, 1]."""
     if "max_cnt" not in counts.columns:
