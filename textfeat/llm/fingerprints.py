@@ -35,9 +35,9 @@ def sketch(text: Column, shingle: int = SHINGLE, fraction: float = FRACTION) ->
 def _retained(hashes: Column, fraction: float) -> Column:
     """Sorted different hashes below the limit; the smallest one where there are none."""
     limit = F.lit(int(-(2**63) + fraction * 2**64))
-    least = F.array_min(hashes)
     below = F.array_sort(F.array_distinct(F.filter(hashes, lambda x: x < limit)))
-    return F.when(least >= limit, F.array(least)).otherwise(below)
+    # Mostly one of the first hashes is below; only where none is, the smallest is looked for.
+    return F.when(F.exists(hashes, lambda x: x < limit), below).when(F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(hashes)
 
 
 def fingerprint(sketch: Column) -> Column:
