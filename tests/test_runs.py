@@ -1,7 +1,8 @@
 import random
+from pathlib import Path
 
 from textfeat.operators import clean, models
-from textfeat.plans import runs
+from textfeat.plans import runs, staging
 from textfeat.sources import datasets, library, metadata
 
 
@@ -26,6 +27,12 @@ def test_files_to_results(spark, tmp_path):
             "</rdf:Description></dcterms:subject></pgterms:ebook></rdf:RDF>"
         )
 
+    folder = Path(staging.shared_folder(spark)) / "textfeat"
+
+    def staged():
+        return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+    before = staged()
     docs = clean.identify(library.read_library(spark, str(tmp_path / "lib"), ["a"], max_mib=1.0))
     corpus = runs.count_corpus(docs, stop_words=library.read_stop_words(spark, str(tmp_path / "stop.txt")))
     words = {r.word for r in corpus.vocabulary().collect()}
@@ -33,6 +40,7 @@ def test_files_to_results(spark, tmp_path):
 
     path = str(tmp_path / "vectors")
     runs.build_vectors(corpus, [32, 64], 1.0, path)
+    corpus.release()
     vectors = datasets.read_vectors(spark, path, 32)
     assert vectors.count() == 60 and vectors.first().features.size == 32
     assert datasets.read_vectors(spark, path, 64).count() == 60
@@ -41,3 +49,4 @@ def test_files_to_results(spark, tmp_path):
     results = runs.classify(vectors, meta, [1, 2], 3, seed=3, settings=[models.naive_bayes(0.5)])
     tests = results.where("`set` = 'Test'").collect()
     assert {r.subject for r in tests} == {"Art", "Sea"} and all(r.accuracy == 1.0 for r in tests)
+    assert staged() == before

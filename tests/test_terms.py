@@ -70,6 +70,49 @@ def test_unique_ids_need_no_shuffle(spark):
     assert "Exchange" not in plan
 
 
+@pytest.mark.parametrize("docs", [[(1, "a b"), (2, "a")], [(1, "a b"), (1, "a"), (2, "c")]])
+def test_texts_are_read_once(spark, tmp_path, monkeypatch, docs):
+    """What comes back reads staged tables only, so the texts may be gone by then."""
+    source = str(tmp_path / "docs")
+    frame(spark, docs).write.parquet(source)
+    long_list = spark.createDataFrame([("b",)], "word string")
+    for stop_words, inline in (((), 10), (long_list, 0)):
+        monkeypatch.setattr(terms, "INLINE_STOP_WORDS", inline)
+        read = spark.read.parquet(source)
+        for df in (
+            terms.term_counts(read, stop_words=stop_words, with_max=True),
+            terms.frequency_lists(read, stop_words=stop_words),
+            terms.highest_counts(read, stop_words=stop_words),
+            runs.frequency_state(read, stop_words=stop_words),
+        ):
+            assert df.inputFiles() and not set(df.inputFiles()) & set(read.inputFiles())
+
+
+def test_only_texts_of_repeated_ids_are_merged(spark):
+    docs = frame(spark, [(1, "b a b"), (1, "a c"), (2, "b b"), (None, "z")])
+    lists = {r.doc_id: [tuple(t) for t in r.terms] for r in terms.frequency_lists(docs).collect()}
+    assert lists == {1: [("a", 2), ("b", 2), ("c", 1)], 2: [("b", 2)]}
+    assert dict(map(tuple, terms.highest_counts(docs).collect())) == {1: 2, 2: 2}
+    alone, shared = terms.counted_texts(docs)
+    assert [r.doc_id for r in alone.collect()] == [2] and {r.doc_id for r in shared.collect()} == {1}
+
+
+def test_null_keys_are_a_batch(spark):
+    rows = [(None, 1, "a"), (None, 1, "a b"), (5, 1, "a"), (5, 2, "b")]
+    docs = spark.createDataFrame(rows, "batch long, doc_id long, body string")
+    state = {(r.batch, r.word): r.df for r in runs.frequency_state(docs, keys=["batch"]).collect()}
+    assert state == {(None, "a"): 1, (None, "b"): 1, (None, None): 1, (5, "a"): 1, (5, "b"): 1, (5, None): 2}
+
+
+def test_long_stop_lists_leave_the_highest_count_of_other_words(spark, monkeypatch):
+    monkeypatch.setattr(terms, "INLINE_STOP_WORDS", 0)
+    docs = frame(spark, [(1, "a a a b"), (1, "b c"), (2, "a"), (3, "a c")])
+    stop = spark.createDataFrame([("a",)], "word string")
+    rows = terms.term_counts(docs, stop_words=stop, with_max=True).collect()
+    assert sorted(map(tuple, rows)) == [(1, "b", 2, 2), (1, "c", 1, 2), (3, "c", 1, 1)]
+    assert {r.word: r.df for r in runs.frequency_state(docs, stop_words=stop).collect()} == {"b": 1, "c": 2, None: 2}
+
+
 def test_term_frequency(spark):
     docs = frame(spark, [(1, "a a b"), (1, "a c"), (2, "d")])
     tf = {(r.doc_id, r.word): r.tf for r in terms.term_frequency(terms.term_counts(docs)).collect()}
@@ -103,8 +146,6 @@ def test_sizing(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k long")
     assert sizing.within(df, 3) and not sizing.within(df, 2)
     assert sizing.has_hot_key(df, "k", 1) and not sizing.has_hot_key(df, "k", 2)
-    assert sizing.key_profile(df, "k") == (3, 1)
-    assert sizing.key_profile(df.where("k > 5"), "k") == (0, 0)
     assert [r.k for r in sizing.repeated_keys(df, "k").collect()] == [1]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textfeat.functions import text
 from textfeat.plans import sizing
-from textfeat.plans.staging import stage
+from textfeat.plans.staging import release, stage
 
 StopWords = DataFrame | Collection[str]
 
@@ -90,25 +90,51 @@ def count_in_place(
     return counted.select(*ids, F.inline_outer(filled)).where("terms IS NOT NULL")
 
 
-def count_combined(
+def counted_texts(
     docs: DataFrame,
     body: str = "body",
-    stop_words: StopWords = (),
+    stop_words: Collection[str] = (),
     keep_empty: bool = False,
     keys: Sequence[str] = (),
-) -> DataFrame:
-    """``keys, doc_id, word, cnt``: texts with the same keys and id add up.
-
-    Counts are combined in each task before they are shuffled by id and word, so an id shared
-    by very many texts still spreads over all tasks.
+    max_repeated: int = sizing.BROADCAST_ROWS,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Texts counted in one pass: rows of ``count_in_place`` whose id is that of no other text,
+    and ``keys, doc_id, word, cnt`` of all others, merged by id, or None where there are none.
+
+    Every text is counted in its own row and staged. The ids that repeat are found in the staged
+    id column, and only their terms are shuffled, combined per task by id and word, so an id shared
+    by very many texts still spreads over all tasks. Up to ``max_repeated`` such ids are broadcast
+    to set the two apart; more are joined. Texts without an id are left out.
     """
-    words = remove_stop_words(tokenize(docs, body, keep_empty, keys), stop_words)
-    return words.groupBy(*keys, "doc_id", "word").agg(F.count(F.lit(1)).alias("cnt"))
-
-
-def _counts_combined(docs, body, stop_words, keep_empty, with_max) -> DataFrame:
-    counts = count_combined(docs, body, stop_words, keep_empty)
-    return counts.join(max_counts(counts), "doc_id") if with_max else counts
+    ids = [*keys, "doc_id"]
+    texts = sizing.spread(_with_id(docs).select(*ids, body))
+    rows = stage(count_in_place(texts, body, stop_words, keep_empty, keys), "texts")
+    repeated = stage(sizing.repeated_keys(rows, *ids), "repeated")
+    if repeated.isEmpty():
+        release(repeated)
+        return rows, None
+    repeated = sizing.broadcast_if_small(repeated.select(*(F.col(c).alias(f"repeated_{c}") for c in ids)), max_repeated)
+    same = [F.col(c).eqNullSafe(F.col(f"repeated_{c}")) for c in ids]
+    several = rows.join(repeated, same, "left_semi").select(*ids, F.inline("terms"))
+    shared = several.groupBy(*ids, "word").agg(F.sum("cnt").alias("cnt"))
+    return rows.join(repeated, same, "left_anti"), stage(shared, "shared")
+
+
+def unstopped_counts(
+    docs: DataFrame,
+    stop_words: DataFrame,
+    body: str = "body",
+    keep_empty: bool = False,
+    keys: Sequence[str] = (),
+    max_repeated: int = sizing.BROADCAST_ROWS,
+) -> DataFrame:
+    """Staged ``keys, doc_id, word, cnt`` without the words of a long list, which is joined to
+    the counts after the texts were counted in their rows."""
+    alone, shared = counted_texts(docs, body, (), keep_empty, keys, max_repeated)
+    counts = alone.select(*keys, "doc_id", F.inline("terms"))
+    if shared is not None:
+        counts = counts.unionByName(shared)
+    return stage(remove_stop_words(counts, stop_words), "counts")
 
 
 def term_counts(
@@ -121,28 +147,20 @@ def term_counts(
 ) -> DataFrame:
     """``doc_id, word, cnt`` and, with ``with_max``, the highest count of the document.
 
-    Texts with the same id add up; those without one are left out. One job over the ids finds
-    those that repeat, which decides the plan only:
-
-    * none: every text is counted in its own row, nothing is shuffled;
-    * up to ``max_repeated``: these ids, broadcast, set the texts to be merged apart;
-    * more: all texts are merged, see ``count_combined``.
+    Texts with the same id add up; those without one are left out. Texts are read once, see
+    ``counted_texts``; what comes back reads staged tables.
     """
     stop_words = inline_stop_words(stop_words)
     columns = ["doc_id", "word", "cnt"] + (["max_cnt"] if with_max else [])
-    docs = _with_id(docs)
-    _, n_repeated = sizing.key_profile(docs, "doc_id")
-    docs = sizing.spread(docs.select("doc_id", body))
-    if n_repeated > max_repeated or isinstance(stop_words, DataFrame):
-        return _counts_combined(docs, body, stop_words, keep_empty, with_max).select(columns)
-    if n_repeated == 0:
-        return flatten_terms(count_in_place(docs, body, stop_words, keep_empty)).select(columns)
-    repeated = F.broadcast(stage(sizing.repeated_keys(docs, "doc_id"), "repeated"))
-    alone = docs.join(repeated, "doc_id", "left_anti")
-    shared = docs.join(repeated, "doc_id", "left_semi")
-    alone = flatten_terms(count_in_place(alone, body, stop_words, keep_empty)).select(columns)
-    shared = _counts_combined(shared, body, stop_words, keep_empty, with_max).select(columns)
-    return alone.unionByName(shared)
+
+    def completed(counts: DataFrame) -> DataFrame:
+        return (counts.join(max_counts(counts), "doc_id") if with_max else counts).select(columns)
+
+    if isinstance(stop_words, DataFrame):
+        return completed(unstopped_counts(docs, stop_words, body, keep_empty, max_repeated=max_repeated))
+    alone, shared = counted_texts(docs, body, stop_words, keep_empty, max_repeated=max_repeated)
+    counts = flatten_terms(alone).select(columns)
+    return counts if shared is None else counts.unionByName(completed(shared))
 
 
 def flatten_terms(rows: DataFrame) -> DataFrame:
@@ -158,15 +176,13 @@ def max_counts(counts: DataFrame) -> DataFrame:
 def highest_counts(
     docs: DataFrame, body: str = "body", stop_words: StopWords = (), keep_empty: bool = False
 ) -> DataFrame:
-    """``doc_id, max_cnt`` from texts. With unique ids it is known in the row of each text, and
-    nothing is shuffled."""
+    """``doc_id, max_cnt`` from texts. Where an id is that of one text, it is known in its row."""
     stop_words = inline_stop_words(stop_words)
-    docs = _with_id(docs)
-    _, n_repeated = sizing.key_profile(docs, "doc_id")
-    if n_repeated == 0 and not isinstance(stop_words, DataFrame):
-        rows = count_in_place(sizing.spread(docs.select("doc_id", body)), body, stop_words, keep_empty)
-        return rows.select("doc_id", "max_cnt")
-    return max_counts(term_counts(docs, body, stop_words, keep_empty))
+    if isinstance(stop_words, DataFrame):
+        return max_counts(unstopped_counts(docs, stop_words, body, keep_empty))
+    alone, shared = counted_texts(docs, body, stop_words, keep_empty)
+    highest = alone.select("doc_id", "max_cnt")
+    return highest if shared is None else highest.unionByName(max_counts(shared))
 
 
 def term_frequency(counts: DataFrame) -> DataFrame:
@@ -198,14 +214,11 @@ def frequency_lists(
     parts: int = 1,
 ) -> DataFrame:
     """``doc_id, part, terms array<struct<word, cnt>>``: the counts of ``term_counts`` as
-    lists, see ``term_lists``. With unique ids and one part a list is made within the row of
-    its text."""
+    lists, see ``term_lists``. With one part the list of an id that is that of one text is made
+    within its row."""
     stop_words = inline_stop_words(stop_words)
-    docs = _with_id(docs)
-    _, n_repeated = sizing.key_profile(docs, "doc_id")
-    if n_repeated == 0 and parts == 1 and not isinstance(stop_words, DataFrame):
-        docs = sizing.spread(docs.select("doc_id", body))
-        rows = count_in_place(docs, body, stop_words, keep_empty)
-        return rows.select("doc_id", F.lit(0).cast("bigint").alias("part"), "terms")
-    counts = stage(term_counts(docs, body, stop_words, keep_empty), "counts")
-    return term_lists(counts, "cnt", "terms", parts)
+    if parts > 1 or isinstance(stop_words, DataFrame):
+        return term_lists(term_counts(docs, body, stop_words, keep_empty), "cnt", "terms", parts)
+    alone, shared = counted_texts(docs, body, stop_words, keep_empty)
+    lists = alone.select("doc_id", F.lit(0).cast("bigint").alias("part"), "terms")
+    return lists if shared is None else lists.unionByName(term_lists(shared, "cnt", "terms"))

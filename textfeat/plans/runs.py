@@ -4,17 +4,17 @@ from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from textfeat.operators import folds as fold_ops
 from textfeat.operators import hashing, models, subjects, terms, weights
-from textfeat.plans import sizing
-from textfeat.plans.staging import stage, stage_path
+from textfeat.plans.staging import release, stage, stage_path
 from textfeat.sources import datasets
 
 
 @dataclass(frozen=True)
 class Corpus:
-    """Results of counting: staged ``counts`` of documents, merged frequency ``state``."""
+    """Results of counting: ``counts`` of documents from staged tables, merged frequency ``state``."""
 
     counts: DataFrame
     state: DataFrame
@@ -31,6 +31,11 @@ class Corpus:
         """``word, df, idf`` of the terms in at least ``min_doc_pct`` percent of documents."""
         return weights.state_idf(self.state, min_doc_pct)
 
+    def release(self) -> None:
+        """Delete the staged tables when nothing is to be read from the corpus any more."""
+        release(self.counts)
+        release(self.state)
+
 
 def count_corpus(
     docs: DataFrame,
@@ -41,12 +46,11 @@ def count_corpus(
 ) -> Corpus:
     """Count ``doc_id, body`` once; ``earlier`` is the frequency state of previous batches.
 
-    Texts are read and split one time. The counts are staged, as document frequency, corpus
-    size and term frequency all come from them. Of an unmerged state each reader computes its
-    own part, so it is staged only where ``earlier`` is merged in.
+    Texts are read and split one time. Document frequency, corpus size and term frequency all
+    come from their staged counts. Of an unmerged state each reader computes its own part, so it
+    is staged only where ``earlier`` is merged in.
     """
     counts = terms.term_counts(docs, body, stop_words, keep_empty, with_max=True)
-    counts = stage(counts, "counts")
     state = weights.frequency_state(counts)
     if earlier is not None:
         state = stage(weights.merge_states(earlier, state), "state")
@@ -62,18 +66,19 @@ def frequency_state(
 ) -> DataFrame:
     """Document-frequency state alone, where no counts are needed afterwards.
 
-    With unique ids, which one job over the ids tells, the texts are read once and only their
-    words are shuffled, combined per task; else counts are merged and staged first.
+    The texts are read once; words of ids that are those of one text are shuffled combined per
+    task, and only the others are merged before.
     """
     stop_words = terms.inline_stop_words(stop_words)
-    docs = docs.where("doc_id IS NOT NULL")
-    _, n_repeated = sizing.key_profile(docs, *keys, "doc_id")
-    docs = sizing.spread(docs.select(*keys, "doc_id", body))
-    if n_repeated == 0 and not isinstance(stop_words, DataFrame):
-        rows = terms.count_in_place(docs, body, stop_words, keep_empty, keys)
-        return weights.frequency_state_in_place(rows, *keys)
-    counts = terms.count_combined(docs, body, stop_words, keep_empty, keys)
-    return weights.frequency_state(stage(counts, "counts"), *keys)
+    if isinstance(stop_words, DataFrame):
+        counts = terms.unstopped_counts(docs, stop_words, body, keep_empty, keys)
+        return weights.frequency_state(counts, *keys)
+    alone, shared = terms.counted_texts(docs, body, stop_words, keep_empty, keys)
+    state = weights.frequency_state_in_place(alone, *keys)
+    if shared is None:
+        return state
+    both = state.unionByName(weights.frequency_state(shared, *keys))
+    return both.groupBy(*keys, "word").agg(F.sum("df").alias("df"))
 
 
 def build_vectors(
@@ -88,6 +93,7 @@ def build_vectors(
     vocabulary = stage(corpus.vocabulary(min_doc_pct), "vocabulary")
     hashed = hashing.hashed_tfidf(corpus.tf, vocabulary, lengths, portable, by_document=True)
     datasets.write_vectors(hashing.assemble_vectors(hashed), path, batch)
+    release(vocabulary)
 
 
 def stage_vectors(hashed: DataFrame, num_bins: int) -> DataFrame:
@@ -112,6 +118,7 @@ def draw_folds(
         raise ValueError(f"there are no subjects of rank {missing}")
     chosen = vectors.sparkSession.createDataFrame(rows, chosen.schema)
     labels = stage(subjects.one_vs_rest(vectors, pairs, chosen), "labels")
+    release(pairs)
     return chosen, fold_ops.stratified_folds(labels, num_folds, seed)
 
 
@@ -132,6 +139,10 @@ def classify(
     """
     chosen, folds = draw_folds(vectors, metadata, ranks, num_folds, seed)
     table = stage(models.training_table(folds, vectors), "training")
+    release(folds)
     names = [row["subject"] for row in chosen.orderBy("rank").collect()]
-    counts = models.evaluate_grid(table, names, num_folds, settings or models.default_grid(), path=path)
+    try:
+        counts = models.evaluate_grid(table, names, num_folds, settings or models.default_grid(), path=path)
+    finally:
+        release(table)
     return models.results_table(counts)

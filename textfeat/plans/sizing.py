@@ -39,15 +39,9 @@ def has_hot_key(df: DataFrame, key: str, max_rows: int) -> bool:
     return not _key_sizes(df, key).where(F.col("n") > max_rows).isEmpty()
 
 
-def repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """Key values with more than one row."""
-    return _key_sizes(df, key).where("n > 1").select(key)
-
-
-def key_profile(df: DataFrame, *key: str) -> tuple[int, int]:
-    """Number of rows, number of key values with more than one row; reads the key only."""
-    found = _key_sizes(df, *key).agg(F.sum("n"), F.count_if(F.col("n") > 1)).first()
-    return found[0] or 0, found[1]
+def repeated_keys(df: DataFrame, *key: str) -> DataFrame:
+    """Key values with more than one row. Reads the key columns only."""
+    return _key_sizes(df, *key).where("n > 1").select(*key)
 
 
 def spread(df: DataFrame) -> DataFrame:

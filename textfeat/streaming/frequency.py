@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textfeat.plans import runs
+from textfeat.plans.staging import release
 from textfeat.sources import datasets
 
 STATE_SCHEMA = "word string, df bigint, batch bigint"
@@ -44,6 +45,7 @@ def maintain_state(
     def count_batch(batch: DataFrame, batch_id: int) -> None:
         state = runs.frequency_state(batch, body, stop_words)
         write_states(state.withColumn("batch", F.lit(batch_id).cast("bigint")), state_path)
+        release(state)
 
     return (
         docs.writeStream.foreachBatch(count_batch)
