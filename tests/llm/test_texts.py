@@ -237,3 +237,23 @@ def test_sample_holds_for_repeated_ids(spark):
     model = quality.train(docs, ratings, 3, sample=25)
     again = quality.train(docs.repartition(5), ratings, 3, sample=25)
     assert (model.weights == again.weights).all() and (model.thresholds == again.thresholds).all()
+
+
+def test_windows_of_another_width(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nc"), (2, "x\na\nb\ny"), (3, "c\nz")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in lines.dedup(docs, width=2).collect()} == {1: "a\nb\nc", 2: "x\ny", 3: "c\nz"}
+    assert {r.doc_id: r.text for r in lines.dedup(docs, width=1).collect()} == {1: "a\nb\nc", 2: "x\ny", 3: "z"}
+
+
+def test_quality_of_ids_that_are_strings(spark):
+    docs = spark.createDataFrame([(f"d{i}", "fine words" if i % 2 else "bad words") for i in range(40)], "doc_id string, text string")
+    ratings = spark.createDataFrame([(f"d{i}", i % 2) for i in range(40)], "doc_id string, grade int")
+    scored = quality.score(docs, quality.train(docs, ratings, 2)).collect()
+    assert all((r.tails[0] > 0.5) == ("fine" in r.text) for r in scored)
+
+
+def test_equal_rows_send_one_guest(spark):
+    """Each document has one next, however many equal rows a range begins with."""
+    docs = spark.createDataFrame([(9, "top")] + [(5, "same")] * 30 + [(1, "end")], "doc_id long, text string")
+    found = [(r.doc_id, r.next_text) for r in fingerprints.with_next(docs, 4).collect()]
+    assert sorted(found) == sorted([(9, "same")] + [(5, "same")] * 29 + [(5, "end"), (1, "top")])

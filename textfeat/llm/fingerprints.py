@@ -92,7 +92,8 @@ def with_next(docs: DataFrame, buckets: int, id_column: str = "doc_id", text_col
     heads = heads.select("head_id", "head_tie", F.coalesce("before", "last").alias("guest_of"))
     same = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("tie") == F.col("head_tie"))
     guests = rows.drop("bucket").join(F.broadcast(heads), same)  # at most 512 times as many rows as ``buckets``
-    heads = guests.select("doc_id", "text", "tie", F.col("guest_of").alias("bucket"))
+    # Of equal rows one goes to the range before.
+    heads = guests.groupBy("doc_id", "tie", F.col("guest_of").alias("bucket")).agg(F.first("text").alias("text"))
 
     every = rows.withColumn("guest", F.lit(False)).unionByName(heads.withColumn("guest", F.lit(True)))
     every = every.repartition("bucket").withColumn("sketch", sketch(F.col("text")))

@@ -38,10 +38,10 @@ def windows(text: Column, width: int = WINDOW) -> Column:
     return F.transform(F.array(lines), of)[0]
 
 
-def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WINDOW) -> DataFrame:
     """``doc_id, tie, starts``: first lines of the windows that each document loses."""
     text = F.coalesce(F.col(text_column), F.lit(""))
-    every = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("tie"), F.explode(windows(text)).alias("w"))
+    every = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("tie"), F.explode(windows(text, width)).alias("w"))
     every = keep(every.select("doc_id", "tie", "w.pos", "w.a", "w.b"), "windows")
     place = F.struct("doc_id", "tie", "pos")
     repeated = every.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -55,7 +55,7 @@ def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """All columns and rows of ``docs``, the text without the lines that windows cover."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.xxhash64(text).alias("tie"))
-    lost = covered(docs, id_column, text_column).select(F.col("doc_id").alias("lost_id"), F.col("tie").alias("lost_tie"), "starts")
+    lost = covered(docs, id_column, text_column, width).select(F.col("doc_id").alias("lost_id"), F.col("tie").alias("lost_tie"), "starts")
     same = F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("tie") == F.col("lost_tie"))
     joined = rows.join(lost, same, "left")
     short = _without(width)(F.when(F.col("starts").isNotNull(), F.col("text")), "starts")  # other texts stay in the JVM

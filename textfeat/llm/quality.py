@@ -117,7 +117,8 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int, sample: int = SAMP
     rated = ratings.where("doc_id IS NOT NULL AND grade IS NOT NULL").orderBy(order, "doc_id", "grade").limit(sample)
     texts = docs.where(F.col(text_column).isNotNull()).select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     rows = texts.join(F.broadcast(rated.select("doc_id", F.col("grade").cast("long").alias("grade"))), "doc_id")
-    found = rows.select("doc_id", "grade", "text").mapInArrow(_bins, "doc_id long, grade long, bins binary")
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    found = rows.select("doc_id", "grade", "text").mapInArrow(_bins, f"doc_id {id_type}, grade long, bins binary")
     found = found.orderBy(F.xxhash64("doc_id", "bins"), "doc_id", "grade", "bins").limit(sample).toArrow()
     table = sorted(zip(*(found.column(c).to_pylist() for c in ("doc_id", "grade", "bins"))))
     return fit([np.frombuffer(b, np.uint32) for _, _, b in table], np.array([g for _, g, _ in table], np.int64), n_grades)

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textfeat.llm.shared import keep, words
+from textfeat.plans.staging import release
 
 SHINGLE = 3
 DISTANCE = 3
@@ -216,11 +217,14 @@ def stars(edges: DataFrame) -> DataFrame:
     while True:
         both = keep(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
         least = keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        edges = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = keep(edges.distinct(), "large")
-        least = keep(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
-        moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = keep(moved.unionByName(least.withColumnRenamed("m", "v")).distinct(), "small")
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = keep(large.distinct(), "large")
+        lowest = keep(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        moved = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = keep(moved.unionByName(lowest.withColumnRenamed("m", "v")).distinct(), "small")
+        for done in (edges, both, least, large, lowest):
+            release(done)
+        edges = small
         found = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if found == state:
             return edges
