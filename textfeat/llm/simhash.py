@@ -253,14 +253,15 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     Nulls come last, equal ids in order of the text's hash; of equal rows one stays.
     """
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tie")
-    kept = components(docs, id_column, text_column).groupBy("root").agg(F.min(rank).alias("k"))
+    found = components(docs, id_column, text_column)
+    kept = found.groupBy("root").agg(F.min(rank).alias("k"))
     kept = kept.select(F.col("k.doc_id").alias("kept_id"), F.col("k.tie").alias("kept_tie"))
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.xxhash64(text).alias("tie"))
     same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("tie") == F.col("kept_tie"))
     kept = keep(kept, "kept")
-    counts = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("tie")).groupBy("id", "tie").count().where("count > 1")
-    counts = keep(counts, "repeated-rows")
+    # From the staged fingerprints: the texts are not read again.
+    counts = keep(found.groupBy(F.col("doc_id").alias("id"), "tie").count().where("count > 1"), "repeated-rows")
     stay = rows.join(kept, same, "left_semi")
     if counts.isEmpty():
         return stay.select("row.*")
