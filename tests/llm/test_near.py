@@ -1,0 +1,72 @@
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from textfeat.llm import near, simhash
+from tests.llm.test_texts import ROWS, words
+
+
+def shingles(text):
+    w = words(text.lower())
+    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def components_of(texts):
+    """Least index of each text's component, by brute force."""
+    sets = [shingles(t) for t in texts]
+    label = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if 9 * both >= 4 * (len(a) + len(sets[j])) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return label
+
+
+def edited(rng, base, n, edits):
+    out = []
+    for _ in range(n):
+        w = list(base)
+        for at in rng.choice(len(w), edits, replace=False):
+            w[at] = f"x{rng.integers(10**9)}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_planted_edited_copies_are_one_document(spark):
+    rng = np.random.default_rng(1)
+    texts = []
+    for edits in (1, 2, 3, 4, 5, 6) * 10:  # similarities on both sides of 0.8
+        base = [f"w{k}" for k in rng.integers(0, 5000, 200)]
+        texts += [" ".join(base), *edited(rng, base, 1, edits)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    kept = sorted(r.doc_id for r in stage(spark, docs, "").collect())
+    assert kept == sorted(set(components_of(texts))) and 60 < len(kept) < 100
+
+
+@pytest.mark.parametrize("sizes", [{}, {"small": 2, "task_rows": 7}])
+def test_large_cells_are_compared_whole(spark, sizes):
+    rng = np.random.default_rng(2)
+    base = [f"w{k}" for k in range(200)]
+    texts = [" ".join(base), *edited(rng, base, 25, 1), *edited(rng, base, 25, 3), *edited(rng, base, 25, 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    roots = {r.doc_id: r.root for r in near.components(docs, **sizes).collect()}
+    label = components_of(texts)
+    assert len({(roots[i], k) for i, k in enumerate(label)}) == len(set(roots.values())) == len(set(label))
+
+
+def test_near_copies_of_odd_rows(spark):
+    docs = spark.createDataFrame([(i, t, "f") for i, t in ROWS], "doc_id long, text string, key string")
+    kept = simhash.one_of_each(docs, find=near.components)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted([("3", ""), ("3", "x"), ("None", "n u l l"), ("None", "other"), ("2", "a b c d e f"), ("1", "é" * 5000)])
+    assert simhash.one_of_each(docs.limit(0), find=near.components).count() == 0
+
+
+def test_stage_equals_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [rows[i][0] for i in sorted(set(components_of([t for _, t in rows])))]

@@ -17,7 +17,7 @@ Null ids are documents; a component without any other id has a null id. Repeated
 of their own, linked by their equal fingerprints. An empty table gives an empty result.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -247,13 +247,13 @@ def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     return found.join(named, "fp").select("doc_id", "tie", "fp", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", find: Callable[..., DataFrame] | None = None) -> DataFrame:
     """Rows of ``docs`` with all columns, one of each component: that with the smallest id.
 
-    Nulls come last, equal ids in order of the text's hash; of equal rows one stays.
+    ``find`` gives ``doc_id, tie, root``; ``components`` if it is left out. Nulls come last, equal ids in order of the text's hash; of equal rows one stays.
     """
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tie")
-    found = components(docs, id_column, text_column)
+    found = (find or components)(docs, id_column, text_column)
     kept = found.groupBy("root").agg(F.min(rank).alias("k"))
     kept = kept.select(F.col("k.doc_id").alias("kept_id"), F.col("k.tie").alias("kept_tie"))
     text = F.coalesce(F.col(text_column), F.lit(""))
