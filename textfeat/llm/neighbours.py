@@ -7,8 +7,9 @@ pair of them is one task of bounded size.
 
 A block has eight tables, one for each byte of the code. A code within distance r of a query's has a
 byte within r // 8, so probing all bytes within p finds every code within 8 p + 7. The radius grows
-until ``CANDIDATES`` codes of the block are inside, or all; those are reranked by inner products of
-the original vectors in double precision.
+until ``CANDIDATES`` codes of the block with other ids than the query's are inside, or all; those are
+reranked by inner products of the original vectors in double precision. Rows equal in id and vector
+are one row with a count until they are ranked.
 
 Vectors that are null, zero, of another dimension than most in the sample, or hold null or
 non-finite components take no part, nor do null ids. Rows with the query's id are its own. Of
@@ -86,9 +87,14 @@ class MultiIndex:
         self.order = [np.argsort(codes[:, j], kind="stable") for j in range(codes.shape[1])]
         self.starts = [np.searchsorted(codes[o, j], np.arange(257)) for j, o in enumerate(self.order)]
 
-    def within(self, code: np.ndarray, least: int) -> np.ndarray:
-        """All rows within the smallest radius 8 p + 7 that holds ``least`` of them, else all rows."""
+    def within(self, code: np.ndarray, least: int, own: np.ndarray | None = None) -> np.ndarray:
+        """All rows within the smallest radius 8 p + 7 that holds ``least`` of them, else all rows.
+
+        Rows that ``own`` marks are neither counted nor returned.
+        """
         n = len(self.codes)
+        other = np.ones(n, bool) if own is None else ~own
+        least = min(least, np.count_nonzero(other))
         distance = np.bitwise_count
         met = np.zeros(n, bool)
         whole = np.ascontiguousarray(code).view(np.uint64)[0]
@@ -97,17 +103,18 @@ class MultiIndex:
                 for value in code[j] ^ _flips(p):
                     met[order[starts[value] : starts[int(value) + 1]]] = True
             found = np.flatnonzero(met)
-            found = found[distance(self.whole[found] ^ whole) <= 8 * p + 7]
-            if len(found) >= min(least, n):
+            found = found[other[found] & (distance(self.whole[found] ^ whole) <= 8 * p + 7)]
+            if len(found) >= least:
                 return found
-        return np.arange(n)
+        return np.flatnonzero(other)
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int, sample: int = SAMPLE, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` rows of largest inner product found for each query."""
     vector = F.transform(F.col(vector_column), lambda x: x.cast("double"))
     named = [F.col(id_column).cast("long").alias("id"), vector.alias("vector")]
-    rows = keep(rows.select(*named).where(usable(F.col("vector")) & F.col("id").isNotNull()), "vectors")
+    rows = rows.select(*named).where(usable(F.col("vector")) & F.col("id").isNotNull())
+    rows = keep(rows.groupBy("id", "vector").agg(F.count(F.lit(1)).alias("n")), "vectors")
     queries = queries.select(*named).where(usable(F.col("vector")) & F.col("id").isNotNull())
     empty = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     drawn = [r.vector for r in rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()]
@@ -126,7 +133,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int, sample: int = SAMPLE, id
 
     def dealt(df: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
         part = F.pmod(F.xxhash64("id", "vector"), F.lit(parts)).alias(own)  # a repeated id is in many blocks
-        return df.select("id", "vector", part, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
+        return df.select("*", part, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
 
     left = dealt(rows, "block", blocks, "chunk", chunks).groupBy("block", "chunk")
     right = dealt(queries, "chunk", chunks, "block", blocks).groupBy("block", "chunk")
@@ -139,18 +146,18 @@ def _searched(codes: Codes, k: int):
     def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(rows) and len(queries):
-            ids, data = rows["id"].to_numpy(), np.stack(rows["vector"].to_list())
+            ids, times, data = rows["id"].to_numpy(), np.minimum(rows["n"].to_numpy(), k), np.stack(rows["vector"].to_list())
             index = MultiIndex(codes.of_rows(data))
             asked = np.stack(queries["vector"].to_list())
             for query_id, query, code in zip(queries["id"], asked, codes.of_queries(asked)):
-                near = index.within(code, CANDIDATES)
-                near = near[ids[near] != query_id]
+                near = index.within(code, CANDIDATES, ids == query_id)
                 if len(near) > k:  # those that may be among the first k, whatever the rounding
                     rough = data[near] @ query
                     limit = np.partition(rough, len(rough) - k)[-k]
                     near = near[rough >= limit - 1e-9 * (1 + abs(limit))]
                 score = (data[near] * query).sum(1)
                 first = np.lexsort((ids[near], -score))[:k]
+                first = np.repeat(first, times[near[first]])[:k]
                 out += zip([query_id] * len(first), ids[near[first]].tolist(), score[first].tolist())
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
