@@ -144,14 +144,19 @@ class GrayIndex:
 def links(different: DataFrame, distance: int = DISTANCE, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``u, v``: each fingerprint of ``different`` (``fp``) linked to another of its group in a cell.
 
-    A distance of up to three is what four blocks allow.
+    There is one block more than bits may differ, and four at least, so that one block agrees. Narrower
+    blocks make larger cells.
     """
-    block = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("block")
+    if not 0 <= distance < 64:
+        raise ValueError(f"distance {distance} is not in 0 to 63")
+    blocks = max(4, distance + 1)
+    block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     dealt = different.select("fp", block)
-    value = F.expr("shiftrightunsigned(fp, 16 * block) & 65535")
+    # Block b holds the bits from 64 b // blocks on, up to the next block.
+    value = F.expr(f"shiftrightunsigned(fp, int(64 * block div {blocks})) & (shiftleft(1, int(64 * (block + 1) div {blocks} - 64 * block div {blocks})) - 1)")
     dealt = dealt.withColumn("cell", (F.col("block") * 65536 + value).cast("int")).drop("block")
     hot = keep(dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell_rows), "hot-cells")
-    # There are 4 * 65536 cells, however many fingerprints.
+    # There are at most 4 * 65536 cells, however many fingerprints.
     dealt = dealt.join(F.broadcast(hot), "cell", "left")
     parts = F.coalesce(F.ceil(F.col("n") / cell_rows), F.lit(1)).cast("int")
     part = F.pmod(F.xxhash64("fp"), parts).cast("int")
