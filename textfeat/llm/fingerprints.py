@@ -5,7 +5,9 @@ the text, so a short text can be looked for in a long one; sketches of parts of
 union. Shingles are ``SHINGLE`` consecutive words, words being runs of characters other than ASCII
 white space. A text with fewer words has one shingle, the whole sequence; one without words, a null
 one included, has an empty sketch. A text whose hashes all lie above the limit keeps its smallest, so
-that different short texts are told apart; merging drops it where another hash is below.
+that different short texts are told apart; merging drops it where another hash is below. Containment of such
+a sketch is not an estimate: a longer text with a hash below the limit drops that hash, so 0 does not
+mean that the short text is not in it.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -46,7 +48,10 @@ def fingerprint(sketch: Column) -> Column:
 
 
 def containment(ours: Column, theirs: Column) -> Column:
-    """Estimated share of our shingles that are also theirs, 0 to 1; an empty sketch is in an empty one only."""
+    """Estimated share of our shingles that are also theirs, 0 to 1; an empty sketch is in an empty one only.
+
+    No estimate where ours is a fallback, one hash above the limit: 0 then says nothing.
+    """
     share = F.size(F.array_intersect(ours, theirs)) / F.size(ours)
     return F.when(F.size(ours) > 0, share).otherwise(F.when(F.size(theirs) == 0, 1.0).otherwise(0.0))
 
