@@ -68,11 +68,13 @@ def fold(events: DataFrame) -> DataFrame:
     event = "struct(seq, kind, role, text)"
     log = log.withColumn("begin", F.expr(f"max(CASE WHEN kind IN ('edit', 'regenerate') THEN {event} END) OVER (PARTITION BY conv_id, message)"))
     current = log.where(f"begin IS NULL OR {event} >= begin")
-    # What a later regeneration of an earlier message has ended.
-    ends = events.where("kind = 'regenerate'").groupBy("conv_id", "message").agg(F.max("seq").alias("at"))
-    ends = ends.groupBy(F.col("conv_id").alias("of")).agg(F.collect_list(F.struct("message", "at")).alias("ends"))
-    current = current.join(ends, F.col("conv_id").eqNullSafe(F.col("of")), "left")
-    current = current.where("NOT coalesce(exists(ends, e -> e.message < message AND e.at > seq), false)")
+    # What a later regeneration of an earlier message has ended: its place, as a running maximum.
+    # Null messages come before all others and end nothing.
+    ends = log.groupBy("conv_id", "message").agg(F.expr("max(CASE WHEN kind = 'regenerate' AND message IS NOT NULL THEN seq END) AS at"))
+    before = "(PARTITION BY conv_id ORDER BY message ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    ends = ends.selectExpr("conv_id AS of", "message AS ended", f"max(at) OVER {before} AS at").where("at IS NOT NULL")
+    current = current.join(ends, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("message") == F.col("ended")), "left")
+    current = current.where("NOT coalesce(at > seq, false)")
 
     columns = ["conv_id", "message", "seq", "role", "text"]
     whole = current.where("kind = 'message'").select(*columns)
