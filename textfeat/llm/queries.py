@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textfeat.llm import chats, fingerprints, langid, lines, mixing, neighbours, oracles, packing, quality, simhash, token_files
+from textfeat.llm import chats, codebooks, fingerprints, langid, lines, mixing, neighbours, oracles, packing, quality, simhash, token_files, toxicity, whitening
 from textfeat.llm.shared import table
 from textfeat.plans.staging import stage_path
 
@@ -14,6 +14,9 @@ PACK_CAPACITY = 2048
 GRADES = 3
 MIN_GOOD = 0.5
 
+# Score from which a document is taken for toxic.
+MIN_TOXIC = 0.3
+
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as rANS blocks and read back."""
@@ -146,6 +149,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup(docs)
 
 
+def op11_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, their errors, and the digest of the codebooks."""
+    found = codebooks.compress(table(spark, sf_dir, "embeddings"), "label")
+    rows = codebooks.with_label_errors(found.rows)
+    return rows.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the 16 first components, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels of three quarters of them."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= MIN_TOXIC).cast("int"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_pack": op2_pack,
@@ -157,6 +181,9 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_simhash": op9_simhash,
     "op10_line_dedup": op10_line_dedup,
+    "op11_codebooks": op11_codebooks,
+    "op12_whitening": op12_whitening,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLES = oracles.ORACLES
