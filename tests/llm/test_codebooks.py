@@ -42,18 +42,18 @@ def test_op11_equals_brute_force(spark):
 def test_balls_leave_most_distances_out_and_change_nothing():
     rng = np.random.default_rng(3)
     centres = rng.integers(-4000, 4000, (64, 1, 4))
-    data = (centres[rng.integers(0, 64, 5000)] + rng.integers(-300, 300, (5000, 1, 4))).astype(np.int64)
+    data = (centres[rng.integers(0, 64, 5000)] + rng.integers(-900, 900, (5000, 1, 4))).astype(np.int64)
     book = centres.transpose(1, 0, 2) + rng.integers(-200, 200, (1, 64, 4))
     codes, apart = codebooks.Balls.of(book, None).first(data)
     radii = np.zeros((1, 64))
     np.maximum.at(radii[0], codes[:, 0], np.sqrt(apart[:, 0]))
-    moved = book + rng.integers(-300, 300, book.shape)
+    moved = book + rng.integers(-200, 200, book.shape)
     balls = codebooks.Balls.of(moved, radii + np.sqrt(((moved - book) ** 2).sum(-1)))
     again, near, computed = balls.again(data, codes)
     wanted, distance = codebooks.Balls.of(moved, None).first(data)
     assert (again == wanted).all() and (near == distance).all()
     assert (again != codes).any()
-    assert computed < 0.1 * 64 * 5000  # stable cores and rings
+    assert computed < 0.2 * 64 * 5000  # stable cores and rings
     assert sum(map(len, balls.around[0])) < 64 * 63 / 2  # radii leave neighbours out
 
 
