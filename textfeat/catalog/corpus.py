@@ -8,7 +8,8 @@ from textfeat.catalog.cleaning import FOOTER_SQL, HEADER_SQL, ID_SQL, STOP_SQL,
 from textfeat.functions import scores
 from textfeat.operators import clean, index, terms, weights
 from textfeat.plans import runs
-from textfeat.plans.staging import stage, stage_path
+from textfeat.plans.staging import release, stage, stage_path
+from textfeat.plans.store import FrequencyStore
 from textfeat.sources import library
 from textfeat.streaming import frequency
 
@@ -161,6 +162,19 @@ def shared_max_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.highest_counts(_shared(spark, sf_dir))
 
 
+def shared_batch_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations whose turns come in ``BATCHES`` batches, so that every id comes back; the second
+    batch comes twice."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    store = FrequencyStore(spark, stage_path(spark, "store"))
+    for batch in (*range(BATCHES), 1):
+        part = turns.where(F.col("turn") % BATCHES == batch)
+        counts = terms.term_counts(part.select(F.col("conv_id").alias("doc_id"), F.col("text").alias("body")))
+        store.add(counts, batch)
+        release(counts)
+    return weights.state_frequency(store.state())
+
+
 def library_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From books to counts: ids, bodies between the markers, words without those of a stop-word file."""
     path = stage_path(spark, "stop-words")
@@ -188,6 +202,7 @@ QUERIES = {
     "shared_term_list": shared_term_list,
     "shared_document_frequency": shared_document_frequency,
     "shared_max_tf": shared_max_tf,
+    "shared_batch_merge": shared_batch_merge,
     "library_counts": library_counts,
 }
 
@@ -211,6 +226,7 @@ weights AS (SELECT doc_id, word, tf * idf AS tfidf FROM tf JOIN kept USING (word
 
 _SHARED_SQL = f"documents AS (SELECT conv_id AS doc_id, text FROM conversations), {COUNTS_SQL}"
 
+_SHARED_DF_SQL = f"WITH {_SHARED_SQL} SELECT word, count(*) AS df FROM counts GROUP BY word"
 _DF_SQL = f"WITH {COUNTS_SQL} SELECT word, count(*) AS df FROM counts GROUP BY word"
 _IDF_SQL = f"WITH {IDF_SQL} SELECT word, df, round(idf, 6) AS idf FROM idf"
 
@@ -246,7 +262,8 @@ FROM tf GROUP BY ALL""",
 SELECT doc_id, 0::BIGINT AS part, count(*) AS n_terms,
        string_agg(word || ':' || cnt, ' ' ORDER BY word) AS terms
 FROM counts GROUP BY doc_id""",
-    "shared_document_frequency": f"WITH {_SHARED_SQL} SELECT word, count(*) AS df FROM counts GROUP BY word",
+    "shared_document_frequency": _SHARED_DF_SQL,
+    "shared_batch_merge": _SHARED_DF_SQL,
     "shared_max_tf": f"WITH {_SHARED_SQL} SELECT doc_id, max(cnt) AS max_cnt FROM counts GROUP BY doc_id",
     "library_counts": f"""WITH {inputs.BOOKS_SQL},
 bodies AS (

@@ -83,7 +83,10 @@ def frequency_state_in_place(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def merge_states(*states: DataFrame) -> DataFrame:
-    """Sum of batches; one table holding several batches will do as well."""
+    """Sum of batches; one table holding several batches will do as well.
+
+    Right where no document is in two batches. Where documents come back, take the states of a
+    ``plans.store.FrequencyStore``, which hold only what is new."""
     merged = states[0].select("word", "df")
     for state in states[1:]:
         merged = merged.unionByName(state.select("word", "df"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from textfeat.operators import folds as fold_ops
 from textfeat.operators import hashing, models, subjects, terms, weights
 from textfeat.plans.staging import release, stage, stage_path
+from textfeat.plans.store import FrequencyStore
 from textfeat.sources import datasets
 
 
@@ -43,16 +44,24 @@ def count_corpus(
     stop_words: terms.StopWords = (),
     keep_empty: bool = False,
     earlier: DataFrame | None = None,
+    store: FrequencyStore | None = None,
+    batch: int = 0,
 ) -> Corpus:
     """Count ``doc_id, body`` once; ``earlier`` is the frequency state of previous batches.
 
+    Documents must not be in a batch before as well; where they may, give the ``store`` of all batches
+    instead, which takes up this one as number ``batch`` and counts every document and word once.
+
     Texts are read and split one time. Document frequency, corpus size and term frequency all
     come from their staged counts. Of an unmerged state each reader computes its own part, so it
     is staged only where ``earlier`` is merged in.
     """
     counts = terms.term_counts(docs, body, stop_words, keep_empty, with_max=True)
     state = weights.frequency_state(counts)
-    if earlier is not None:
+    if store is not None:
+        store.add(counts, batch)
+        state = stage(store.state(), "state")
+    elif earlier is not None:
         state = stage(weights.merge_states(earlier, state), "state")
     return Corpus(counts, state)
 

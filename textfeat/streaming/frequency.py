@@ -2,22 +2,20 @@
 
 A long run over a library is done in batches, and a run that stops is taken up where it was
 left. Structured Streaming gives both: its checkpoint says which files were counted, and each
-micro-batch writes its own partition of the state, so a batch that is repeated replaces what
-it wrote before instead of being counted twice.
+micro-batch writes its own partitions of a ``FrequencyStore``, so a batch that is repeated replaces
+what it wrote before instead of being counted twice, and documents that come back count once.
 """
 
 from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from textfeat.plans import runs
+from textfeat.operators import terms
 from textfeat.plans.staging import release
+from textfeat.plans.store import STATE_SCHEMA, FrequencyStore
 from textfeat.sources import datasets
 
-STATE_SCHEMA = "word string, df bigint, batch bigint"
-
 
 def write_states(states: DataFrame, path: str) -> None:
     """Write ``batch, word, df``, replacing the batches in it only."""
@@ -38,14 +36,14 @@ def maintain_state(
 ) -> StreamingQuery:
     """Count the documents of a streaming ``docs`` that have not been counted yet, then stop.
 
-    Ids that come back in a later batch count as further documents, as batches are counted
-    on their own.
+    ``state_path`` becomes a ``FrequencyStore``; ``read_state`` reads its states, which add up under
+    ``weights.merge_states``. Ids may come back in any later batch.
     """
 
     def count_batch(batch: DataFrame, batch_id: int) -> None:
-        state = runs.frequency_state(batch, body, stop_words)
-        write_states(state.withColumn("batch", F.lit(batch_id).cast("bigint")), state_path)
-        release(state)
+        counts = terms.term_counts(batch, body, stop_words)
+        FrequencyStore(batch.sparkSession, state_path).add(counts, batch_id)
+        release(counts)
 
     return (
         docs.writeStream.foreachBatch(count_batch)
