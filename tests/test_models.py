@@ -94,23 +94,23 @@ def test_metrics_without_positives(spark):
     assert empty.accuracy is None and empty.f1score == 0.0
 
 
-def test_finished_models_survive_a_failing_fit(spark, tmp_path, monkeypatch):
+def test_finished_models_survive_a_failing_fit(training, tmp_path, monkeypatch):
     calls = []
 
-    def evaluate(table, subject, valid_fold, num_folds, setting):
-        calls.append((subject, valid_fold))
-        if subject == "b" and fails:
-            raise RuntimeError("lost")
-        return [(subject, setting.method, setting.params, valid_fold, name, 0.0, 0.0, 1, 2, 3, 4) for name in ("Training", "Validation", "Test")]
+    def group(table, runs, num_folds, parallel_fits):
+        calls.extend((subject, fold) for subject, fold, _ in runs)
+        done = [r for r in runs if r[0] != "b" or not fails]
+        rows = [(s, m.method, m.params, v, name, 0.0, 0.0, 1, 2, 3, 4) for s, v, m in done for name in ("Training", "Validation", "Test")]
+        return rows, [RuntimeError("lost")] * (len(runs) - len(done))
 
-    monkeypatch.setattr(models, "_evaluate", evaluate)
-    table, grid, path = spark.range(1), [models.naive_bayes(0.5)], str(tmp_path / "results")
+    monkeypatch.setattr(models, "_fitted_group", group)
+    grid, path = [models.logistic_regression()], str(tmp_path / "results")
     fails = True
     with pytest.raises(RuntimeError, match="lost"):
-        models.evaluate_grid(table, ["a", "b", "c"], 3, grid, path=path)
+        models.evaluate_grid(training, ["a", "b", "c"], 3, grid, path=path)
     assert len(calls) == 6
     fails = False
-    rows = models.evaluate_grid(table, ["a", "b", "c"], 3, grid, path=path).collect()
+    rows = models.evaluate_grid(training, ["a", "b", "c"], 3, grid, path=path).collect()
     assert sorted(calls[6:]) == [("b", 0), ("b", 1)] and len(rows) == len({(r.subject, r.fold, r.set) for r in rows}) == 18
 
 

@@ -128,7 +128,7 @@ def nb_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def results_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results written as CSV and read back."""
-    rows, path = _nb_results(spark, sf_dir, RANKS), stage_path(spark, "results")
+    rows, path = _nb_results(spark, sf_dir, GRID_RANKS), stage_path(spark, "results")
     datasets.write_csv(rows, path)
     return spark.read.schema(rows.schema).option("header", True).csv(path)
 
@@ -278,7 +278,7 @@ SELECT label, bin, round(pi, 6) AS pi, round(theta, 6) AS theta FROM params WHER
     "confusion": f"WITH {_NB_SQL} SELECT role, {_CELLS_SQL} FROM cells WHERE {_RUN_SQL}",
     "metrics": f"WITH {_NB_SQL} SELECT role, {_RATES_SQL} FROM rates WHERE {_RUN_SQL}",
     "nb_grid": f"WITH {_NB_GRID_SQL} {_RESULTS_SQL}",
-    "results_csv": f"WITH {_NB_SQL} {_RESULTS_SQL}",
+    "results_csv": f"WITH {_NB_GRID_SQL} {_RESULTS_SQL}",
     "dt_presence_predict": f"WITH {_TREE_SQL}",
     "lr_optimality": f"""WITH {_roles_sql(RANKS)},
 settings(params) AS (VALUES {_REGRESSION_ROWS}),

@@ -7,7 +7,7 @@ from time import perf_counter
 from uuid import NAMESPACE_OID, uuid5
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes, NaiveBayesModel
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.errors import AnalysisException
@@ -15,11 +15,16 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from textfeat.operators import folds as fold_ops
-from textfeat.operators import metrics
+from textfeat.operators import linear, metrics
+from textfeat.plans.staging import release, stage
 
 # Models trained at the same time; each is a few Spark jobs.
 PARALLEL_FITS = 4
 
+# Models scored in one pass, and bytes of their weights, which are broadcast.
+GROUP_MODELS = 64
+GROUP_BYTES = 128 << 20
+
 RESULT_KEYS = ["subject", "method", "params", "fold", "set"]
 RESULT_SCHEMA = (
     "subject string, method string, params string, fold bigint, `set` string, "
@@ -153,26 +158,93 @@ def subject_rows(table: DataFrame, subject: str) -> DataFrame:
     return table.where(drawn.isNotNull()).select("doc_id", drawn["label"].alias("label"), drawn["fold"].alias("fold"), "features")
 
 
-def _evaluate(table: DataFrame, subject: str, valid_fold: int, num_folds: int, setting: Setting) -> list[tuple]:
-    rows = subject_rows(table, subject)
-    set_name = fold_ops.role(F.col("fold"), F.lit(valid_fold), num_folds).alias("set")
-    rows = rows.select("doc_id", "label", "features", set_name)
+def chained_confusion(table: DataFrame, fitted: Sequence[tuple[str, int, object]], num_folds: int) -> DataFrame:
+    """``model, set`` with confusion counts of fitted classifiers of any kind, in one pass.
+
+    ``fitted`` holds subject, validation fold and model; ``model`` is the place in it. Each model adds its
+    predictions to the row, so the vectors are read once for all.
+    """
+    rows, found = table, []
+    for i, (subject, valid_fold, model) in enumerate(fitted):
+        alone = model.copy({model.predictionCol: f"p{i}", model.rawPredictionCol: "", model.probabilityCol: ""})
+        rows = alone.transform(rows)
+        place = F.element_at("assigned", F.lit(subject))
+        set_name = fold_ops.role(place["fold"], F.lit(valid_fold), num_folds)
+        found.append(F.struct(F.lit(i).alias("model"), set_name.alias("set"), place["label"].alias("label"), F.col(f"p{i}").cast("bigint").alias("prediction")))
+    rows = rows.select(F.inline(F.array(*found))).where("label IS NOT NULL")
+    return metrics.confusion(rows, ["model", "set"])
+
+
+def _rows_of(counts: DataFrame, keys: Sequence[str]) -> dict[tuple, list[tuple]]:
+    """Set and cells by key."""
+    found: dict[tuple, list[tuple]] = {}
+    for c in counts.collect():
+        cells = (c["set"], c["truePos"], c["falsePos"], c["trueNeg"], c["falseNeg"])
+        found.setdefault(tuple(c[k] for k in keys), []).append(cells)
+    return found
+
+
+Run = tuple[str, int, Setting]
 
+
+def _naive_bayes_group(table: DataFrame, runs: Sequence[Run], num_folds: int) -> list[tuple]:
+    """Result rows of Naive Bayes settings: one pass for the sums of all, one for the scores of all."""
     start = perf_counter()
-    model = fit(setting, rows.where("`set` = 'Training'"))
+    subjects, params = {r[0] for r in runs}, sorted({float(r[2].params) for r in runs}, reverse=True)
+    sums = linear.training_sums(linear.class_sums(table).where(F.col("subject").isin(list(subjects))), num_folds)
+    fitted = stage(linear.naive_bayes(sums, params), "naive-bayes")
     train_time = perf_counter() - start
-
     start = perf_counter()
-    counts = metrics.confusion(predict(model, rows, "set"), ["set"]).collect()
+    try:
+        wanted = {(s, v, setting.method, setting.params) for s, v, setting in runs}
+        found = _rows_of(linear.confusion(table, fitted, num_folds), linear.MODEL_KEYS)
+    finally:
+        release(fitted)
     classify_time = perf_counter() - start
     return [
-        (subject, setting.method, setting.params, valid_fold, c["set"], train_time, classify_time)
-        + (c["truePos"], c["falsePos"], c["trueNeg"], c["falseNeg"])
-        for c in counts
+        (subject, method, param, fold, cells[0], train_time, classify_time, *cells[1:])
+        for (subject, fold, method, param), sets in found.items()
+        if (subject, fold, method, param) in wanted
+        for cells in sets
     ]
 
 
-def _runs(subjects: Sequence[str], num_folds: int, settings: Sequence[Setting]) -> Iterator[tuple]:
+def _fitted_group(table: DataFrame, runs: Sequence[Run], num_folds: int, parallel_fits: int) -> tuple[list[tuple], list[Exception]]:
+    """Result rows of settings that are fitted one by one and scored together, and what failed."""
+    spark = table.sparkSession
+
+    def run(args: Run):
+        subject, valid_fold, setting = args
+        start = perf_counter()
+        try:
+            rows = subject_rows(table, subject)
+            training = rows.where(fold_ops.role(F.col("fold"), F.lit(valid_fold), num_folds) == "Training")
+            return fit(setting, training), perf_counter() - start
+        except Exception as error:  # raised when the other models are through
+            return error
+
+    with ThreadPoolExecutor(parallel_fits) as pool:
+        found = list(pool.map(inheritable_thread_target(spark)(run), runs))
+    errors = [f for f in found if isinstance(f, Exception)]
+    done = [(r, *f) for r, f in zip(runs, found) if not isinstance(f, Exception)]
+    rows: list[tuple] = []
+    lines = [d for d in done if isinstance(d[1], LogisticRegressionModel)]
+    others = [d for d in done if not isinstance(d[1], LogisticRegressionModel)]
+    if lines:
+        table_rows = [(s, v, t.method, t.params, float(m.intercept), m.coefficients.toArray().tolist()) for (s, v, t), m, _ in lines]
+        start = perf_counter()
+        counts = _rows_of(linear.confusion(table, spark.createDataFrame(table_rows, linear.MODEL_SCHEMA), num_folds), linear.MODEL_KEYS)
+        took = perf_counter() - start
+        rows += [(s, t.method, t.params, v, c[0], train, took, *c[1:]) for (s, v, t), _, train in lines for c in counts.get((s, v, t.method, t.params), [])]
+    if others:
+        start = perf_counter()
+        counts = _rows_of(chained_confusion(table, [(s, v, m) for (s, v, _), m, _ in others], num_folds), ["model"])
+        took = perf_counter() - start
+        rows += [(s, t.method, t.params, v, c[0], train, took, *c[1:]) for i, ((s, v, t), _, train) in enumerate(others) for c in counts.get((i,), [])]
+    return rows, errors
+
+
+def _runs(subjects: Sequence[str], num_folds: int, settings: Sequence[Setting]) -> Iterator[Run]:
     for subject in subjects:
         for valid_fold in range(num_folds - 1):
             for setting in settings:
@@ -189,12 +261,14 @@ def evaluate_grid(
 ) -> DataFrame:
     """Confusion counts and seconds of every subject, validation fold, setting and set.
 
-    ``table`` is a staged ``training_table``. Runs the jobs of all fits, a few at a time; each
-    model scores its three sets in one pass, so the three rows share one ``classifyTime``.
-    Only models and counts reach the driver.
+    ``table`` is a staged ``training_table``. Naive Bayes comes from sums that are taken once for all
+    subjects and folds; other models are fitted a few at a time. Models are scored in groups of up to
+    ``GROUP_MODELS``, whose weights are broadcast: one pass over the vectors for all linear models of a
+    group and one for all trees. So the models of a pass share one ``classifyTime``, and those of Naive
+    Bayes one ``trainTime``. Only models and counts reach the driver.
 
     A fit that fails does not stop the others; its error is raised after them. With ``path`` the
-    rows of every model are written below it as soon as they are there, and a rerun fits only what
+    rows of every group are written below it as soon as they are there, and a rerun fits only what
     is missing. Use a new path for another table.
     """
     if num_folds < 3:
@@ -208,23 +282,31 @@ def evaluate_grid(
         if (subject, setting.method, setting.params, valid_fold) not in done
     ]
 
-    def run(args: tuple) -> list[tuple] | Exception:
-        subject, valid_fold, setting = args
-        try:
-            rows = _evaluate(table, subject, valid_fold, num_folds, setting)
-            if path:  # a folder for each model, as several are written at a time
-                name = uuid5(NAMESPACE_OID, repr((subject, setting.method, setting.params, valid_fold))).hex
-                spark.createDataFrame(rows, RESULT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
-        except Exception as error:  # raised below, when the other models are through
-            return error
-        return rows
-
-    with ThreadPoolExecutor(parallel_fits) as pool:
-        found = list(pool.map(inheritable_thread_target(spark)(run), missing))
-    for error in found:
-        if isinstance(error, Exception):
-            raise error
-    return spark.createDataFrame([tuple(r) for r in finished] + [row for rows in found for row in rows], RESULT_SCHEMA)
+    size = table.select("features").first()
+    group = max(1, min(GROUP_MODELS, GROUP_BYTES // (8 * size.features.size))) if size else GROUP_MODELS
+    by_sums = [r for r in missing if isinstance(r[2].estimator, NaiveBayes)]
+    one_by_one = [r for r in missing if not isinstance(r[2].estimator, NaiveBayes)]
+    rows: list[tuple] = []
+    errors: list[Exception] = []
+    for begin in range(0, len(by_sums), group):
+        made = _naive_bayes_group(table, by_sums[begin : begin + group], num_folds)
+        _save(spark, made, path)
+        rows += made
+    for begin in range(0, len(one_by_one), group):
+        made, failed = _fitted_group(table, one_by_one[begin : begin + group], num_folds, parallel_fits)
+        _save(spark, made, path)
+        rows += made
+        errors += failed
+    if errors:
+        raise errors[0]
+    return spark.createDataFrame([tuple(r) for r in finished] + rows, RESULT_SCHEMA)
+
+
+def _save(spark: SparkSession, rows: list[tuple], path: str | None) -> None:
+    """Write the rows of a group of models below ``path``."""
+    if path and rows:
+        name = uuid5(NAMESPACE_OID, repr(sorted({row[:4] for row in rows}))).hex
+        spark.createDataFrame(rows, RESULT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def _finished(spark: SparkSession, path: str) -> list[Row]:
