@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from textfeat.operators import clean, hashing, subjects
+from textfeat.operators import clean, hashing, subjects, terms
 from textfeat.sources import datasets, library, metadata
 
 START = "\r\n*** START OF X GUTENBERG Y ***\r\n"
@@ -44,6 +44,26 @@ def test_charset(spark, tree):
     assert "café x" in [r.text for r in found.collect()]
 
 
+def test_charset_by_variant(spark, tree):
+    for name, content in {"d/7-8.txt": "[EBook #7] na\xefve \xc3\xa9".encode("latin-1"), "d/8-0.txt": "[EBook #8] na\xefve".encode(), "d/9.txt": b"[EBook #9] caf\xe9"}.items():
+        (tree / name).parent.mkdir(exist_ok=True)
+        (tree / name).write_bytes(content)
+    found = library.read_library(spark, str(tree), ["d"], 1.0, charset=library.BY_VARIANT)
+    assert {r.doc_id: r.body for r in clean.identify(found).collect()} == {7: "[EBook #7] na\xefve \xc3\xa9", 8: "[EBook #8] na\xefve", 9: "[EBook #9] caf\xe9"}
+    words = terms.term_counts(clean.identify(found)).where("doc_id <> 8").collect()
+    assert {"naïve", "café"} <= {r.word for r in words}  # kept whole
+
+
+def test_texts_are_not_shuffled_and_patterns_run_once(spark, tree):
+    found = clean.identify(library.read_library(spark, f"{tree}/", ["a", "b"], 1.0, max_rows=2))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    texts = plan[plan.index("Generate") :]
+    scan = texts.index("FileScan text")
+    assert "Exchange hash" not in texts[:scan] and "SortMergeJoin" not in texts[:scan] and "Exchange SinglePartition" not in texts[:scan]
+    assert plan.count("(ebook|etext)") == 1 and plan.count(r"\r\n?") == 1
+    assert plan.index("(ebook|etext)") < plan.index("BroadcastHashJoin")  # of chosen files only
+
+
 def test_size_bound_is_inclusive(spark, tree):
     found = library.read_texts(spark, [f"{tree}/a"], 3000 / 1048576)
     assert "2-0.txt" in {r.path.rsplit("/", 1)[1] for r in found.collect()}

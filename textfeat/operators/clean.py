@@ -27,8 +27,8 @@ def identify(files: DataFrame, keep_unidentified: bool = False) -> DataFrame:
     Texts without an id would all share -1 and be counted as one document; they are dropped
     unless asked for.
     """
-    books = files.select(
-        text.document_id(F.col("text")).alias("doc_id"),
-        text.strip_boilerplate(F.col("text")).alias("body"),
-    )
+    # Handed on through a generator, so that a filter on the id stays above it and is not pushed below
+    # with the patterns once more in it.
+    book = F.struct(text.document_id(F.col("text")).alias("doc_id"), text.strip_boilerplate(F.col("text")).alias("body"))
+    books = files.select(F.inline(F.array(book)))
     return books if keep_unidentified else books.where(F.col("doc_id") != text.UNIDENTIFIED)

@@ -9,18 +9,24 @@ in one pass over the vectors; the training set of a run is all folds but two, so
 subject, validation fold and smoothing comes from these sums alone.
 """
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textfeat.operators import folds as fold_ops
-from textfeat.operators import metrics
 
 MODEL_SCHEMA = "subject string, fold bigint, method string, params string, bias double, weights array<double>"
 MODEL_KEYS = ["subject", "fold", "method", "params"]
+SETS = ("Training", "Validation", "Test")
+CELLS = ["truePos", "falsePos", "trueNeg", "falseNeg"]
+
+# Bytes of products held at a time.
+SLICE_BYTES = 32 << 20
 
 
 def drawn(table: DataFrame, *others: str) -> DataFrame:
@@ -81,36 +87,73 @@ def naive_bayes(training: DataFrame, smoothings: Sequence[float], method: str =
     )
 
 
-def margin(features: str, weights: str, bias: str) -> Column:
-    """``bias + weights . features`` over the entries a vector holds; a bin beyond the weights adds 0."""
-    stored = F.unwrap_udt(F.col(features))
-    values, indices = stored["values"], stored["indices"]
-    n = F.size(values)
-    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-
-    def added(total: Column, i: Column) -> Column:
-        bin_ = F.when(indices.isNull(), i).otherwise(F.get(indices, i))
-        return total + F.get(values, i) * F.coalesce(F.get(F.col(weights), bin_), F.lit(0.0))
-
-    return F.aggregate(places, F.col(bias), added)
+def _role_counts(models: list, num_folds: int, sets: Sequence[str]):
+    """Confusion cells of all models over the rows of a task, as ``model, set`` and four numbers."""
+    width = max((len(m.weights) for m in models), default=0)
+    matrix = np.zeros((width + 1, len(models)))  # the last row is for bins beyond the weights
+    for k, m in enumerate(models):
+        matrix[: len(m.weights), k] = m.weights
+    bias = np.array([m.bias for m in models])
+    subjects = sorted({m.subject for m in models})
+    own, valid = np.array([subjects.index(m.subject) for m in models]), np.array([m.fold for m in models])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(len(models) * len(sets) * 4, np.int64)
+        for batch in batches:
+            places = batch.column("places").flatten()
+            label, fold = (places.field(i).to_numpy(zero_copy_only=False).astype(float).reshape(-1, len(subjects)) for i in range(2))
+            margins = bias + _products(batch.column("indices"), batch.column("values"), matrix)
+            label, fold = label[:, own], fold[:, own]
+            role = np.where(fold == num_folds - 1, 2, np.where(fold == valid, 1, 0))
+            slot = ((np.arange(len(models)) * len(sets) + role) * 2 + (label == 1)) * 2 + (margins > 0)
+            cells += np.bincount(slot[~np.isnan(label)], minlength=len(cells))
+        found = cells.reshape(-1, 4)
+        used = np.flatnonzero(found.any(1))
+        # Label and prediction: 00 01 10 11.
+        columns = [used // len(sets), used % len(sets), *(found[used, i] for i in (3, 1, 0, 2))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["model", "role", *CELLS])
+
+    return run
+
+
+def _products(indices: pa.ListArray, values: pa.ListArray, matrix: np.ndarray) -> np.ndarray:
+    """Product of sparse rows and a matrix, some entries at a time."""
+    ends = np.concatenate([[0], np.cumsum(indices.value_lengths().to_numpy())])
+    at = np.minimum(indices.flatten().to_numpy(), len(matrix) - 1)
+    held = values.flatten().to_numpy()
+    out = np.zeros((len(ends) - 1, matrix.shape[1]))
+    step = max(1, SLICE_BYTES // (8 * matrix.shape[1]))
+    begin = 0
+    while begin < len(out):
+        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + step, side="right")) - 1)
+        some = slice(ends[begin], ends[end])
+        filled = np.flatnonzero(np.diff(ends[begin : end + 1]))
+        if len(filled):
+            made = held[some, None] * matrix[at[some]]
+            out[begin + filled] = np.add.reduceat(made, ends[begin:end][filled] - ends[begin], axis=0)
+        begin = end
+    return out
 
 
 def confusion(table: DataFrame, models: DataFrame, num_folds: int) -> DataFrame:
     """``subject, fold, method, params, set`` with confusion counts of all linear ``models``.
 
-    One pass over the training table. The models are broadcast, so their weights must be few enough:
-    ``models.evaluate_grid`` scores them in groups of bounded size.
+    One pass over the training table. The weights of all models come to the driver and go to every task
+    as one matrix, so they must be few enough: ``models.evaluate_grid`` scores them in groups of bounded
+    size. A batch of rows is multiplied with it at once, and a task hands on a few numbers a model.
     """
-    own = models.select(*MODEL_KEYS, "bias", "weights").withColumnRenamed("fold", "valid_fold")
-    rows = drawn(table, "features").join(F.broadcast(own), "subject")
-    rows = rows.select(
-        "subject",
-        F.col("valid_fold"),
-        "method",
-        "params",
-        fold_ops.role(F.col("fold"), F.col("valid_fold"), num_folds).alias("set"),
-        "label",
-        (margin("features", "weights", "bias") > 0).cast("bigint").alias("prediction"),
-    )
-    counts = metrics.confusion(rows, ["subject", "valid_fold", "method", "params", "set"])
-    return counts.withColumnRenamed("valid_fold", "fold")
+    spark = table.sparkSession
+    rows = models.select(*MODEL_KEYS, "bias", "weights").orderBy(*MODEL_KEYS).collect()
+    subjects = sorted({r.subject for r in rows})
+    stored = F.unwrap_udt("features")
+    dense = F.when(F.size(stored["values"]) > 0, F.sequence(F.lit(0), F.size(stored["values"]) - 1)).otherwise(F.array().cast("array<int>"))
+    places = [F.element_at("assigned", F.lit(s)) for s in subjects]
+    place = [F.struct(p["label"].cast("bigint").alias("label"), p["fold"].cast("bigint").alias("fold")) for p in places]
+    wanted = table.select(F.coalesce(stored["indices"], dense).alias("indices"), stored["values"].alias("values"), F.array(*place).alias("places"))
+    if not rows:
+        wanted = wanted.limit(0)
+    partial = wanted.mapInArrow(_role_counts(rows, num_folds, SETS), f"model long, role long, {', '.join(c + ' long' for c in CELLS)}")
+    counts = partial.groupBy("model", "role").agg(*(F.sum(c).alias(c) for c in CELLS))
+    names = spark.createDataFrame([(i, *(r[k] for k in MODEL_KEYS)) for i, r in enumerate(rows)], "model long, subject string, fold bigint, method string, params string")
+    set_name = F.get(F.array(*map(F.lit, SETS)), F.col("role").cast("int")).alias("set")
+    return counts.join(F.broadcast(names), "model").select(*MODEL_KEYS, set_name, *CELLS)
