@@ -107,6 +107,20 @@ def test_op9_equals_brute_force(spark, texts):
     assert len(rows) == len(ids) and {r.doc_id: (r.fingerprint, r.component_id) for r in rows} == expected
 
 
+def test_the_gray_tree_decides(spark):
+    """On real fingerprints in one cell: some nodes are compared, few pairs are left, and none is lost."""
+    found = simhash.fingerprints(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).select("fp").distinct().collect()
+    codes = np.sort(np.array([r.fp for r in found], np.int64).view(np.uint64))[::2]
+    index = simhash.GrayIndex(simhash.turned(codes, 16))
+    index.link()
+    every = len(codes) * (len(codes) - 1) // 2
+    assert len(codes) > 4000 and 0 < index.node_pairs < every / 10 and index.code_pairs < every / 4
+    label = components_of(codes)
+    at = {int(c): i for i, c in enumerate(simhash.turned(index.codes, -16))}
+    ours = [index.parent[at[int(c)]] for c in codes]
+    assert len(set(zip(ours, label.tolist()))) == len(set(ours)) == len(set(label.tolist()))
+
+
 @pytest.mark.parametrize("cell_rows", [8192, 50])
 def test_links_of_near_and_chained_fingerprints(spark, cell_rows):
     rng = np.random.default_rng(3)

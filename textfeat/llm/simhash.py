@@ -2,11 +2,12 @@
 
 Fingerprints are the bitwise majority of the XXH64 (seed 42) of word shingles. Equal fingerprints
 are grouped first; all further work is on different ones. Two that differ in at most three bits
-agree in one of four blocks of 16 bits, so each fingerprint is dealt to four cells, one for each
-block. In a cell fingerprints are sorted by Gray rank and put under a tree whose nodes hold the bits
-that all fingerprints below share; two nodes are compared on the bits both hold, and where more than
-the threshold differ, no pair below them is looked at. A node's bits include those of the nodes
-above it, so differences add up on the way down.
+agree in one of four blocks of 16 bits, so each fingerprint is dealt four times, by a hash of each block,
+to so many cells that each holds some thousands. In a cell fingerprints are turned until the block leads,
+sorted by Gray rank and put under a tree whose nodes hold the bits that all fingerprints below share;
+two nodes are compared on the bits both hold, and where more than the threshold differ, no pair below
+them is looked at. A node's bits include those of the nodes above it, so differences add up on the way
+down.
 
 A cell returns each fingerprint linked to the least of its group, never all pairs. Cells of more
 than ``CELL_ROWS`` are split: their rows are dealt to parts by hash and every pair of parts is a cell
@@ -18,7 +19,6 @@ of their own, linked by their equal fingerprints. An empty table gives an empty
 """
 
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,11 @@ SHINGLE = 3
 DISTANCE = 3
 CELL_ROWS = 8192
 
+# Cells of a block at most, as the crowded ones are broadcast.
+BLOCK_CELLS = 65536
+
 # Children of a node; fingerprints under a node of the lowest level.
-FANOUT = 16
+FANOUT = 4
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -92,6 +95,8 @@ class GrayIndex:
         self.codes = codes[np.argsort(gray_rank(codes), kind="stable")]
         self.distance = distance
         self.parent = np.arange(len(codes))
+        # Pairs of nodes compared, and of fingerprints.
+        self.node_pairs = self.code_pairs = 0
         # From the fingerprints up: bits shared below a node and their values.
         self.levels = [(np.full(len(codes), ~np.uint64(0)), self.codes)]
         while len(self.levels[-1][0]) > FANOUT:
@@ -110,6 +115,10 @@ class GrayIndex:
         while todo:
             level, i, j = todo.pop()
             mask, value = self.levels[level]
+            if level:
+                self.node_pairs += len(i)
+            else:
+                self.code_pairs += len(i)
             near = np.bitwise_count((value[i] ^ value[j]) & mask[i] & mask[j]) <= self.distance
             i, j = i[near], j[near]
             if not len(i):
@@ -150,23 +159,27 @@ def links(different: DataFrame, distance: int = DISTANCE, cell_rows: int = CELL_
     if not 0 <= distance < 64:
         raise ValueError(f"distance {distance} is not in 0 to 63")
     blocks = max(4, distance + 1)
+    # Half full on average; the crowded ones are split below.
+    cells = min(BLOCK_CELLS, max(1, 2 * different.count() // cell_rows))
     block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     dealt = different.select("fp", block)
     # Block b holds the bits from 64 b // blocks on, up to the next block.
-    value = F.expr(f"shiftrightunsigned(fp, int(64 * block div {blocks})) & (shiftleft(1, int(64 * (block + 1) div {blocks} - 64 * block div {blocks})) - 1)")
-    dealt = dealt.withColumn("cell", (F.col("block") * 65536 + value).cast("int")).drop("block")
+    value = F.expr(f"shiftrightunsigned(fp, int(64 * block div {blocks})) & (shiftleft(1L, int(64 * (block + 1) div {blocks} - 64 * block div {blocks})) - 1)")
+    dealt = dealt.withColumn("cell", (F.col("block") * cells + F.pmod(F.xxhash64(value), F.lit(cells))).cast("int")).drop("block")
     hot = keep(dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell_rows), "hot-cells")
-    # There are at most 4 * 65536 cells, however many fingerprints.
     dealt = dealt.join(F.broadcast(hot), "cell", "left")
     parts = F.coalesce(F.ceil(F.col("n") / cell_rows), F.lit(1)).cast("int")
     part = F.pmod(F.xxhash64("fp"), parts).cast("int")
     other = F.explode(F.sequence(F.lit(0), parts - 1)).alias("other")
     dealt = dealt.select("fp", "cell", part.alias("part"), other)
     dealt = dealt.select("fp", "cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
-    return dealt.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high").mapInArrow(_grouped(distance), "u long, v long")
+    return dealt.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high").mapInArrow(_grouped(distance, blocks, cells), "u long, v long")
+
 
+def _grouped(distance: int, blocks: int, cells: int):
+    def stars_of(held: list[np.ndarray], cell: int) -> np.ndarray:
+        return _stars(held, distance, 64 - 64 * (cell // cells + 1) // blocks)
 
-def _grouped(distance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         key = None
@@ -177,32 +190,30 @@ def _grouped(distance: int):
             out = []
             for begin, end in zip([0, *cuts], [*cuts, len(fp)]):
                 if key is not None and key != tuple(keys[begin]):
-                    out.append(_stars(held, distance))
+                    out.append(stars_of(held, key[0]))
                     held = []
                 key = tuple(keys[begin])
                 held.append(fp[begin:end])
             yield _edges(out)
-        yield _edges([_stars(held, distance)])
+        yield _edges([stars_of(held, key[0])] if held else [])
 
     return run
 
 
-@cache
-def _pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.triu_indices(n, 1)
+def turned(codes: np.ndarray, by: int) -> np.ndarray:
+    """Words rotated to the left."""
+    by %= 64
+    return codes if not by else (codes << np.uint64(by)) | (codes >> np.uint64(64 - by))
 
 
-def _stars(held: list[np.ndarray], distance: int) -> np.ndarray:
-    none = np.empty((0, 2), np.int64)
-    if not held or len(codes := np.concatenate(held).view(np.uint64)) < 2:
-        return none
-    if len(codes) <= FANOUT:  # one leaf; mostly nothing is near in it
-        i, j = _pairs(len(codes))
-        if not (np.bitwise_count(codes[i] ^ codes[j]) <= distance).any():
-            return none
-    index = GrayIndex(codes, distance)
+def _stars(held: list[np.ndarray], distance: int, by: int) -> np.ndarray:
+    """Links of a cell whose block leads after a rotation to the left."""
+    codes = np.concatenate(held).view(np.uint64)
+    if len(codes) < 2:
+        return np.empty((0, 2), np.int64)
+    index = GrayIndex(turned(codes, by), distance)
     index.link()
-    codes = index.codes.view(np.int64)
+    codes = turned(index.codes, -by).view(np.int64)
     found = np.flatnonzero(index.parent != np.arange(len(codes)))
     return np.column_stack([codes[found], codes[index.parent[found]]])
 

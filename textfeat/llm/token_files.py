@@ -25,21 +25,22 @@ from textfeat.llm.tokens import encoder
 from textfeat.plans import sizing
 from textfeat.plans.staging import release
 
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 20
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_tokens: int = BLOCK_TOKENS, id_column: str = "doc_id", text_column: str = "text") -> None:
     """Encode every text, append ``end_id`` to each and write the files below ``path``.
 
-    Texts are shuffled once, into id ranges; ids are counted in a second pass over the staged
-    blocks, as the table of all frequencies must be there before the first block is coded.
+    Texts are shuffled once, into id ranges, and their ids staged in blocks, as the table of all
+    frequencies must be there before the first block is coded. Each block carries the counts of its ids,
+    so the ids are read once more only, to be coded.
     """
     id_type = docs.schema[id_column].dataType.simpleString()
     tie = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     ordered = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     ordered = ordered.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
-    fields = f"part long, block long, first long, n_tokens long, ids binary, doc_ids array<{id_type}>, lengths array<long>"
-    raw = keep(ordered.mapInArrow(_to_blocks(tokenizer, end_id, block_tokens), fields), "token-blocks")
+    fields = f"part long, block long, first long, n_tokens long, ids binary, counts binary, doc_ids array<{id_type}>, lengths array<long>"
+    raw = keep(ordered.mapInArrow(_to_blocks(tokenizer, end_id, block_tokens), fields), "token-blocks", compression="lz4")
 
     table = _frequencies(raw)
     starts = raw.groupBy("part").agg(F.sum("n_tokens").alias("n"), F.min("part").alias("p"))
@@ -79,8 +80,10 @@ def _to_blocks(tokenizer: str, end_id: int, block_tokens: int):
         id_type = None
 
         def block() -> pa.RecordBatch:
-            values = [[part], [number], [first], [size], [b"".join(held)], pa.array([doc_ids], pa.list_(id_type)), [lengths]]
-            return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for v in values], ["part", "block", "first", "n_tokens", "ids", "doc_ids", "lengths"])
+            ids = b"".join(held)
+            counts = np.bincount(np.frombuffer(ids, "<u4")).astype("<u4").tobytes()
+            values = [[part], [number], [first], [size], [ids], [counts], pa.array([doc_ids], pa.list_(id_type)), [lengths]]
+            return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for v in values], ["part", "block", "first", "n_tokens", "ids", "counts", "doc_ids", "lengths"])
 
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
@@ -101,12 +104,12 @@ def _to_blocks(tokenizer: str, end_id: int, block_tokens: int):
 
 
 def _frequencies(raw: DataFrame) -> rans.Frequencies:
-    """Counts of all ids in all documents, combined per task; one row per id of the vocabulary."""
+    """Counts of all ids in all blocks, combined per task; one row per id of the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
-        for (ids,) in (row for batch in batches for row in rows_of(batch, "ids")):
-            found = np.bincount(np.frombuffer(ids, "<u4"))
+        for (block,) in (row for batch in batches for row in rows_of(batch, "counts")):
+            found = np.frombuffer(block, "<u4").astype(np.int64)
             if len(found) > len(counts):
                 found[: len(counts)] += counts
                 counts = found
@@ -115,7 +118,7 @@ def _frequencies(raw: DataFrame) -> rans.Frequencies:
         tokens = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(counts[tokens])], ["token", "n"])
 
-    rows = raw.select("ids").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    rows = raw.select("counts").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r.token for r in rows), default=0) + 1, np.int64)
     for r in rows:
         counts[r.token] = r.n
