@@ -2,13 +2,19 @@
 
 Each stage takes what the one before kept, as a table read back from Parquet, and returns documents
 with all their columns; the last returns the pieces of the packed sequences.
+
+Nulls, empty and very long texts, repeated rows and null or repeated ids are documents like any other: a
+null or empty text has no words, so quality judges its shape, line_dedup leaves it, near_dedup keeps one
+of all such texts, the mix takes none of it and it gives no piece. Of equal rows one stays after
+near_dedup; ties go to the smaller id, nulls last, then to the hash of the text. Columns of other names
+pass through every stage but the last. Empty tables give empty results at every stage.
 """
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textfeat.llm import lines, mixing, near, packing, quality, queries, simhash
+from textfeat.llm import lines, mixing, packing, quality, queries, simhash
 from textfeat.llm.shared import keep, table
 
 
@@ -30,8 +36,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: five-word shingles, similarity 0.8 or more."""
-    return simhash.one_of_each(docs, find=near.components)
+    """One document of each component of SimHash near copies: three-word shingles, three bits at most."""
+    return simhash.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
