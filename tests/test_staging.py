@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from __spark_entry__ import queries
 from textfeat.plans import staging
 
 
@@ -15,6 +16,35 @@ def test_stage_cuts_the_lineage_and_can_be_released(spark):
     assert not os.path.exists(folder)
 
 
+def folders(spark):
+    return set(os.listdir(os.path.join(staging.shared_folder(spark), "textfeat")))
+
+
+def test_an_owner_deletes_what_was_staged(spark):
+    kept = staging.stage(spark.range(3), "kept")
+    before = folders(spark)
+    with staging.owned(spark):
+        staged = staging.stage(spark.range(5), "gone")
+        with staging.owned(spark):
+            assert staging.stage(spark.range(2), "inner").count() == 2
+        assert staged.count() == 5 and len(folders(spark)) == len(before) + 1
+    with pytest.raises(KeyError):
+        with staging.owned(spark):
+            staging.stage(spark.range(5), "gone")
+            raise KeyError
+    assert folders(spark) == before and kept.count() == 3
+    staging.release(kept)
+
+
+@pytest.mark.parametrize("name", ["word_count", "tfidf", "index_tfidf", "shared_batch_merge", "nb_grid"])
+def test_no_query_leaves_tables_behind(spark, name):
+    staging.stage(spark.range(1), "other")
+    before = folders(spark)
+    with staging.owned(spark):
+        assert queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert folders(spark) == before
+
+
 def test_release_leaves_other_tables_alone(spark, tmp_path):
     path = str(tmp_path / "own")
     spark.range(3).write.parquet(path)

@@ -113,6 +113,28 @@ def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _written_index(spark: SparkSession, sf_dir: str) -> str:
+    path = stage_path(spark, "index")
+    counts = terms.term_counts(inputs.documents(spark, sf_dir), with_max=True)
+    index.write_index(terms.term_frequency(counts), path, BLOCK_SIZE)
+    release(counts)
+    return path
+
+
+def index_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights from the written index alone."""
+    return index.index_tfidf(spark, _written_index(spark, sf_dir)).select("doc_id", "word", _six("tfidf"))
+
+
+def index_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted blocks of the words that many documents have."""
+    path = _written_index(spark, sf_dir)
+    vocabulary = stage(index.index_vocabulary(spark, path, MIN_DOC_PCT), "vocabulary")
+    blocks = index.weighted_index(spark, path, vocabulary)
+    total = F.aggregate("weights", F.lit(0.0), lambda acc, w: acc + w["tfidf"])
+    return blocks.select("word", "block", F.size("weights").cast("bigint").alias("n_postings"), F.round(total, 6).alias("sum_tfidf"))
+
+
 def _batch_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequency states of the batches of documents, written and read back."""
     batch = (F.col("doc_id") % BATCHES).alias("batch")
@@ -196,6 +218,8 @@ QUERIES = {
     "tfidf": tfidf,
     "tfidf_vector": tfidf_vector,
     "inverted_index": inverted_index,
+    "index_tfidf": index_tfidf,
+    "index_weights": index_weights,
     "df_batch_merge": df_batch_merge,
     "df_resume_merge": df_resume_merge,
     "shared_word_count": shared_word_count,
@@ -228,6 +252,8 @@ _SHARED_SQL = f"documents AS (SELECT conv_id AS doc_id, text FROM conversations)
 
 _SHARED_DF_SQL = f"WITH {_SHARED_SQL} SELECT word, count(*) AS df FROM counts GROUP BY word"
 _DF_SQL = f"WITH {COUNTS_SQL} SELECT word, count(*) AS df FROM counts GROUP BY word"
+_TFIDF_SQL = f"""WITH {IDF_SQL},{TF_SQL}
+SELECT doc_id, word, round(tf * idf, 6) AS tfidf FROM tf JOIN idf USING (word)"""
 _IDF_SQL = f"WITH {IDF_SQL} SELECT word, df, round(idf, 6) AS idf FROM idf"
 
 ORACLES = {
@@ -245,8 +271,7 @@ SELECT (SELECT n_docs FROM size) AS n_docs, (SELECT count(*) FROM freq) AS vocab
     "idf": _IDF_SQL,
     "vocab_prune": f"WITH {PRUNED_SQL} SELECT word, df, round(idf, 6) AS idf FROM kept",
     "term_frequency": f"WITH {COUNTS_SQL},{TF_SQL} SELECT doc_id, word, round(tf, 6) AS tf FROM tf",
-    "tfidf": f"""WITH {IDF_SQL},{TF_SQL}
-SELECT doc_id, word, round(tf * idf, 6) AS tfidf FROM tf JOIN idf USING (word)""",
+    "tfidf": _TFIDF_SQL,
     "tfidf_vector": f"""WITH {WEIGHTS_SQL}
 SELECT doc_id, 0::BIGINT AS part, count(*) AS n_terms, round(sum(tfidf), 6) AS sum_tfidf,
        string_agg(word, ' ' ORDER BY word) AS words
@@ -255,6 +280,10 @@ FROM weights GROUP BY doc_id""",
 SELECT word, doc_id // {BLOCK_SIZE} AS block, count(*) AS n_postings, round(sum(tf), 6) AS sum_tf,
        string_agg(doc_id::VARCHAR, ' ' ORDER BY doc_id) AS doc_ids
 FROM tf GROUP BY ALL""",
+    "index_tfidf": _TFIDF_SQL,
+    "index_weights": f"""WITH {WEIGHTS_SQL}
+SELECT word, doc_id // {BLOCK_SIZE} AS block, count(*) AS n_postings, round(sum(tfidf), 6) AS sum_tfidf
+FROM weights GROUP BY ALL""",
     "df_batch_merge": _DF_SQL,
     "df_resume_merge": _IDF_SQL,
     "shared_word_count": f"WITH {_SHARED_SQL} SELECT doc_id, word, cnt FROM counts",

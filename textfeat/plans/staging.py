@@ -7,11 +7,17 @@ which it chooses join strategies.
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Paths handed out, for each owner that is open, the innermost last. Threads of a run share them.
+_owners: list[list[str]] = []
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="textfeat-")
@@ -28,7 +34,34 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/textfeat/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/textfeat/{label}-{uuid.uuid4().hex}"
+    if _owners:
+        _owners[-1].append(path)
+    return path
+
+
+@contextmanager
+def owned(spark: SparkSession) -> Iterator[None]:
+    """Deletes what is staged inside when it is left, also after an error.
+
+    Results that read staged tables have to be read inside; written, collected or counted::
+
+        with staging.owned(spark):
+            runs.count_corpus(docs).tf.write.parquet(path)
+    """
+    mine: list[str] = []
+    _owners.append(mine)
+    try:
+        yield
+    finally:
+        _owners.remove(mine)
+        for path in mine:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -36,15 +69,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = stage_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_path = path  # so that release need not list the files
+    return staged
 
 
 def release(staged: DataFrame) -> None:
-    """Delete the files of a staged table that is no longer needed."""
+    """Delete the files of staged tables that are no longer needed: of the one that ``stage`` gave, or of
+    all that a result reads."""
     spark = staged.sparkSession
+    if path := getattr(staged, "_staged_path", None):
+        _delete(spark, path)
+        return
     root = f"{shared_folder(spark)}/textfeat/"
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     for folder in {file.rsplit("/", 1)[0] for file in staged.inputFiles()}:
         path = hadoop.Path(folder)
         if path.toUri().getPath().startswith(hadoop.Path(root).toUri().getPath()):
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(spark, folder)
