@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textfeat.catalog import features, subjects
 from textfeat.operators import folds as fold_ops
 from textfeat.operators import metrics as metric_ops
-from textfeat.operators import models
+from textfeat.operators import models, trees
 from textfeat.plans import runs
 from textfeat.plans.staging import release, stage, stage_path
 from textfeat.sources import datasets
@@ -18,6 +18,7 @@ NUM_FOLDS = 3
 SMOOTHING = 0.5
 SMOOTHINGS = (0.5, 0.1)
 TREE_DEPTH = 3
+TREE_CUTS = (0.0, 0.2)
 
 # How far a fitted sum may be off, as a share of the sum over all training documents.
 FIT_TOLERANCE = 0.002
@@ -87,6 +88,27 @@ def dt_presence_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.predict(model, rows, "doc_id", "role")
 
 
+def dt_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trees of all subjects and validation folds, over weights in steps: what each split
+    does to the training documents and what it gains, which SQL finds by growing the trees."""
+    table, names = _training(spark, sf_dir, GRID_RANKS)
+    steps = stage(trees.levelled(table, TREE_CUTS), "steps")
+    release(table)
+    found = None
+    for subject in names:
+        for valid_fold in range(NUM_FOLDS - 1):
+            rows = models.subject_rows(steps, subject)
+            rows = rows.where(fold_ops.role(F.col("fold"), F.lit(valid_fold), NUM_FOLDS) == "Training")
+            model = models.fit(models.decision_tree(TREE_DEPTH, 10), rows)
+            one = trees.tree_table(rows, trees.nodes(model))
+            one = one.select(F.lit(subject).alias("subject"), F.lit(valid_fold).cast("bigint").alias("fold"), "*")
+            found = one if found is None else found.unionByName(one)
+    # A leaf sends nobody on and gains nothing.
+    found = found.fillna(0, ["n_right", "pos_right", "gain"])
+    rounded = {c: F.round(c, 6) for c in ("impurity", "gain")}
+    return found.withColumns(rounded).select("subject", "fold", "node", "n", "n_pos", "n_right", "pos_right", "impurity", "gain", F.col("prediction").cast("bigint").alias("prediction"))
+
+
 def lr_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether logistic regressions are at their optimum, where they are fitted to the class sums.
 
@@ -162,6 +184,7 @@ QUERIES = {
     "dt_predict": dt_predict,
     "lr_predict": lr_predict,
     "dt_presence_predict": dt_presence_predict,
+    "dt_model": dt_model,
     "lr_optimality": lr_optimality,
     "lr_grid": lr_grid,
     "nb_grid": nb_grid,
@@ -256,6 +279,76 @@ leaves AS (
   FROM at{TREE_DEPTH} WHERE role = 'Training' GROUP BY node)
 SELECT doc_id, role, label, prediction FROM at{TREE_DEPTH} JOIN leaves USING (node)"""
 
+def _step_level_sql(k: int) -> str:
+    """The same for all runs at once, over steps: a split parts the steps up to a cut from those above it."""
+    gain = (
+        f"{_gini('pos', 'n')} - (n - n1)::DOUBLE / n * {_gini('(pos - pos1)', '(n - n1)')}"
+        f" - n1::DOUBLE / n * {_gini('pos1', 'n1')}"
+    )
+    return f""",
+size{k} AS (SELECT subject, fold, node, count(*) AS n, sum(label) AS pos FROM at{k} GROUP BY ALL),
+hit{k} AS (
+  SELECT subject, fold, node, bin, cut, count(*) AS n1, sum(label) AS pos1
+  FROM at{k} JOIN steps USING (doc_id), cuts WHERE step > cut GROUP BY ALL),
+gain{k} AS (
+  SELECT subject, fold, node, bin, cut, n1, pos1, {gain} AS gain
+  FROM hit{k} JOIN size{k} USING (subject, fold, node) WHERE n1 < n),
+best{k} AS (
+  SELECT * FROM gain{k} WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY subject, fold, node ORDER BY gain DESC, bin, cut) = 1),
+at{k + 1} AS (
+  SELECT a.subject, a.fold, a.doc_id, a.label,
+         CASE WHEN coalesce(s.step, 0) > b.cut THEN 2 * a.node + 1 ELSE 2 * a.node END AS node
+  FROM at{k} a JOIN best{k} b ON b.subject = a.subject AND b.fold = a.fold AND b.node = a.node
+  LEFT JOIN steps s ON s.doc_id = a.doc_id AND s.bin = b.bin)"""
+
+
+def _leaf_sql(k: int) -> str:
+    """Leaves of a level, from the deepest up: nodes without a split, and those whose children are both
+    leaves of one prediction, as such a split decides nothing."""
+    own = "CASE WHEN 2 * pos > n THEN 1 ELSE 0 END"
+    if k == TREE_DEPTH:
+        return f""",
+size{k} AS (SELECT subject, fold, node, count(*) AS n, sum(label) AS pos FROM at{k} GROUP BY ALL),
+leaf{k} AS (SELECT subject, fold, node, {own} AS p FROM size{k})"""
+    return f""",
+same{k} AS (
+  SELECT subject, fold, node // 2 AS node FROM leaf{k + 1} GROUP BY ALL HAVING count(*) = 2 AND min(p) = max(p)),
+leaf{k} AS (
+  SELECT subject, fold, node, {own} AS p FROM size{k}
+  WHERE (subject, fold, node) IN (SELECT (subject, fold, node) FROM same{k})
+     OR (subject, fold, node) NOT IN (SELECT (subject, fold, node) FROM best{k}))"""
+
+
+def _nodes_sql(k: int) -> str:
+    """Nodes of a level below split ones of the level above, with their splits."""
+    above = f" WHERE (subject, fold, node // 2) IN (SELECT (subject, fold, node) FROM split{k - 1})" if k else ""
+    if k == TREE_DEPTH:
+        return f""",
+nodes{k} AS (SELECT *, 0 AS n1, 0 AS pos1, 0.0 AS gain FROM size{k}{above})"""
+    return f""",
+kept{k} AS (SELECT * FROM size{k}{above}),
+split{k} AS (
+  SELECT * FROM best{k}
+  WHERE (subject, fold, node) IN (SELECT (subject, fold, node) FROM kept{k})
+    AND (subject, fold, node) NOT IN (SELECT (subject, fold, node) FROM leaf{k})),
+nodes{k} AS (
+  SELECT k.*, coalesce(n1, 0) AS n1, coalesce(pos1, 0) AS pos1, coalesce(gain, 0.0) AS gain
+  FROM kept{k} k LEFT JOIN split{k} USING (subject, fold, node))"""
+
+
+_STEP_TREE_SQL = f"""{_roles_sql(GRID_RANKS)},
+steps AS (SELECT doc_id, bin, {" + ".join(f"(weight > {c})::INT" for c in TREE_CUTS)} AS step FROM hashed),
+cuts(cut) AS (VALUES {", ".join(f"({i})" for i in range(len(TREE_CUTS)))}),
+at0 AS (SELECT subject, valid_fold AS fold, doc_id, label, 1 AS node FROM roles WHERE role = 'Training')
+{"".join(map(_step_level_sql, range(TREE_DEPTH)))}{"".join(map(_leaf_sql, range(TREE_DEPTH, -1, -1)))}
+{"".join(map(_nodes_sql, range(TREE_DEPTH + 1)))},
+nodes AS ({" UNION ALL ".join(f"SELECT subject, fold, node, n, pos, n1, pos1, gain FROM nodes{k}" for k in range(TREE_DEPTH + 1))})
+SELECT subject, fold, node::BIGINT AS node, n, pos::BIGINT AS n_pos, n1::BIGINT AS n_right, pos1::BIGINT AS pos_right,
+       round({_gini("pos", "n")}, 6) AS impurity, round(gain, 6) AS gain,
+       CASE WHEN 2 * pos > n THEN 1 ELSE 0 END::BIGINT AS prediction
+FROM nodes"""
+
 _NB_SQL, _NB_GRID_SQL = _nb_sql(RANKS), _nb_sql(GRID_RANKS)
 
 
@@ -280,6 +373,7 @@ SELECT label, bin, round(pi, 6) AS pi, round(theta, 6) AS theta FROM params WHER
     "nb_grid": f"WITH {_NB_GRID_SQL} {_RESULTS_SQL}",
     "results_csv": f"WITH {_NB_GRID_SQL} {_RESULTS_SQL}",
     "dt_presence_predict": f"WITH {_TREE_SQL}",
+    "dt_model": f"WITH {_STEP_TREE_SQL}",
     "lr_optimality": f"""WITH {_roles_sql(RANKS)},
 settings(params) AS (VALUES {_REGRESSION_ROWS}),
 sums AS (
