@@ -33,3 +33,15 @@ def test_equal_rows_are_one_until_they_are_ranked(spark):
     found = neighbours.search(rows, rows.where("vec_id IN (0, 1)"), 20).orderBy("query_id", "rank").collect()
     assert [(r.query_id, r.rank) for r in found] == [(q, i) for q in (0, 1) for i in range(1, 21)]
     assert [(r.vec_id, r.score) for r in found] == ranked(ids, data, 0, base[0], 20) + ranked(ids, data, 1, base[1], 20)
+
+
+def test_no_limit_of_candidates_is_exact(spark):
+    rng = np.random.default_rng(7)
+    data = rng.standard_normal((3000, 16)) * rng.uniform(0.1, 5, (3000, 1))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    for candidates, k in ((None, 20), (1, 5)):
+        found = neighbours.search(rows, rows.where("vec_id % 100 = 0"), k, candidates=candidates).orderBy("query_id", "rank").collect()
+        assert len(found) == 30 * k
+        if candidates is None:
+            for q in range(0, 3000, 100):
+                assert [r.vec_id for r in found if r.query_id == q] == [i for i, _ in ranked(np.arange(3000), data, q, data[q], k)]

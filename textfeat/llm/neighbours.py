@@ -109,8 +109,12 @@ class MultiIndex:
         return np.flatnonzero(other)
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int, sample: int = SAMPLE, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` rows of largest inner product found for each query."""
+def search(rows: DataFrame, queries: DataFrame, k: int, sample: int = SAMPLE, id_column: str = "vec_id", vector_column: str = "embedding", candidates: int | None = CANDIDATES) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``k`` rows of largest inner product found for each query.
+
+    The radius grows until ``candidates`` codes of a block are inside, or ``k`` if that is more; with None
+    it takes in all rows and the result is exact.
+    """
     vector = F.transform(F.col(vector_column), lambda x: x.cast("double"))
     named = [F.col(id_column).cast("long").alias("id"), vector.alias("vector")]
     rows = rows.select(*named).where(usable(F.col("vector")) & F.col("id").isNotNull())
@@ -137,12 +141,12 @@ def search(rows: DataFrame, queries: DataFrame, k: int, sample: int = SAMPLE, id
 
     left = dealt(rows, "block", blocks, "chunk", chunks).groupBy("block", "chunk")
     right = dealt(queries, "chunk", chunks, "block", blocks).groupBy("block", "chunk")
-    found = left.cogroup(right).applyInPandas(_searched(codes, k), "query_id long, vec_id long, score double")
+    found = left.cogroup(right).applyInPandas(_searched(codes, k, candidates), "query_id long, vec_id long, score double")
     ranked = found.selectExpr("query_id", "CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank", "vec_id", "score")
     return ranked.where(F.col("rank") <= k)
 
 
-def _searched(codes: Codes, k: int):
+def _searched(codes: Codes, k: int, candidates: int | None):
     def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(rows) and len(queries):
@@ -150,7 +154,7 @@ def _searched(codes: Codes, k: int):
             index = MultiIndex(codes.of_rows(data))
             asked = np.stack(queries["vector"].to_list())
             for query_id, query, code in zip(queries["id"], asked, codes.of_queries(asked)):
-                near = index.within(code, CANDIDATES, ids == query_id)
+                near = index.within(code, len(ids) if candidates is None else max(k, candidates), ids == query_id)
                 if len(near) > k:  # those that may be among the first k, whatever the rounding
                     rough = data[near] @ query
                     limit = np.partition(rough, len(rough) - k)[-k]
