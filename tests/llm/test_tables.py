@@ -163,3 +163,19 @@ def test_pipeline_runs_over_an_empty_table(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_op4_equals_a_plain_recomputation(spark):
+    """Every document scored once more from the weights, one word bin at a time."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.train(docs, queries.ratings(spark.read.parquet(f"{SF}/labels.parquet")), queries.GRADES)
+    weights, thresholds = model.weights.astype(np.float32), model.thresholds
+    found = {r.doc_id: r for r in queries.op4_quality(spark, SF).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert sorted(found) == sorted(r.doc_id for r in rows)
+    for r in rows:
+        score = sum(float(weights[b]) for b in quality.features(r.text))
+        tails = [1 / (1 + math.exp(t - score)) for t in thresholds]
+        got = found[r.doc_id]
+        assert got.p_good == pytest.approx(tails[-1], abs=1e-5) and got.expected_grade == pytest.approx(sum(tails), abs=1e-5)
+        assert got.keep == (got.p_good >= queries.MIN_GOOD)
