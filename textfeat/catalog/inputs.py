@@ -8,6 +8,7 @@ variants, subjects) is put around it.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# URIs of the two taxonomies.
 LCSH = "http://purl.org/dc/terms/LCSH"
 LCC = "http://purl.org/dc/terms/LCC"
 STOP_WORDS = ("the", "of", "and", "la", "le", "der", "die", "el")
@@ -25,6 +26,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- books: a text between markers ---------------------------------------------------------
 
+# Marker lines of the collection.
 _START = "\n*** START OF THIS PROJECT GUTENBERG EBOOK X ***\n"
 
 

@@ -21,7 +21,7 @@ WORD_SEPARATOR = r"[^A-Za-zÀ-ƿ'\-]+|-{2,}"
 # tests/test_functions.py compares the two over every code point of the basic plane.
 WORD_SEPARATOR_RANGES = r"[\x00-&(-,.-@\[-`{-¿ǀ-\x{10FFFF}]+|--+"
 
-# Namespaces of the RDF metadata, as prefixed in its files.
+# Elements and attributes of the RDF metadata, by their local names whatever prefixes a file binds.
 RDF_SCHEMA = (
     "`ebook` array<struct<"
     "`_about`: string, "
