@@ -173,3 +173,69 @@ def test_metadata_of_other_prefixes_and_malformed_files(spark, tmp_path):
     with pytest.raises(Exception, match="no document id in .*b.rdf"):
         metadata.read_metadata(spark, str(tmp_path)).collect()
     assert metadata.read_metadata(spark, str(tmp_path), strict=False).count() == 1
+
+
+def test_catalogue_of_one_file(spark, tmp_path):
+    odd = [
+        book(11, subject("Early", "T")),
+        '<pgterms:ebook rdf:about="ebooks/21"/>',
+        "<pgterms:ebook rdf:about='ebooks/22' note=\"a/>b\" />",
+        book(12, subject("A &amp; B", "T"), subject(None, "T"), subject("V")),
+        '<pgterms:ebook rdf:about="ebooks/13"><a><b></a></pgterms:ebook>',
+        "<pgterms:ebook rdf:nodeID='x'></pgterms:ebook>",
+        "<pgterms:ebooks>no record</pgterms:ebooks>",
+        book(11, subject("Late\nlines", "T")),
+    ]
+    many = [book(1000 + i, subject(f"S{i % 7}", "T")) for i in range(3000)]
+    last = '<pgterms:ebook rdf:about="ebooks/23"/>'
+    (tmp_path / "all.rdf").write_text(rdf(*odd[:4], *many, *odd[4:], last))
+    limits = {"spark.sql.files.maxPartitionBytes": "50k", "spark.sql.files.openCostInBytes": "1k"}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        found = {r.doc_id: [tuple(s) for s in r.subjects] for r in metadata.read_catalogue(spark, str(tmp_path), strict=False).collect()}
+        assert metadata.read_records(spark, str(tmp_path)).select(F.spark_partition_id()).distinct().count() > 4
+        bad = [r.record for r in metadata.bad_records(spark, str(tmp_path)).collect()]
+    finally:
+        for key in limits:
+            spark.conf.unset(key)
+    assert {k: v for k, v in found.items() if k < 1000} == {
+        11: [("Late\nlines", "T")],
+        12: [("A & B", "T"), (None, "T"), ("V", None)],
+        21: [],
+        22: [],
+        23: [],
+    }
+    assert {k: v for k, v in found.items() if k >= 1000} == {1000 + i: [(f"S{i % 7}", "T")] for i in range(3000)}
+    assert sorted(bad) == sorted(odd[4:6])
+    with pytest.raises(Exception, match="no document id in .*all.rdf"):
+        metadata.read_catalogue(spark, str(tmp_path)).collect()
+
+
+def test_catalogue_that_breaks_off_and_other_element_names(spark, tmp_path):
+    text = rdf(book(1, subject("One", "T")), book(2, subject("Two", "T"))).replace("pgterms:", "")
+    (tmp_path / "cut.rdf").write_text(text[: text.index("Two")])
+    assert [r.doc_id for r in metadata.read_catalogue(spark, str(tmp_path), "ebook", strict=False).collect()] == [1]
+    assert metadata.bad_records(spark, str(tmp_path), "ebook").count() == 1
+    assert metadata.read_catalogue(spark, str(tmp_path)).count() == 0  # no such element
+
+
+def test_bucketed_datasets_meet_without_a_shuffle(spark, tmp_path):
+    paths = [str(tmp_path / name) for name in ("left", "right")]
+    left = spark.range(1000).selectExpr("id % 100 AS doc_id", "id AS `odd ``name`", "array(struct(id AS a, 'x' AS b)) AS items")
+    right = spark.range(100).selectExpr("id AS doc_id", "id * 2 AS value")
+    with pytest.raises(Exception):
+        datasets.read_bucketed(spark, paths[0])
+    for rows, path in zip((right, right), paths):
+        datasets.write_bucketed(rows, path, buckets=3)
+    datasets.write_bucketed(left, paths[0], buckets=3)  # replaced, with other columns
+    a, b = (datasets.read_bucketed(spark, path) for path in paths)
+    assert a.dtypes == left.dtypes and sorted(map(str, a.collect())) == sorted(map(str, left.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = a.groupBy("doc_id").agg(F.count("items").alias("n")).join(b, "doc_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SelectedBucketsCount: 3 out of 3" in plan
+        assert {tuple(r) for r in joined.collect()} == {(i, 10, 2 * i) for i in range(100)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

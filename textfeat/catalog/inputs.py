@@ -8,6 +8,8 @@ variants, subjects) is put around it.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textfeat.plans.staging import stage_path
+
 # URIs of the two taxonomies.
 LCSH = "http://purl.org/dc/terms/LCSH"
 LCC = "http://purl.org/dc/terms/LCC"
@@ -99,24 +101,38 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", subjects.alias("subjects"))
 
 
-def rdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``path, text``: the metadata of each document as the RDF/XML file it would come in."""
+# Fixed value: namespaces that the prefixes of the records stand for.
+_NAMESPACES = (
+    'xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:dcterms="http://purl.org/dc/terms/" '
+    'xmlns:dcam="http://purl.org/dc/dcam/" xmlns:pgterms="urn:pgterms"'
+)
+
+
+def rdf_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, record``: the metadata of each document as an element of RDF/XML."""
     node = (
         '<dcterms:subject><rdf:Description rdf:nodeID="N"><dcam:memberOf rdf:resource="%s"/>'
         "<rdf:value>%s</rdf:value></rdf:Description></dcterms:subject>"
     )
     nodes = F.transform("subjects", lambda s: F.format_string(node, s["taxonomy"], s["subject"]))
-    namespaces = (
-        'xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:dcterms="http://purl.org/dc/terms/" '
-        'xmlns:dcam="http://purl.org/dc/dcam/" xmlns:pgterms="urn:pgterms"'
-    )
-    xml = F.format_string(
-        f'<?xml version="1.0"?>\n<rdf:RDF {namespaces}><pgterms:ebook rdf:about="ebooks/%d">%s</pgterms:ebook></rdf:RDF>',
-        "doc_id",
-        F.array_join(nodes, ""),
+    record = F.format_string(
+        '<pgterms:ebook rdf:about="ebooks/%d">%s</pgterms:ebook>', "doc_id", F.array_join(nodes, "")
     )
+    return metadata(spark, sf_dir).select("doc_id", record.alias("record"))
+
+
+def rdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``path, text``: the metadata of each document as the RDF/XML file it would come in."""
+    xml = F.format_string(f'<?xml version="1.0"?>\n<rdf:RDF {_NAMESPACES}>%s</rdf:RDF>', "record")
     path = F.format_string("pg%d.rdf", "doc_id")
-    return metadata(spark, sf_dir).select(path.alias("path"), xml.alias("text"))
+    return rdf_records(spark, sf_dir).select(path.alias("path"), xml.alias("text"))
+
+
+def rdf_catalogue(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of catalogue files that hold the records of all documents one after the other."""
+    path = stage_path(spark, "catalogue")
+    rdf_records(spark, sf_dir).select("record").write.text(path)
+    return path
 
 
 PAIRS_SQL = f"""

@@ -7,7 +7,8 @@ from textfeat.catalog import features, inputs
 from textfeat.operators import folds as fold_ops
 from textfeat.operators import subjects
 from textfeat.plans import runs, sizing
-from textfeat.plans.staging import stage
+from textfeat.plans.staging import stage, stage_path
+from textfeat.sources import datasets
 from textfeat.sources import metadata as rdf
 
 RANKS = (1, 3, 6)
@@ -16,12 +17,20 @@ NUM_FOLDS = 4
 SEED = 42
 
 
-def subjects_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = rdf.last_by_path(rdf.parse_rdf(sizing.spread(inputs.rdf_files(spark, sf_dir))))
+def _shown(parsed: DataFrame) -> DataFrame:
     items = F.transform("subjects", lambda s: F.concat_ws("|", s["subject"], s["taxonomy"]))
     return parsed.select("doc_id", F.array_join(F.sort_array(items), " ").alias("subjects"))
 
 
+def subjects_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(rdf.last_by_path(rdf.parse_rdf(sizing.spread(inputs.rdf_files(spark, sf_dir)))))
+
+
+def catalogue_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from files of many records each."""
+    return _shown(rdf.read_catalogue(spark, inputs.rdf_catalogue(spark, sf_dir)))
+
+
 def subjects_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subjects.flatten_subjects(inputs.metadata(spark, sf_dir))
 
@@ -71,17 +80,30 @@ def label_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold_ops.label_balance(stratified_folds(spark, sf_dir))
 
 
-def fold_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_features(folds: DataFrame, hashed: DataFrame) -> DataFrame:
     """Folds joined with vectors; the vectors are shown by their entries and their sum."""
-    hashed = features.hashed_weights(spark, sf_dir)
     per_doc = hashed.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_entries"), F.round(F.sum("weight"), 6).alias("sum_weight")
     )
-    return fold_ops.fold_features(stratified_folds(spark, sf_dir), per_doc).select(
+    return fold_ops.fold_features(folds, per_doc).select(
         "subject", "doc_id", "label", "fold", "n_entries", "sum_weight"
     )
 
 
+def fold_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_features(stratified_folds(spark, sf_dir), features.hashed_weights(spark, sf_dir))
+
+
+def bucketed_fold_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from folds and weights that were written in buckets of documents: neither the
+    grouping nor the join shuffles."""
+    stored = {"folds": stratified_folds(spark, sf_dir), "weights": features.hashed_weights(spark, sf_dir)}
+    paths = {name: stage_path(spark, name) for name in stored}
+    for name, rows in stored.items():
+        datasets.write_bucketed(rows, paths[name])
+    return _with_features(*(datasets.read_bucketed(spark, path) for path in paths.values()))
+
+
 def draw(spark: SparkSession, sf_dir: str, vectors: DataFrame, ranks, num_folds: int):
     """Chosen subjects and folds of the documents that have a vector."""
     return runs.draw_folds(vectors, inputs.metadata(spark, sf_dir), ranks, num_folds, SEED)
@@ -89,6 +111,7 @@ def draw(spark: SparkSession, sf_dir: str, vectors: DataFrame, ranks, num_folds:
 
 QUERIES = {
     "subjects_parse": subjects_parse,
+    "catalogue_parse": catalogue_parse,
     "subjects_flat": subjects_flat,
     "subject_semi_join": subject_semi_join,
     "subject_counts": subject_counts,
@@ -100,6 +123,7 @@ QUERIES = {
     "fold_roles": fold_roles,
     "label_balance": label_balance,
     "fold_features": fold_features,
+    "bucketed_fold_features": bucketed_fold_features,
 }
 
 RANKED_SQL = f"""{inputs.PAIRS_SQL},
@@ -168,3 +192,5 @@ SELECT subject, fold, label, count(*) AS n FROM folds GROUP BY ALL""",
 vectors AS (SELECT doc_id, count(*) AS n_entries, round(sum(weight), 6) AS sum_weight FROM hashed GROUP BY doc_id)
 SELECT subject, doc_id, label, fold, n_entries, sum_weight FROM folds JOIN vectors USING (doc_id)""",
 }
+ORACLES["catalogue_parse"] = ORACLES["subjects_parse"]
+ORACLES["bucketed_fold_features"] = ORACLES["fold_features"]

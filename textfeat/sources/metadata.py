@@ -1,5 +1,7 @@
 """RDF/XML metadata: subjects of each document."""
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,3 +67,47 @@ def read_metadata(spark: SparkSession, path: str, strict: bool = True) -> DataFr
         no_id = F.raise_error(F.concat(F.lit("no document id in "), "path")).cast("bigint")
         parsed = parsed.withColumn("doc_id", F.coalesce("doc_id", no_id))
     return last_by_path(parsed)
+
+
+def read_records(spark: SparkSession, path: str, record: str = "pgterms:ebook") -> DataFrame:
+    """``path, at, record, doc_id, subjects`` for every element ``record`` of catalogue files.
+
+    A catalogue is one large file of many books. It is cut at the end tags of the element, which
+    stand in for line ends, so a file is read by as many tasks as it has splits, and no task holds
+    more than one book. ``at`` is the place in the file: equal paths compare by it. An element that
+    is closed in its start tag is a book without subjects. XML that cannot be parsed gives a null
+    id and spoils no other book; entities that the file declares itself are not known here, and
+    an element name inside a comment counts as an element.
+    """
+    name = re.escape(record)
+    lines = spark.read.option("recursiveFileLookup", True).option("lineSep", f"</{record}>").text(path)
+    place = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("nth"))
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), place.alias("place"), "value")
+    pieces = lines.select("path", "place", F.posexplode(F.split("value", rf"(?=<{name}[\s/>])")).alias("piece", "text"))
+    pieces = pieces.where(F.col("text").rlike(rf"^<{name}[\s/>]"))
+    closed = F.regexp_substr("text", F.lit(rf"""^<{name}(?:[^>"'/]|/(?!>)|"[^"]*"|'[^']*')*+/>"""))
+    whole = F.coalesce(closed, F.concat("text", F.lit(f"</{record}>")))
+    at = F.struct("place.start", "place.nth", "piece").alias("at")
+    books = pieces.select("path", at, whole.alias("record"))
+    xml = F.concat(F.lit("<RDF>"), "record", F.lit("</RDF>"))
+    return parse_rdf(books.withColumn("text", xml))
+
+
+def read_catalogue(spark: SparkSession, path: str, record: str = "pgterms:ebook", strict: bool = True) -> DataFrame:
+    """``doc_id, subjects`` from catalogue files, see ``read_records``.
+
+    The last record of an id wins, by path and place. A record without an id, which malformed XML
+    has not either, is an error that shows its beginning; unless ``strict`` it is left out, and
+    ``bad_records`` lists it.
+    """
+    books = read_records(spark, path, record)
+    if strict:
+        shown = F.concat(F.lit("no document id in "), "path", F.lit(": "), F.substring("record", 1, 200))
+        books = books.withColumn("doc_id", F.coalesce("doc_id", F.raise_error(shown).cast("bigint")))
+    books = books.select("doc_id", "subjects", F.struct("path", "at").alias("path"))
+    return last_by_path(books)
+
+
+def bad_records(spark: SparkSession, path: str, record: str = "pgterms:ebook") -> DataFrame:
+    """``path, at, record`` of the records that have no id or cannot be parsed."""
+    return read_records(spark, path, record).where("doc_id IS NULL").select("path", "at", "record")
