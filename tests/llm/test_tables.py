@@ -1,3 +1,5 @@
+import collections
+import hashlib
 import math
 
 import numpy as np
@@ -53,6 +55,54 @@ def test_mix_of_odd_rows(spark):
     assert {r.times for r in mixing.mix(docs.where("text IS NULL OR text = ''")).collect()} == {0}
 
 
+def played_by_hand(rows, seed=0):
+    """Times each row is taken, by (id, text, source), from one queue of all documents."""
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    sized = [(i, t or "", s, len((t or "").split())) for i, t, s in rows]
+    order = sorted({s for *_, s, _ in sized if s is not None}) + [None] * any(r[2] is None for r in sized)
+    sizes = {s: sum(n for *_, o, n in sized if o == s) for s in order}
+    weight, left, budget, target = {s: (3, 1, 2)[k % 3] for k, s in enumerate(order)}, set(order), 1.5 * sum(sizes.values()), {}
+    while left:
+        share = {s: budget * weight[s] / sum(weight[x] for x in left) for s in left}
+        full = [s for s in left if share[s] >= 2 * sizes[s]] or list(left)
+        for s in full:
+            target[s] = min(share[s], 2 * sizes[s])
+        if full == list(left) and all(share[s] < 2 * sizes[s] for s in full):
+            break
+        budget -= sum(target[s] for s in full)
+        left -= set(full)
+    queue = []
+    for s in order:
+        played = 0
+        for i, t, _, n in sorted((r for r in sized if r[2] == s), key=lambda r: md5(f"{seed}:{'' if r[0] is None else r[0]}:{md5(r[1])}")):
+            played += n
+            queue += [((played + k * sizes[s]) / target[s], (i, t, s), n) for k in (0, 1) if n and target[s]]
+    words, taken = 0, collections.Counter()
+    for _, row, n in sorted(queue, key=lambda q: q[0]):
+        words += n
+        if words > 1.5 * sum(sizes.values()):
+            break
+        taken[row] += 1
+    return +taken
+
+
+@pytest.mark.parametrize("unfolded", [65_536, 7])
+def test_mix_of_hot_ids_and_repeated_rows(spark, monkeypatch, unfolded):
+    monkeypatch.setattr(mixing, "UNFOLDED", unfolded)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 20)
+    rows = [(None, "w " * (i % 7) + f"t{i}", "hot") for i in range(400)] + [(5, "same row here", "hot")] * 300
+    rows += [(i, "v " * (1 + i % 4), "ab"[i % 2]) for i in range(300)] + [(7, None, "a"), (8, "x y", None)]
+    docs = spark.createDataFrame([(*r, {"k": 1}) for r in rows], "doc_id long, text string, source string, turn map<string, int>")
+    expected = played_by_hand(rows)
+    mixed = collections.Counter((r.doc_id, r.text or "", r.source) for r in mixing.sequence(docs.repartition(5)).collect())
+    assert mixed == expected
+    found = mixing.mix(docs)
+    assert found.count() == len(rows) and found.agg(F.sum("times")).first()[0] == sum(expected.values())
+    # No window of one id or of one repeated row.
+    shuffled = [r.turn for r in docs.select(F.md5(F.concat_ws(":", F.lit("0"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5("text"))).alias("turn")).where("doc_id IS NULL").collect()]
+    assert max(collections.Counter(t[:1] for t in shuffled).values()) < 60
+
+
 def test_chat_events_are_folded(spark):
     log = [
         (1, 0, 0, "message", "system", "be <|end|> brief"), (1, 1, 1, "delta", "user", "hel"), (1, 2, 1, "delta", "user", "lo"),

@@ -2,7 +2,7 @@
 
 OP5 = r"""
 WITH sizes AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(coalesce(text, '')) AS tie FROM documents
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source
 ), ranked AS (
@@ -20,7 +20,7 @@ WITH sizes AS (
   SELECT source, source_size, least(most, coalesce(weight * (SELECT level FROM level), most)) AS target FROM filled
 ), played AS (
   SELECT s.*, t.source_size, t.target,
-    sum(size) OVER (PARTITION BY s.source ORDER BY md5(concat('0:', coalesce(CAST(doc_id AS VARCHAR), ''))), doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS played,
+    sum(size) OVER (PARTITION BY s.source ORDER BY md5(concat('0:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', tie)), doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS played,
     row_number() OVER () AS id
   FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ), queue AS (
