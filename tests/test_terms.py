@@ -159,3 +159,16 @@ def test_frequency_state(spark, hot):
     assert {r.word: r.df for r in state.collect()} == expected
     corpus = runs.count_corpus(frame(spark, docs))
     assert {r.word: r.df for r in corpus.state.collect()} == expected
+
+
+def test_counts_read_once_are_not_staged_where_ids_do_not_repeat(spark):
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b"), (3, ""), (None, "lost")], "doc_id long, body string")
+    again = docs.unionByName(spark.createDataFrame([(2, "b c"), (2, "c")], docs.schema))
+    for rows in (docs, again):
+        staged, direct = (terms.term_counts(rows, with_max=True, once=once) for once in (False, True))
+        assert sorted(direct.collect()) == sorted(staged.collect())
+        assert sorted(terms.highest_counts(rows, once=True).collect()) == sorted(terms.highest_counts(rows).collect())
+        assert sorted(terms.frequency_lists(rows, once=True).collect()) == sorted(terms.frequency_lists(rows).collect())
+        state = runs.frequency_state(rows, once=True)
+        assert sorted(map(str, state.collect())) == sorted(map(str, runs.frequency_state(rows).collect()))
+    assert not terms.term_counts(docs, once=True).inputFiles() and terms.term_counts(again, once=True).inputFiles()

@@ -27,11 +27,11 @@ def count_corpus(spark: SparkSession, sf_dir: str) -> runs.Corpus:
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.term_counts(inputs.documents(spark, sf_dir))
+    return terms.term_counts(inputs.documents(spark, sf_dir), once=True)
 
 
 def doc_term_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = terms.frequency_lists(inputs.documents(spark, sf_dir))
+    lists = terms.frequency_lists(inputs.documents(spark, sf_dir), once=True)
     items = F.transform("terms", lambda t: F.concat_ws(":", t["word"], t["cnt"].cast("string")))
     return lists.select(
         "doc_id", "part", F.size("terms").cast("bigint").alias("n_terms"), F.array_join(items, " ").alias("terms")
@@ -39,7 +39,7 @@ def doc_term_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def max_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.highest_counts(inputs.documents(spark, sf_dir))
+    return terms.highest_counts(inputs.documents(spark, sf_dir), once=True)
 
 
 def document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +61,7 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(runs.frequency_state(inputs.documents(spark, sf_dir)), "state")
+    return stage(runs.frequency_state(inputs.documents(spark, sf_dir), once=True), "state")
 
 
 def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def vocab_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = terms.term_counts(inputs.documents(spark, sf_dir), with_max=True)
+    counts = terms.term_counts(inputs.documents(spark, sf_dir), with_max=True, once=True)
     return terms.term_frequency(counts).select("doc_id", "word", _six("tf"))
 
 
@@ -100,7 +100,7 @@ def tfidf_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = terms.term_counts(inputs.documents(spark, sf_dir), with_max=True)
+    counts = terms.term_counts(inputs.documents(spark, sf_dir), with_max=True, once=True)
     blocks = index.inverted_index(terms.term_frequency(counts), BLOCK_SIZE)
     total = F.aggregate("postings", F.lit(0.0), lambda acc, p: acc + p["tf"])
     ids = F.transform("postings.doc_id", lambda d: d.cast("string"))
@@ -115,7 +115,7 @@ def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written_index(spark: SparkSession, sf_dir: str) -> str:
     path = stage_path(spark, "index")
-    counts = terms.term_counts(inputs.documents(spark, sf_dir), with_max=True)
+    counts = terms.term_counts(inputs.documents(spark, sf_dir), with_max=True, once=True)
     index.write_index(terms.term_frequency(counts), path, BLOCK_SIZE)
     release(counts)
     return path

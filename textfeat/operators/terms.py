@@ -97,6 +97,7 @@ def counted_texts(
     keep_empty: bool = False,
     keys: Sequence[str] = (),
     max_repeated: int = sizing.BROADCAST_ROWS,
+    once: bool = False,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Texts counted in one pass: rows of ``count_in_place`` whose id is that of no other text,
     and ``keys, doc_id, word, cnt`` of all others, merged by id, or None where there are none.
@@ -105,8 +106,14 @@ def counted_texts(
     id column, and only their terms are shuffled, combined per task by id and word, so an id shared
     by very many texts still spreads over all tasks. Up to ``max_repeated`` such ids are broadcast
     to set the two apart; more are joined. Texts without an id are left out.
+
+    ``once`` is for results that are read one time, of ids that are columns of their own, not made
+    from the text: repeated ids are then looked for in these columns first, and where there are
+    none nothing is staged.
     """
     ids = [*keys, "doc_id"]
+    if once and sizing.repeated_keys(_with_id(docs), *ids).isEmpty():
+        return count_in_place(sizing.spread(_with_id(docs).select(*ids, body)), body, stop_words, keep_empty, keys), None
     texts = sizing.spread(_with_id(docs).select(*ids, body))
     rows = stage(count_in_place(texts, body, stop_words, keep_empty, keys), "texts")
     repeated = stage(sizing.repeated_keys(rows, *ids), "repeated")
@@ -144,11 +151,12 @@ def term_counts(
     keep_empty: bool = False,
     with_max: bool = False,
     max_repeated: int = sizing.BROADCAST_ROWS,
+    once: bool = False,
 ) -> DataFrame:
     """``doc_id, word, cnt`` and, with ``with_max``, the highest count of the document.
 
     Texts with the same id add up; those without one are left out. Texts are read once, see
-    ``counted_texts``; what comes back reads staged tables.
+    ``counted_texts``; what comes back reads staged tables, or with ``once`` the texts where it can.
     """
     stop_words = inline_stop_words(stop_words)
     columns = ["doc_id", "word", "cnt"] + (["max_cnt"] if with_max else [])
@@ -158,7 +166,7 @@ def term_counts(
 
     if isinstance(stop_words, DataFrame):
         return completed(unstopped_counts(docs, stop_words, body, keep_empty, max_repeated=max_repeated))
-    alone, shared = counted_texts(docs, body, stop_words, keep_empty, max_repeated=max_repeated)
+    alone, shared = counted_texts(docs, body, stop_words, keep_empty, max_repeated=max_repeated, once=once)
     counts = flatten_terms(alone).select(columns)
     return counts if shared is None else counts.unionByName(completed(shared))
 
@@ -174,13 +182,13 @@ def max_counts(counts: DataFrame) -> DataFrame:
 
 
 def highest_counts(
-    docs: DataFrame, body: str = "body", stop_words: StopWords = (), keep_empty: bool = False
+    docs: DataFrame, body: str = "body", stop_words: StopWords = (), keep_empty: bool = False, once: bool = False
 ) -> DataFrame:
     """``doc_id, max_cnt`` from texts. Where an id is that of one text, it is known in its row."""
     stop_words = inline_stop_words(stop_words)
     if isinstance(stop_words, DataFrame):
         return max_counts(unstopped_counts(docs, stop_words, body, keep_empty))
-    alone, shared = counted_texts(docs, body, stop_words, keep_empty)
+    alone, shared = counted_texts(docs, body, stop_words, keep_empty, once=once)
     highest = alone.select("doc_id", "max_cnt")
     return highest if shared is None else highest.unionByName(max_counts(shared))
 
@@ -212,13 +220,14 @@ def frequency_lists(
     stop_words: StopWords = (),
     keep_empty: bool = False,
     parts: int = 1,
+    once: bool = False,
 ) -> DataFrame:
     """``doc_id, part, terms array<struct<word, cnt>>``: the counts of ``term_counts`` as
     lists, see ``term_lists``. With one part the list of an id that is that of one text is made
     within its row."""
     stop_words = inline_stop_words(stop_words)
     if parts > 1 or isinstance(stop_words, DataFrame):
-        return term_lists(term_counts(docs, body, stop_words, keep_empty), "cnt", "terms", parts)
-    alone, shared = counted_texts(docs, body, stop_words, keep_empty)
+        return term_lists(term_counts(docs, body, stop_words, keep_empty, once=once), "cnt", "terms", parts)
+    alone, shared = counted_texts(docs, body, stop_words, keep_empty, once=once)
     lists = alone.select("doc_id", F.lit(0).cast("bigint").alias("part"), "terms")
     return lists if shared is None else lists.unionByName(term_lists(shared, "cnt", "terms"))

@@ -72,17 +72,18 @@ def frequency_state(
     stop_words: terms.StopWords = (),
     keep_empty: bool = False,
     keys: Sequence[str] = (),
+    once: bool = False,
 ) -> DataFrame:
     """Document-frequency state alone, where no counts are needed afterwards.
 
     The texts are read once; words of ids that are those of one text are shuffled combined per
-    task, and only the others are merged before.
+    task, and only the others are merged before. ``once`` as in ``terms.counted_texts``.
     """
     stop_words = terms.inline_stop_words(stop_words)
     if isinstance(stop_words, DataFrame):
         counts = terms.unstopped_counts(docs, stop_words, body, keep_empty, keys)
         return weights.frequency_state(counts, *keys)
-    alone, shared = terms.counted_texts(docs, body, stop_words, keep_empty, keys)
+    alone, shared = terms.counted_texts(docs, body, stop_words, keep_empty, keys, once=once)
     state = weights.frequency_state_in_place(alone, *keys)
     if shared is None:
         return state
