@@ -1,5 +1,8 @@
 """Classifiers of the most frequent subject; their evaluation for several."""
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import Binarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,18 +113,32 @@ def dt_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lr_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether logistic regressions are at their optimum, where they are fitted to the class sums.
+    """Whether the logistic regressions of all subjects and validation folds are at their optimum,
+    where they are fitted to the class sums.
 
     The derivative of the convex objective in a weight is the fitted sum of its feature, less the
     sum over the class, plus the penalty; at the optimum it is 0.
     """
-    _, training = _rows_and_training_set(spark, sf_dir)
+    table, names = _training(spark, sf_dir, GRID_RANKS)
     settings = [models.logistic_regression(), *models.regularised_grid()]
-    rows = []
-    for setting in settings:
-        for bin_, total, away in models.optimality(setting, training):
-            rows.append((setting.params, bin_, round(total, 4), away <= FIT_TOLERANCE))
-    return spark.createDataFrame(rows, "params string, bin bigint, class_sum double, optimal boolean")
+
+    def found(run: tuple[str, int]) -> list[tuple]:
+        subject, valid_fold = run
+        rows = models.subject_rows(table, subject)
+        training = rows.where(fold_ops.role(F.col("fold"), F.lit(valid_fold), NUM_FOLDS) == "Training")
+        return [
+            (subject, valid_fold, setting.params, bin_, round(total, 4), away <= FIT_TOLERANCE)
+            for setting in settings
+            for bin_, total, away in models.optimality(setting, training)
+        ]
+
+    runs_of_grid = [(subject, fold) for subject in names for fold in range(NUM_FOLDS - 1)]
+    with ThreadPoolExecutor(models.PARALLEL_FITS) as pool:
+        rows = [row for part in pool.map(inheritable_thread_target(spark)(found), runs_of_grid) for row in part]
+    release(table)
+    return spark.createDataFrame(
+        rows, "subject string, fold bigint, params string, bin bigint, class_sum double, optimal boolean"
+    )
 
 
 def _grid(spark: SparkSession, sf_dir: str, settings, ranks=GRID_RANKS) -> DataFrame:
@@ -374,13 +391,15 @@ SELECT label, bin, round(pi, 6) AS pi, round(theta, 6) AS theta FROM params WHER
     "results_csv": f"WITH {_NB_GRID_SQL} {_RESULTS_SQL}",
     "dt_presence_predict": f"WITH {_TREE_SQL}",
     "dt_model": f"WITH {_STEP_TREE_SQL}",
-    "lr_optimality": f"""WITH {_roles_sql(RANKS)},
+    "lr_optimality": f"""WITH {_roles_sql(GRID_RANKS)},
 settings(params) AS (VALUES {_REGRESSION_ROWS}),
+fits AS (SELECT DISTINCT subject, valid_fold FROM roles),
 sums AS (
-  SELECT bin, sum(weight) FILTER (label = 1) AS total FROM roles JOIN hashed USING (doc_id)
-  WHERE role = 'Training' AND valid_fold = 0 GROUP BY bin)
-SELECT params, b.bin::BIGINT AS bin, round(coalesce(total, 0.0), 4) AS class_sum, true AS optimal
-FROM settings, (SELECT unnest(range({features.NUM_BINS})) AS bin) b LEFT JOIN sums USING (bin)""",
+  SELECT subject, valid_fold, bin, sum(weight) FILTER (label = 1) AS total FROM roles JOIN hashed USING (doc_id)
+  WHERE role = 'Training' GROUP BY ALL)
+SELECT f.subject, f.valid_fold AS fold, params, b.bin::BIGINT AS bin, round(coalesce(total, 0.0), 4) AS class_sum, true AS optimal
+FROM fits f, settings, (SELECT unnest(range({features.NUM_BINS})) AS bin) b
+LEFT JOIN sums s ON s.subject = f.subject AND s.valid_fold = f.valid_fold AND s.bin = b.bin""",
     "model_grid_sets": f"""WITH {_roles_sql(GRID_RANKS)},
 settings(method, params) AS (VALUES {_GRID_ROWS})
 SELECT subject, method, params, valid_fold AS fold, role AS "set",
