@@ -20,6 +20,14 @@ tokens AS (
   WHERE w <> '')"""
 
 
+def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts whose lines end in one of three ways, the last one too, as read from files."""
+    d = F.col("doc_id")
+    end = F.when(d % 3 == 0, "\r\n").when(d % 3 == 1, "\r").otherwise("\n")
+    raw = F.concat(F.replace("text", F.lit("\n"), end), end)
+    return inputs.table(spark, sf_dir, "documents").select("doc_id", text.normalise_newlines(raw).alias("text"))
+
+
 def doc_size_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.eligible_files(inputs.files(spark, sf_dir), inputs.MAX_MIB).select("doc_id", "name", "n_bytes")
 
@@ -61,6 +69,7 @@ def stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "text_lines": text_lines,
     "doc_size_filter": doc_size_filter,
     "strip_suffix": strip_suffix,
     "encoding_pref": encoding_pref,
@@ -77,6 +86,7 @@ _PREF_SQL = r"""CASE WHEN regexp_matches(name, '^\d+-0\.txt') THEN 0
 _STRIPPED_SQL = r"regexp_replace(name, '(\d+)(-\d+)(/|\.txt)', '\1\3', 'g')"
 
 ORACLES = {
+    "text_lines": "SELECT doc_id, text FROM documents",
     "doc_size_filter": f"""WITH {inputs.FILES_SQL}
 SELECT doc_id, name, n_bytes FROM files
 WHERE name LIKE '%.txt' AND n_bytes <= {inputs.MAX_MIB} * 1048576""",
