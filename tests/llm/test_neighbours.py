@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from textfeat.llm import neighbours
 
@@ -45,3 +46,58 @@ def test_no_limit_of_candidates_is_exact(spark):
         if candidates is None:
             for q in range(0, 3000, 100):
                 assert [r.vec_id for r in found if r.query_id == q] == [i for i, _ in ranked(np.arange(3000), data, q, data[q], k)]
+
+
+def made(kind: str, n: int) -> np.ndarray:
+    rng = np.random.default_rng(8)
+    data = rng.standard_normal((n, 64))
+    if "clusters" in kind:
+        data = rng.standard_normal((20, 64))[rng.integers(0, 20, n)] + 0.5 * data
+    if "mixed" in kind:
+        data *= np.exp(0.7 * rng.standard_normal((n, 1)))
+    return data
+
+
+@pytest.mark.parametrize("kind", ["even", "mixed", "clusters", "mixed clusters"])
+def test_few_rows_of_a_block_are_reranked(kind):
+    """Recall and the share reranked in one whole block."""
+    n, k = neighbours.BLOCK_ROWS, 20
+    data = made(kind, n)
+    codes = neighbours.Codes(data[: n // 2], float(np.linalg.norm(data, axis=1).max()))
+    block = neighbours.Block(codes, data)
+    asked = np.arange(0, n, 200)
+    found = reranked = 0
+    for i, code in zip(asked, codes.of_queries(data[asked])):
+        near = block.candidates(code, neighbours.CANDIDATES, np.arange(n) == i)
+        assert len(set(near)) == len(near) >= neighbours.CANDIDATES and i not in near
+        score = data @ data[i]
+        score[i] = -np.inf
+        found += len(np.intersect1d(np.argsort(-score)[:k], near))
+        reranked += len(near)
+    assert found >= 0.9 * k * len(asked)
+    assert reranked < 0.1 * n * len(asked)
+
+
+@pytest.mark.parametrize("kind", ["even", "mixed"])
+def test_every_code_within_the_radius_is_found(kind):
+    """Probing by the pigeonhole against the estimates of all codes."""
+    data = made(kind, 3000)
+    codes = neighbours.Codes(data, float(np.linalg.norm(data, axis=1).max()))
+    block, bands = neighbours.Block(codes, data), codes.bands(data)
+    bits = np.unpackbits(codes.of_rows(data, bands), axis=1)
+    own = np.arange(3000) % 7 == 0
+    for code in codes.of_queries(data[:30]):
+        distance = (bits != np.unpackbits(code)).sum(1)
+        estimate = codes.tops[bands] * np.cos(np.pi / neighbours.BITS * np.arange(neighbours.BITS + 2))[distance]
+        for least in (1, 40, 1000, 3000):
+            last = np.sort(estimate[~own])[::-1][min(least, (~own).sum()) - 1]
+            wanted = np.flatnonzero(~own & (estimate >= last))
+            assert sorted(block.candidates(code, least, own)) == wanted.tolist()
+
+
+def test_columns_of_other_names_and_few_rows(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0], 1, 0.5), (2, [0.0, 2.0], 2, 0.5), (3, None, 3, 0.5), (None, [1.0, 1.0], 4, 0.5)], "vec_id long, embedding array<double>, rank int, score double")
+    found = neighbours.search(rows, rows, 20).orderBy("query_id").collect()
+    assert [tuple(r) for r in found] == [(1, 1, 2, 0.0), (2, 1, 1, 0.0)]
+    assert neighbours.search(rows.where("rank = 3"), rows, 20).isEmpty()
+    assert neighbours.search(rows, rows.where("rank = 3"), 20).isEmpty()
