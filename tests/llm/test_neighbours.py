@@ -101,3 +101,22 @@ def test_columns_of_other_names_and_few_rows(spark):
     assert [tuple(r) for r in found] == [(1, 1, 2, 0.0), (2, 1, 1, 0.0)]
     assert neighbours.search(rows.where("rank = 3"), rows, 20).isEmpty()
     assert neighbours.search(rows, rows.where("rank = 3"), 20).isEmpty()
+
+
+@pytest.mark.parametrize("partitions", [1, 13, 211])
+def test_blocks_meet_chunks_in_any_number_of_partitions(spark, monkeypatch, partitions):
+    """Many blocks and chunks, their tasks not merged: every query has its neighbours, as brute force."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 300)
+    monkeypatch.setattr(neighbours, "CHUNK_QUERIES", 20)
+    data = np.random.default_rng(9).standard_normal((1000, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.enabled", False)
+        found = neighbours.search(rows, rows.where("vec_id % 20 = 0"), 20, candidates=None).orderBy("query_id", "rank").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    wanted = [i for q in range(0, 1000, 20) for i, _ in ranked(np.arange(1000), data, q, data[q], 20)]
+    assert [r.vec_id for r in found] == wanted

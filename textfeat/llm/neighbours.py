@@ -197,7 +197,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int, sample: int = SAMPLE, id
     blocks, chunks = -(-n_rows // BLOCK_ROWS), -(-n_queries // CHUNK_QUERIES)
 
     def dealt(df: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
-        part = F.pmod(F.xxhash64("id", "vector"), F.lit(parts)).alias(own)  # a repeated id is in many blocks
+        # A repeated id is in many blocks. Both sides need keys of one type, or equal keys are shuffled apart.
+        part = F.pmod(F.xxhash64("id", "vector"), F.lit(parts)).cast("int").alias(own)
         return df.select("*", part, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
 
     left = dealt(rows, "block", blocks, "chunk", chunks).groupBy("block", "chunk")
