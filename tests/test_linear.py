@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -113,3 +114,29 @@ def test_a_failing_fit_leaves_the_others_and_groups_are_kept(spark, table, tmp_p
         models.evaluate_grid(table, ["art", "sea"], 4, settings, path=path)
     monkeypatch.setattr(models, "fit", lambda setting, training: real(setting, training) if setting.method == "LogR" else pytest.fail("fitted twice"))
     assert models.evaluate_grid(table, ["art", "sea"], 4, settings, path=path).count() == 2 * 3 * 3 * 3
+
+
+def test_parameters_from_sums_are_those_of_fits(table):
+    """Naive Bayes of all runs from sums taken once, and predictions of all runs in one pass."""
+    subjects = ["art", "sea"]
+    setting = models.naive_bayes(0.5)
+    sums = linear.training_sums(linear.class_sums(table), 4)
+    made = {(r.subject, r.fold, r.label, r.bin): (r.pi, r.theta) for r in linear.naive_bayes_parameters(sums, 0.5).collect()}
+    fitted = models.fit_runs(table, subjects, 4, setting)
+    assert [f[:2] for f in fitted] == [(s, v) for s in subjects for v in range(3)]
+    chained = models.chained_predictions(table, fitted, 4, "doc_id").collect()
+    n = 0
+    for subject, fold, model in fitted:
+        for r in models.naive_bayes_parameters(model, table).collect():
+            assert made[subject, fold, r.label, r.bin] == (pytest.approx(r.pi), pytest.approx(r.theta))
+            n += 1
+        alone = models.predict(model, models.subject_rows(table, subject), "doc_id").collect()
+        mine = [(r.doc_id, r.label, r.prediction) for r in chained if (r.subject, r.fold) == (subject, fold)]
+        assert sorted(mine) == sorted(tuple(r) for r in alone)
+    assert n == len(made)
+
+
+def test_parameters_of_a_class_that_is_missing(spark):
+    sums = spark.createDataFrame([("a", 0, 2, None, [1.0, 3.0], None)], "subject string, valid_fold long, n0 long, n1 long, sums0 array<double>, sums1 array<double>")
+    rows = linear.naive_bayes_parameters(sums, 1.0).orderBy("bin").collect()
+    assert [(r.label, r.bin, r.pi, r.theta) for r in rows] == [(0, 0, 0.0, pytest.approx(math.log(2 / 6))), (0, 1, 0.0, pytest.approx(math.log(4 / 6)))]

@@ -34,7 +34,8 @@ def test_contract(spark):
 def test_predictions(spark, name):
     rows = contract.queries()[name](spark, SF_DIR).collect()
     assert rows and {r.prediction for r in rows} <= {0, 1}
-    assert len({r.doc_id for r in rows}) == len(rows)
+    assert len({(r.subject, r.fold, r.doc_id) for r in rows}) == len(rows)
+    assert len({(r.subject, r.fold) for r in rows}) == 3 * 2
 
 
 @pytest.mark.parametrize("name,n_settings", [("lr_grid", 4), ("results_summary", 6)])

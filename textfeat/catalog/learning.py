@@ -1,4 +1,4 @@
-"""Classifiers of the most frequent subject; their evaluation for several."""
+"""Classifiers of the most frequent subjects and their evaluation."""
 
 from concurrent.futures import ThreadPoolExecutor
 
@@ -8,15 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textfeat.catalog import features, subjects
-from textfeat.operators import folds as fold_ops
 from textfeat.operators import metrics as metric_ops
-from textfeat.operators import models, trees
+from textfeat.operators import linear, models, trees
 from textfeat.plans import runs
 from textfeat.plans.staging import release, stage, stage_path
 from textfeat.sources import datasets
 
-RANKS = (1,)
-GRID_RANKS = (1, 2, 3)
+RANKS = (1, 2, 3)
 NUM_FOLDS = 3
 SMOOTHING = 0.5
 SMOOTHINGS = (0.5, 0.1)
@@ -40,68 +38,62 @@ def _training(spark: SparkSession, sf_dir: str, ranks=RANKS) -> tuple[DataFrame,
     return stage(models.training_table(folds, vectors), "training"), names
 
 
-def _rows_and_training_set(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """All drawn documents of the subject with their role in run 0, and the training ones."""
-    table, names = _training(spark, sf_dir)
-    role = fold_ops.role(F.col("fold"), F.lit(0), NUM_FOLDS).alias("role")
-    rows = models.subject_rows(table, names[0]).select("doc_id", "label", "features", role)
-    return rows, rows.where("role = 'Training'")
-
-
-def _predictions(spark: SparkSession, sf_dir: str, setting: models.Setting) -> DataFrame:
-    rows, training = _rows_and_training_set(spark, sf_dir)
-    return models.predict(models.fit(setting, training), rows, "doc_id", "role")
+def _predictions(table: DataFrame, names: list[str], setting: models.Setting) -> DataFrame:
+    """Predictions of all runs of a setting, over all drawn documents of their subjects."""
+    fitted = models.fit_runs(table, names, NUM_FOLDS, setting)
+    found = models.chained_predictions(table, fitted, NUM_FOLDS, "doc_id")
+    return found.select("subject", "fold", "doc_id", F.col("set").alias("role"), "label", "prediction")
 
 
 def nb_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, training = _rows_and_training_set(spark, sf_dir)
-    model = models.fit(models.naive_bayes(SMOOTHING), training)
-    parameters = models.naive_bayes_parameters(model, training)
-    return parameters.select("label", "bin", F.round("pi", 6).alias("pi"), F.round("theta", 6).alias("theta"))
+    """Parameters of the models of all subjects and validation folds, from sums taken once."""
+    table, _ = _training(spark, sf_dir)
+    sums = linear.training_sums(linear.class_sums(table), NUM_FOLDS)
+    parameters = linear.naive_bayes_parameters(sums, SMOOTHING)
+    return parameters.select("subject", "fold", "label", "bin", F.round("pi", 6).alias("pi"), F.round("theta", 6).alias("theta"))
 
 
 def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, models.naive_bayes(SMOOTHING))
+    return _predictions(*_training(spark, sf_dir), models.naive_bayes(SMOOTHING))
 
 
 def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metric_ops.confusion(nb_predict(spark, sf_dir), ["role"])
+    return metric_ops.confusion(nb_predict(spark, sf_dir), ["subject", "fold", "role"])
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = metric_ops.metrics(confusion(spark, sf_dir))
     names = ("accuracy", "precision", "recall", "f1score")
-    return scored.select("role", *[F.round(n, 6).alias(n) for n in names])
+    return scored.select("subject", "fold", "role", *[F.round(n, 6).alias(n) for n in names])
 
 
 def dt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, models.decision_tree(3, 10))
+    return _predictions(*_training(spark, sf_dir), models.decision_tree(3, 10))
 
 
 def lr_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, models.logistic_regression())
+    return _predictions(*_training(spark, sf_dir), models.logistic_regression())
 
 
 def dt_presence_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decision tree over the presence of bins: one threshold each, so SQL can grow it as well."""
-    rows, _ = _rows_and_training_set(spark, sf_dir)
+    """Decision trees over the presence of bins: one threshold each, so SQL can grow them as well."""
+    table, names = _training(spark, sf_dir)
     present = Binarizer(threshold=0.0, inputCol="weights", outputCol="features")
-    rows = stage(present.transform(rows.withColumnRenamed("features", "weights")).drop("weights"), "presence")
-    model = models.fit(models.decision_tree(TREE_DEPTH, 10), rows.where("role = 'Training'"))
-    return models.predict(model, rows, "doc_id", "role")
+    binary = stage(present.transform(table.withColumnRenamed("features", "weights")).drop("weights"), "presence")
+    release(table)
+    return _predictions(binary, names, models.decision_tree(TREE_DEPTH, 10))
 
 
 def dt_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the trees of all subjects and validation folds, over weights in steps: what each split
     does to the training documents and what it gains, which SQL finds by growing the trees."""
-    table, names = _training(spark, sf_dir, GRID_RANKS)
+    table, names = _training(spark, sf_dir)
     steps = stage(trees.levelled(table, TREE_CUTS), "steps")
     release(table)
     found = None
     for subject in names:
         for valid_fold in range(NUM_FOLDS - 1):
-            rows = models.subject_rows(steps, subject)
-            rows = rows.where(fold_ops.role(F.col("fold"), F.lit(valid_fold), NUM_FOLDS) == "Training")
+            rows = models.training_rows(steps, subject, valid_fold, NUM_FOLDS)
             model = models.fit(models.decision_tree(TREE_DEPTH, 10), rows)
             one = trees.tree_table(rows, trees.nodes(model))
             one = one.select(F.lit(subject).alias("subject"), F.lit(valid_fold).cast("bigint").alias("fold"), "*")
@@ -119,13 +111,12 @@ def lr_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     The derivative of the convex objective in a weight is the fitted sum of its feature, less the
     sum over the class, plus the penalty; at the optimum it is 0.
     """
-    table, names = _training(spark, sf_dir, GRID_RANKS)
+    table, names = _training(spark, sf_dir)
     settings = [models.logistic_regression(), *models.regularised_grid()]
 
     def found(run: tuple[str, int]) -> list[tuple]:
         subject, valid_fold = run
-        rows = models.subject_rows(table, subject)
-        training = rows.where(fold_ops.role(F.col("fold"), F.lit(valid_fold), NUM_FOLDS) == "Training")
+        training = models.training_rows(table, subject, valid_fold, NUM_FOLDS)
         return [
             (subject, valid_fold, setting.params, bin_, round(total, 4), away <= FIT_TOLERANCE)
             for setting in settings
@@ -141,7 +132,7 @@ def lr_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _grid(spark: SparkSession, sf_dir: str, settings, ranks=GRID_RANKS) -> DataFrame:
+def _grid(spark: SparkSession, sf_dir: str, settings, ranks=RANKS) -> DataFrame:
     """Counts of all models; the training table is released, as only counts are left."""
     table, names = _training(spark, sf_dir, ranks)
     counts = models.evaluate_grid(table, names, NUM_FOLDS, settings)
@@ -162,12 +153,12 @@ def _nb_results(spark: SparkSession, sf_dir: str, ranks) -> DataFrame:
 
 def nb_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation of the Naive Bayes settings alone, which SQL can repeat."""
-    return _nb_results(spark, sf_dir, GRID_RANKS)
+    return _nb_results(spark, sf_dir, RANKS)
 
 
 def results_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results written as CSV and read back."""
-    rows, path = _nb_results(spark, sf_dir, GRID_RANKS), stage_path(spark, "results")
+    rows, path = _nb_results(spark, sf_dir, RANKS), stage_path(spark, "results")
     datasets.write_csv(rows, path)
     return spark.read.schema(rows.schema).option("header", True).csv(path)
 
@@ -265,36 +256,38 @@ def _gini(pos: str, n: str) -> str:
 
 
 def _level_sql(k: int) -> str:
-    """Documents at the nodes one level further down. Each node is split on the bin whose presence
-    lowers the Gini impurity most, the first of equals; one that none lowers stays."""
+    """Documents at the nodes one level further down, in all runs. Each node is split on the bin whose
+    presence lowers the Gini impurity most, the first of equals; one that none lowers stays."""
     gain = (
         f"{_gini('pos', 'n')} - (n - n1)::DOUBLE / n * {_gini('(pos - pos1)', '(n - n1)')}"
         f" - n1::DOUBLE / n * {_gini('pos1', 'n1')}"
     )
     return f""",
-size{k} AS (SELECT node, count(*) AS n, sum(label) AS pos FROM at{k} WHERE role = 'Training' GROUP BY node),
+size{k} AS (
+  SELECT subject, fold, node, count(*) AS n, sum(label) AS pos FROM at{k} WHERE role = 'Training' GROUP BY ALL),
 hit{k} AS (
-  SELECT node, bin, count(*) AS n1, sum(label) AS pos1
-  FROM at{k} JOIN present USING (doc_id) WHERE role = 'Training' GROUP BY node, bin),
-gain{k} AS (SELECT node, bin, {gain} AS gain FROM hit{k} JOIN size{k} USING (node) WHERE n1 < n),
+  SELECT subject, fold, node, bin, count(*) AS n1, sum(label) AS pos1
+  FROM at{k} JOIN present USING (doc_id) WHERE role = 'Training' GROUP BY ALL),
+gain{k} AS (
+  SELECT subject, fold, node, bin, {gain} AS gain FROM hit{k} JOIN size{k} USING (subject, fold, node) WHERE n1 < n),
 best{k} AS (
-  SELECT node, bin FROM gain{k} WHERE gain > 0
-  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, bin) = 1),
+  SELECT subject, fold, node, bin FROM gain{k} WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY subject, fold, node ORDER BY gain DESC, bin) = 1),
 at{k + 1} AS (
-  SELECT a.doc_id, a.role, a.label,
+  SELECT a.subject, a.fold, a.doc_id, a.role, a.label,
          CASE WHEN b.bin IS NULL THEN a.node WHEN p.bin IS NULL THEN 2 * a.node ELSE 2 * a.node + 1 END AS node
-  FROM at{k} a LEFT JOIN best{k} b ON b.node = a.node
+  FROM at{k} a LEFT JOIN best{k} b ON b.subject = a.subject AND b.fold = a.fold AND b.node = a.node
   LEFT JOIN present p ON p.doc_id = a.doc_id AND p.bin = b.bin)"""
 
 
 _TREE_SQL = f"""{_roles_sql(RANKS)},
 present AS (SELECT doc_id, bin FROM hashed WHERE weight > 0),
-at0 AS (SELECT doc_id, role, label, 1 AS node FROM roles WHERE valid_fold = 0)
+at0 AS (SELECT subject, valid_fold AS fold, doc_id, role, label, 1 AS node FROM roles)
 {"".join(map(_level_sql, range(TREE_DEPTH)))},
 leaves AS (
-  SELECT node, CASE WHEN 2 * sum(label) > count(*) THEN 1 ELSE 0 END::BIGINT AS prediction
-  FROM at{TREE_DEPTH} WHERE role = 'Training' GROUP BY node)
-SELECT doc_id, role, label, prediction FROM at{TREE_DEPTH} JOIN leaves USING (node)"""
+  SELECT subject, fold, node, CASE WHEN 2 * sum(label) > count(*) THEN 1 ELSE 0 END::BIGINT AS prediction
+  FROM at{TREE_DEPTH} WHERE role = 'Training' GROUP BY ALL)
+SELECT subject, fold, doc_id, role, label, prediction FROM at{TREE_DEPTH} JOIN leaves USING (subject, fold, node)"""
 
 def _step_level_sql(k: int) -> str:
     """The same for all runs at once, over steps: a split parts the steps up to a cut from those above it."""
@@ -354,7 +347,7 @@ nodes{k} AS (
   FROM kept{k} k LEFT JOIN split{k} USING (subject, fold, node))"""
 
 
-_STEP_TREE_SQL = f"""{_roles_sql(GRID_RANKS)},
+_STEP_TREE_SQL = f"""{_roles_sql(RANKS)},
 steps AS (SELECT doc_id, bin, {" + ".join(f"(weight > {c})::INT" for c in TREE_CUTS)} AS step FROM hashed),
 cuts(cut) AS (VALUES {", ".join(f"({i})" for i in range(len(TREE_CUTS)))}),
 at0 AS (SELECT subject, valid_fold AS fold, doc_id, label, 1 AS node FROM roles WHERE role = 'Training')
@@ -366,14 +359,15 @@ SELECT subject, fold, node::BIGINT AS node, n, pos::BIGINT AS n_pos, n1::BIGINT
        CASE WHEN 2 * pos > n THEN 1 ELSE 0 END::BIGINT AS prediction
 FROM nodes"""
 
-_NB_SQL, _NB_GRID_SQL = _nb_sql(RANKS), _nb_sql(GRID_RANKS)
+_NB_SQL = _nb_sql(RANKS)
 
 
 # Names of the settings, as models need a session to be made.
 _GRID_ROWS = "('NBay', '0.5'), ('NBay', '0.1'), ('Tree', '(3, 5)'), ('Tree', '(3, 10)'), ('Tree', '(4, 5)'), ('LogR', '(None, 0.0)')"
 _REGRESSION_ROWS = "('(None, 0.0)'), ('(l1, 0.1)'), ('(l1, 0.001)'), ('(l2, 0.1)'), ('(l2, 0.001)')"
 
-_RUN_SQL = f"valid_fold = 0 AND smoothing = {SMOOTHING}"
+_RUN_SQL = f"smoothing = {SMOOTHING}"
+_KEYS_SQL = "subject, valid_fold AS fold"
 _RATES_SQL = """round(accuracy, 6) AS accuracy, round(p, 6) AS "precision", round(r, 6) AS recall,
        round(coalesce(2 * p * r / nullif(p + r, 0), 0.0), 6) AS f1score"""
 _CELLS_SQL = 'tp AS "truePos", fp AS "falsePos", tn AS "trueNeg", fn AS "falseNeg"'
@@ -383,15 +377,15 @@ FROM rates"""
 
 ORACLES = {
     "nb_model": f"""WITH {_NB_SQL}
-SELECT label, bin, round(pi, 6) AS pi, round(theta, 6) AS theta FROM params WHERE {_RUN_SQL}""",
-    "nb_predict": f"WITH {_NB_SQL} SELECT doc_id, role, label, prediction FROM predicted WHERE {_RUN_SQL}",
-    "confusion": f"WITH {_NB_SQL} SELECT role, {_CELLS_SQL} FROM cells WHERE {_RUN_SQL}",
-    "metrics": f"WITH {_NB_SQL} SELECT role, {_RATES_SQL} FROM rates WHERE {_RUN_SQL}",
-    "nb_grid": f"WITH {_NB_GRID_SQL} {_RESULTS_SQL}",
-    "results_csv": f"WITH {_NB_GRID_SQL} {_RESULTS_SQL}",
+SELECT {_KEYS_SQL}, label, bin, round(pi, 6) AS pi, round(theta, 6) AS theta FROM params WHERE {_RUN_SQL}""",
+    "nb_predict": f"WITH {_NB_SQL} SELECT {_KEYS_SQL}, doc_id, role, label, prediction FROM predicted WHERE {_RUN_SQL}",
+    "confusion": f"WITH {_NB_SQL} SELECT {_KEYS_SQL}, role, {_CELLS_SQL} FROM cells WHERE {_RUN_SQL}",
+    "metrics": f"WITH {_NB_SQL} SELECT {_KEYS_SQL}, role, {_RATES_SQL} FROM rates WHERE {_RUN_SQL}",
+    "nb_grid": f"WITH {_NB_SQL} {_RESULTS_SQL}",
+    "results_csv": f"WITH {_NB_SQL} {_RESULTS_SQL}",
     "dt_presence_predict": f"WITH {_TREE_SQL}",
     "dt_model": f"WITH {_STEP_TREE_SQL}",
-    "lr_optimality": f"""WITH {_roles_sql(GRID_RANKS)},
+    "lr_optimality": f"""WITH {_roles_sql(RANKS)},
 settings(params) AS (VALUES {_REGRESSION_ROWS}),
 fits AS (SELECT DISTINCT subject, valid_fold FROM roles),
 sums AS (
@@ -400,7 +394,7 @@ sums AS (
 SELECT f.subject, f.valid_fold AS fold, params, b.bin::BIGINT AS bin, round(coalesce(total, 0.0), 4) AS class_sum, true AS optimal
 FROM fits f, settings, (SELECT unnest(range({features.NUM_BINS})) AS bin) b
 LEFT JOIN sums s ON s.subject = f.subject AND s.valid_fold = f.valid_fold AND s.bin = b.bin""",
-    "model_grid_sets": f"""WITH {_roles_sql(GRID_RANKS)},
+    "model_grid_sets": f"""WITH {_roles_sql(RANKS)},
 settings(method, params) AS (VALUES {_GRID_ROWS})
 SELECT subject, method, params, valid_fold AS fold, role AS "set",
        count(*) FILTER (label = 1) AS n_pos, count(*) FILTER (label = 0) AS n_neg,

@@ -87,6 +87,25 @@ def naive_bayes(training: DataFrame, smoothings: Sequence[float], method: str =
     )
 
 
+def naive_bayes_parameters(training: DataFrame, smoothing: float) -> DataFrame:
+    """``subject, fold, label, bin, pi, theta`` of multinomial Naive Bayes of every row of
+    ``training_sums``: log probability of the class, and of each bin in it. A class without documents in
+    a training set has no rows."""
+    s = float(smoothing)
+    present = F.col("n0").isNotNull().cast("int") + F.col("n1").isNotNull().cast("int")
+    every = F.coalesce("n0", F.lit(0)) + F.coalesce("n1", F.lit(0))
+    rows = training.select(
+        "subject",
+        F.col("valid_fold").alias("fold"),
+        (every + present * s).alias("mass"),
+        F.inline(F.array(*(F.struct(F.lit(c).cast("bigint").alias("label"), F.col(f"n{c}").alias("n"), F.col(f"sums{c}").alias("sums")) for c in (0, 1)))),
+    ).where("n IS NOT NULL")
+    total = F.aggregate("sums", F.lit(0.0), lambda acc, x: acc + x) + F.size("sums") * s
+    rows = rows.select("subject", "fold", "label", (F.log(F.col("n") + s) - F.log("mass")).alias("pi"), F.log(total).alias("total"), F.posexplode("sums").alias("bin", "sum"))
+    theta = F.log(F.col("sum") + s) - F.col("total")
+    return rows.select("subject", "fold", "label", F.col("bin").cast("bigint").alias("bin"), "pi", theta.alias("theta"))
+
+
 def _role_counts(models: list, num_folds: int, sets: Sequence[str]):
     """Confusion cells of all models over the rows of a task, as ``model, set`` and four numbers."""
     width = max((len(m.weights) for m in models), default=0)

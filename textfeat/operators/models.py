@@ -158,21 +158,48 @@ def subject_rows(table: DataFrame, subject: str) -> DataFrame:
     return table.where(drawn.isNotNull()).select("doc_id", drawn["label"].alias("label"), drawn["fold"].alias("fold"), "features")
 
 
-def chained_confusion(table: DataFrame, fitted: Sequence[tuple[str, int, object]], num_folds: int) -> DataFrame:
-    """``model, set`` with confusion counts of fitted classifiers of any kind, in one pass.
+def training_rows(table: DataFrame, subject: str, valid_fold: int, num_folds: int) -> DataFrame:
+    """Rows of one subject that a run learns from."""
+    role = fold_ops.role(F.col("fold"), F.lit(valid_fold), num_folds)
+    return subject_rows(table, subject).where(role == "Training")
 
-    ``fitted`` holds subject, validation fold and model; ``model`` is the place in it. Each model adds its
-    predictions to the row, so the vectors are read once for all.
+
+Fitted = tuple[str, int, object]
+
+
+def fit_runs(table: DataFrame, subjects: Sequence[str], num_folds: int, setting: Setting, parallel_fits: int = PARALLEL_FITS) -> list[Fitted]:
+    """Subject, validation fold and model of every run of one setting, fitted a few at a time."""
+    wanted = [(subject, valid_fold) for subject, valid_fold, _ in _runs(subjects, num_folds, [setting])]
+
+    def run(args: tuple[str, int]) -> Fitted:
+        return *args, fit(setting, training_rows(table, *args, num_folds))
+
+    with ThreadPoolExecutor(parallel_fits) as pool:
+        return list(pool.map(inheritable_thread_target(table.sparkSession)(run), wanted))
+
+
+def chained_predictions(table: DataFrame, fitted: Sequence[Fitted], num_folds: int, *others: str) -> DataFrame:
+    """``others, model, subject, fold, set, label, prediction`` of fitted classifiers of any kind.
+
+    ``model`` is the place in ``fitted``, ``fold`` the validation fold of its run. Each model adds its
+    predictions to the row, so the vectors are read once for all; a document has a row for every model
+    whose subject it was drawn for.
     """
     rows, found = table, []
     for i, (subject, valid_fold, model) in enumerate(fitted):
         alone = model.copy({model.predictionCol: f"p{i}", model.rawPredictionCol: "", model.probabilityCol: ""})
         rows = alone.transform(rows)
         place = F.element_at("assigned", F.lit(subject))
-        set_name = fold_ops.role(place["fold"], F.lit(valid_fold), num_folds)
-        found.append(F.struct(F.lit(i).alias("model"), set_name.alias("set"), place["label"].alias("label"), F.col(f"p{i}").cast("bigint").alias("prediction")))
-    rows = rows.select(F.inline(F.array(*found))).where("label IS NOT NULL")
-    return metrics.confusion(rows, ["model", "set"])
+        of_model = [F.lit(i).alias("model"), F.lit(subject).alias("subject"), F.lit(valid_fold).cast("bigint").alias("fold")]
+        set_name = fold_ops.role(place["fold"], F.lit(valid_fold), num_folds).alias("set")
+        label = place["label"].cast("bigint").alias("label")
+        found.append(F.struct(*of_model, set_name, label, F.col(f"p{i}").cast("bigint").alias("prediction")))
+    return rows.select(*others, F.inline(F.array(*found))).where("label IS NOT NULL")
+
+
+def chained_confusion(table: DataFrame, fitted: Sequence[Fitted], num_folds: int) -> DataFrame:
+    """``model, set`` with confusion counts of ``chained_predictions``."""
+    return metrics.confusion(chained_predictions(table, fitted, num_folds), ["model", "set"])
 
 
 def _rows_of(counts: DataFrame, keys: Sequence[str]) -> dict[tuple, list[tuple]]:
@@ -217,9 +244,7 @@ def _fitted_group(table: DataFrame, runs: Sequence[Run], num_folds: int, paralle
         subject, valid_fold, setting = args
         start = perf_counter()
         try:
-            rows = subject_rows(table, subject)
-            training = rows.where(fold_ops.role(F.col("fold"), F.lit(valid_fold), num_folds) == "Training")
-            return fit(setting, training), perf_counter() - start
+            return fit(setting, training_rows(table, subject, valid_fold, num_folds)), perf_counter() - start
         except Exception as error:  # raised when the other models are through
             return error
 
