@@ -1,6 +1,10 @@
 import math
 import random
+import tracemalloc
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.sql import types as T
@@ -140,3 +144,22 @@ def test_parameters_of_a_class_that_is_missing(spark):
     sums = spark.createDataFrame([("a", 0, 2, None, [1.0, 3.0], None)], "subject string, valid_fold long, n0 long, n1 long, sums0 array<double>, sums1 array<double>")
     rows = linear.naive_bayes_parameters(sums, 1.0).orderBy("bin").collect()
     assert [(r.label, r.bin, r.pi, r.theta) for r in rows] == [(0, 0, 0.0, pytest.approx(math.log(2 / 6))), (0, 1, 0.0, pytest.approx(math.log(4 / 6)))]
+
+
+def test_scoring_holds_no_more_for_a_longer_batch():
+    def peak(n: int) -> int:
+        rng = np.random.default_rng(0)
+        offsets = [pa.array(np.arange(n + 1, dtype=np.int32) * k) for k in (64, 1)]
+        places = pa.StructArray.from_arrays([pa.array(rng.integers(0, 2, n)), pa.array(rng.integers(0, 3, n))], ["label", "fold"])
+        entries = (pa.array(np.tile(np.arange(64, dtype=np.int32), n)), pa.array(rng.random(64 * n)))
+        columns = [*(pa.ListArray.from_arrays(offsets[0], e) for e in entries), pa.ListArray.from_arrays(offsets[1], places)]
+        batch = pa.RecordBatch.from_arrays(columns, ["indices", "values", "places"])
+        models = [SimpleNamespace(subject="a", fold=i % 2, bias=-0.5, weights=rng.standard_normal(64)) for i in range(24)]
+        tracemalloc.start()
+        (found,) = linear._role_counts(models, 3, linear.SETS)(iter([batch]))
+        held = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(sum(found.column(c).to_pylist()) for c in linear.CELLS) == n * len(models)
+        return held
+
+    assert peak(10_000) < 1.2 * peak(2_000) < 20_000_000

@@ -25,8 +25,9 @@ MODEL_KEYS = ["subject", "fold", "method", "params"]
 SETS = ("Training", "Validation", "Test")
 CELLS = ["truePos", "falsePos", "trueNeg", "falseNeg"]
 
-# Bytes of products held at a time.
-SLICE_BYTES = 32 << 20
+# Bytes of products, and rows, held at a time: what a worker holds beside its batch does not grow with it.
+SLICE_BYTES = 2 << 20
+SLICE_ROWS = 1024
 
 
 def drawn(table: DataFrame, *others: str) -> DataFrame:
@@ -118,7 +119,7 @@ def _role_counts(models: list, num_folds: int, sets: Sequence[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(len(models) * len(sets) * 4, np.int64)
-        for batch in batches:
+        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             places = batch.column("places").flatten()
             label, fold = (places.field(i).to_numpy(zero_copy_only=False).astype(float).reshape(-1, len(subjects)) for i in range(2))
             margins = bias + _products(batch.column("indices"), batch.column("values"), matrix)
