@@ -68,3 +68,16 @@ def test_cluster_needs_a_shared_folder():
 def test_local_mode_makes_one_folder():
     folder = staging.shared_folder(Session("local[2]"))
     assert os.path.isdir(folder) and staging.shared_folder(Session("local[2]")) == folder
+
+
+def test_local_tables_start_no_python_worker(spark):
+    schema = "name string, n bigint, x double, list array<double>"
+    rows = [("a", 1, float("-inf"), [0.5]), (None, None, None, []), ("é", 1 << 40, 2.0, None)]
+    table = staging.local_table(spark, rows, schema)
+    assert table.schema == spark.createDataFrame(rows, schema).schema
+    assert [tuple(r) for r in table.collect()] == rows
+    for made in (staging.local_table(spark, [], schema), staging.local_table(spark, rows[1:2], schema)):
+        assert made.schema == table.schema
+    assert staging.local_table(spark, [], schema).isEmpty()
+    # A table from pickled rows is an RDD that Python workers write.
+    assert "PythonRDD" not in table._jdf.rdd().toDebugString() and "Scan ExistingRDD" not in table._jdf.queryExecution().toString()

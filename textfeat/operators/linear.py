@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textfeat.operators import folds as fold_ops
+from textfeat.plans.staging import local_table
 
 MODEL_SCHEMA = "subject string, fold bigint, method string, params string, bias double, weights array<double>"
 MODEL_KEYS = ["subject", "fold", "method", "params"]
@@ -174,6 +175,6 @@ def confusion(table: DataFrame, models: DataFrame, num_folds: int) -> DataFrame:
         wanted = wanted.limit(0)
     partial = wanted.mapInArrow(_role_counts(rows, num_folds, SETS), f"model long, role long, {', '.join(c + ' long' for c in CELLS)}")
     counts = partial.groupBy("model", "role").agg(*(F.sum(c).alias(c) for c in CELLS))
-    names = spark.createDataFrame([(i, *(r[k] for k in MODEL_KEYS)) for i, r in enumerate(rows)], "model long, subject string, fold bigint, method string, params string")
+    names = local_table(spark, [(i, *(r[k] for k in MODEL_KEYS)) for i, r in enumerate(rows)], "model long, subject string, fold bigint, method string, params string")
     set_name = F.get(F.array(*map(F.lit, SETS)), F.col("role").cast("int")).alias("set")
     return counts.join(F.broadcast(names), "model").select(*MODEL_KEYS, set_name, *CELLS)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from textfeat.operators import folds as fold_ops
 from textfeat.operators import linear, metrics
-from textfeat.plans.staging import release, stage
+from textfeat.plans.staging import local_table, release, stage
 
 # Models trained at the same time; each is a few Spark jobs.
 PARALLEL_FITS = 4
@@ -258,7 +258,7 @@ def _fitted_group(table: DataFrame, runs: Sequence[Run], num_folds: int, paralle
     if lines:
         table_rows = [(s, v, t.method, t.params, float(m.intercept), m.coefficients.toArray().tolist()) for (s, v, t), m, _ in lines]
         start = perf_counter()
-        counts = _rows_of(linear.confusion(table, spark.createDataFrame(table_rows, linear.MODEL_SCHEMA), num_folds), linear.MODEL_KEYS)
+        counts = _rows_of(linear.confusion(table, local_table(spark, table_rows, linear.MODEL_SCHEMA), num_folds), linear.MODEL_KEYS)
         took = perf_counter() - start
         rows += [(s, t.method, t.params, v, c[0], train, took, *c[1:]) for (s, v, t), _, train in lines for c in counts.get((s, v, t.method, t.params), [])]
     if others:
@@ -324,14 +324,14 @@ def evaluate_grid(
         errors += failed
     if errors:
         raise errors[0]
-    return spark.createDataFrame([tuple(r) for r in finished] + rows, RESULT_SCHEMA)
+    return local_table(spark, [tuple(r) for r in finished] + rows, RESULT_SCHEMA)
 
 
 def _save(spark: SparkSession, rows: list[tuple], path: str | None) -> None:
     """Write the rows of a group of models below ``path``."""
     if path and rows:
         name = uuid5(NAMESPACE_OID, repr(sorted({row[:4] for row in rows}))).hex
-        spark.createDataFrame(rows, RESULT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+        local_table(spark, rows, RESULT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def _finished(spark: SparkSession, path: str) -> list[Row]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from textfeat.operators import folds as fold_ops
 from textfeat.operators import hashing, models, subjects, terms, weights
-from textfeat.plans.staging import release, stage, stage_path
+from textfeat.plans.staging import local_table, release, stage, stage_path
 from textfeat.plans.store import FrequencyStore
 from textfeat.sources import datasets
 
@@ -126,7 +126,7 @@ def draw_folds(
     rows = chosen.collect()
     if missing := sorted(set(ranks) - {row["rank"] for row in rows}):
         raise ValueError(f"there are no subjects of rank {missing}")
-    chosen = vectors.sparkSession.createDataFrame(rows, chosen.schema)
+    chosen = local_table(vectors.sparkSession, rows, chosen.schema)
     labels = stage(subjects.one_vs_rest(vectors, pairs, chosen), "labels")
     release(pairs)
     return chosen, fold_ops.stratified_folds(labels, num_folds, seed)
