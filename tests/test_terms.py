@@ -3,8 +3,9 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from textfeat.functions import patterns
+from textfeat.functions import patterns, text
 from textfeat.operators import terms
 from textfeat.plans import runs, sizing
 
@@ -172,3 +173,20 @@ def test_counts_read_once_are_not_staged_where_ids_do_not_repeat(spark):
         state = runs.frequency_state(rows, once=True)
         assert sorted(map(str, state.collect())) == sorted(map(str, runs.frequency_state(rows).collect()))
     assert not terms.term_counts(docs, once=True).inputFiles() and terms.term_counts(again, once=True).inputFiles()
+
+
+def test_words_of_whole_texts_lowered_at_once(spark):
+    """ASCII texts are lowered before they are split, others after; the words are those of the plain way."""
+    odd = ["", " ", "--", "A--B -- c---D-", "It's  A", "Kelvin Ång", "İstanbul Z", "STRAẞE ÉtÉ", "xİ--Y", "-a- '--' ƐB", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "doc_id long, body string")
+    plain = F.transform(F.split("body", patterns.WORD_SEPARATOR_RANGES), F.lower)
+    for row in df.select(plain.alias("plain"), text.tokens(F.col("body")).alias("found")).collect():
+        assert row.plain == row.found
+
+
+def test_empty_words_are_dropped_without_a_function_per_word(spark):
+    df = spark.createDataFrame([(1, " a -- b a ")], "doc_id long, body string")
+    (row,) = terms.count_in_place(df).collect()
+    assert [tuple(t) for t in row.terms] == [("a", 2), ("b", 1)] and row.max_cnt == 2
+    (row,) = terms.count_in_place(df, keep_empty=True).collect()
+    assert [tuple(t) for t in row.terms] == [("", 4), ("a", 2), ("b", 1)]

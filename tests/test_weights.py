@@ -100,3 +100,14 @@ def test_vectors_take_one_shuffle_by_document(tf, idf):
     hashed = hashing.hashed_tfidf(stage(tf, "tf"), staged, [3, 8], by_document=True)
     plan = hashing.assemble_vectors(hashed)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_corpus_size_is_counted_without_words(spark):
+    """The number of documents comes from rows of texts: only texts that share an id are counted by words."""
+    def size(rows):
+        return runs.count_corpus(spark.createDataFrame(rows, "doc_id long, body string")).size
+
+    alone = size([(1, "a b a"), (2, "b"), (3, " "), (4, None), (None, "a")])
+    assert [r.n_docs for r in alone.collect()] == [2]
+    assert "Generate" not in alone._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.n_docs for r in size([(1, "a b"), (2, "b"), (2, "c c"), (5, "--"), (5, "")]).collect()] == [2]

@@ -21,6 +21,9 @@ WORD_SEPARATOR = r"[^A-Za-zÀ-ƿ'\-]+|-{2,}"
 # tests/test_functions.py compares the two over every code point of the basic plane.
 WORD_SEPARATOR_RANGES = r"[\x00-&(-,.-@\[-`{-¿ǀ-\x{10FFFF}]+|--+"
 
+# The separators of a text in which no two hyphens meet: a single class, found without alternatives.
+CHARACTER_SEPARATOR = WORD_SEPARATOR_RANGES.removesuffix("|--+")
+
 # Elements and attributes of the RDF metadata, by their local names whatever prefixes a file binds.
 RDF_SCHEMA = (
     "`ebook` array<struct<"

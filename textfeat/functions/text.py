@@ -34,5 +34,15 @@ def strip_boilerplate(text: Column) -> Column:
 
 
 def tokens(body: Column) -> Column:
-    """Lower-cased words, empty ones included where separators touch an end of the text."""
-    return F.transform(F.split(body, patterns.WORD_SEPARATOR_RANGES), F.lower)
+    """Lower-cased words, empty ones included where separators touch an end of the text.
+
+    Text in ASCII is lowered as a whole, which moves no separator there; elsewhere words are, as the
+    lower case of a separator can be a letter (the Kelvin sign) and that of a letter hold a separator.
+    """
+
+    def words(text: Column) -> Column:
+        plain = F.split(text, patterns.CHARACTER_SEPARATOR)
+        return F.when(text.contains("--"), F.split(text, patterns.WORD_SEPARATOR_RANGES)).otherwise(plain)
+
+    is_ascii = F.length(body) == F.octet_length(body)
+    return F.when(is_ascii, words(F.lower(body))).otherwise(F.transform(words(body), F.lower))

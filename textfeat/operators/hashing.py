@@ -41,9 +41,12 @@ def hashed_tfidf(
     """
     joined = weights.join_vocabulary(tf, bin_vocabulary(idf, lengths, portable), max_rows)
     rows = joined.select("doc_id", "bins", (F.col("tf") * F.col("idf")).alias("weight"))
-    if by_document and sizing.within(idf, max_rows):
+    by_document = by_document and sizing.within(idf, max_rows)
+    if by_document and len(lengths) > 1:
         rows = rows.repartition("doc_id")
     rows = rows.select("doc_id", "weight", F.inline("bins"))
+    if by_document and len(lengths) == 1:
+        rows = rows.repartition("doc_id")
     return rows.groupBy("doc_id", "num_bins", "bin").agg(F.sum("weight").alias("weight"))
 
 
@@ -60,7 +63,7 @@ def assemble_vectors(hashed: DataFrame) -> DataFrame:
     A list holds at most ``num_bins`` entries. ``sources.datasets`` writes the result and
     reads it back as ML vectors.
     """
-    entries = F.array_sort(F.collect_list(F.struct(F.col("bin").cast("int").alias("bin"), "weight")))
+    entries = F.sort_array(F.collect_list(F.struct(F.col("bin").cast("int").alias("bin"), "weight")))
     lists = hashed.groupBy("doc_id", "num_bins").agg(entries.alias("entries"))
     features = F.struct(
         F.lit(0).cast("tinyint").alias("type"),

@@ -63,13 +63,15 @@ def count_in_place(
     """
     listed, ids = _known(stop_words), [*keys, "doc_id"]
 
-    def wanted(word):
-        keep = F.lit(True) if keep_empty else word != ""
-        return keep & ~word.isin(listed) if listed else keep
+    found = text.tokens(F.col(body))
+    if not keep_empty:
+        found = F.array_remove(found, "")
+    if listed:
+        found = F.filter(found, lambda word: ~word.isin(listed))
 
     # One select per step: each reads the array of the step before more than once, which
     # keeps the optimizer from merging them and computing an array again for every element.
-    words = docs.select(*ids, F.sort_array(F.filter(text.tokens(F.col(body)), wanted)).alias("words"))
+    words = docs.select(*ids, F.sort_array(found).alias("words"))
     size = F.size("words")
     places = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
     ends = words.select(
@@ -171,6 +173,24 @@ def term_counts(
     return counts if shared is None else counts.unionByName(completed(shared))
 
 
+def sized_counts(
+    docs: DataFrame, body: str = "body", stop_words: StopWords = (), keep_empty: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``term_counts`` with the highest counts, and ``n_docs`` of them, one row. A text whose id is that of
+    no other counts as its row, whose words are not read for it."""
+    stop_words = inline_stop_words(stop_words)
+    if isinstance(stop_words, DataFrame):
+        counts = term_counts(docs, body, stop_words, keep_empty, with_max=True)
+        return counts, counts.agg(F.countDistinct("doc_id").alias("n_docs"))
+    alone, shared = counted_texts(docs, body, stop_words, keep_empty)
+    counts, sizes = flatten_terms(alone), alone.agg(F.count(F.lit(1)).alias("n_docs"))
+    if shared is None:
+        return counts, sizes
+    completed = shared.join(max_counts(shared), "doc_id").select(counts.columns)
+    sizes = sizes.unionByName(shared.agg(F.countDistinct("doc_id").alias("n_docs")))
+    return counts.unionByName(completed), sizes.agg(F.sum("n_docs").alias("n_docs"))
+
+
 def flatten_terms(rows: DataFrame) -> DataFrame:
     """``doc_id, word, cnt, max_cnt`` from ``count_in_place``."""
     return rows.select("doc_id", F.inline("terms"), "max_cnt")

@@ -69,9 +69,14 @@ def tfidf(tf: DataFrame, idf: DataFrame, max_rows: int = sizing.BROADCAST_ROWS)
 def frequency_state(counts: DataFrame, *keys: str) -> DataFrame:
     """``keys, word, df``: the state of ``counts``, of each batch where ``keys`` tell batches
     apart. Stage ``counts`` before: they are read twice."""
+    sizes = counts.groupBy(*keys).agg(F.countDistinct("doc_id").alias("n_docs"))
+    return sized_state(counts, sizes, *keys)
+
+
+def sized_state(counts: DataFrame, sizes: DataFrame, *keys: str) -> DataFrame:
+    """The same state where the ``keys, n_docs`` of ``counts`` are known."""
     words = counts.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("df"))
-    sizes = counts.groupBy(*keys).agg(F.countDistinct("doc_id").alias("df"))
-    return words.unionByName(sizes.select(*keys, F.lit(None).cast("string").alias("word"), "df"))
+    return words.unionByName(sizes.select(*keys, F.lit(None).cast("string").alias("word"), F.col("n_docs").alias("df")))
 
 
 def frequency_state_in_place(rows: DataFrame, *keys: str) -> DataFrame:
@@ -103,10 +108,11 @@ def state_frequency(state: DataFrame) -> DataFrame:
     return state.where("word IS NOT NULL")
 
 
-def state_idf(state: DataFrame, min_doc_pct: float = 0.0) -> DataFrame:
+def state_idf(state: DataFrame, min_doc_pct: float = 0.0, n_docs: DataFrame | None = None) -> DataFrame:
     """``word, df, idf`` of the terms in at least ``min_doc_pct`` percent of the documents of
-    a state; a merged one should be staged, as it is read twice."""
-    df, n_docs = state_frequency(state), state_size(state)
+    a state; a merged one should be staged, as it is read twice. Where ``n_docs``, one row, is known,
+    it is not looked for among the words."""
+    df, n_docs = state_frequency(state), state_size(state) if n_docs is None else n_docs
     if min_doc_pct > 0:
         df = prune_vocabulary(df, n_docs, min_doc_pct)
     return inverse_document_frequency(df, n_docs)

@@ -15,14 +15,16 @@ from textfeat.sources import datasets
 
 @dataclass(frozen=True)
 class Corpus:
-    """Results of counting: ``counts`` of documents from staged tables, merged frequency ``state``."""
+    """Results of counting: ``counts`` of documents from staged tables, merged frequency ``state``, and
+    ``n_docs``, one row, where it is known without a pass over the words."""
 
     counts: DataFrame
     state: DataFrame
+    n_docs: DataFrame | None = None
 
     @property
     def size(self) -> DataFrame:
-        return weights.state_size(self.state)
+        return weights.state_size(self.state) if self.n_docs is None else self.n_docs
 
     @property
     def tf(self) -> DataFrame:
@@ -30,7 +32,7 @@ class Corpus:
 
     def vocabulary(self, min_doc_pct: float = 0.0) -> DataFrame:
         """``word, df, idf`` of the terms in at least ``min_doc_pct`` percent of documents."""
-        return weights.state_idf(self.state, min_doc_pct)
+        return weights.state_idf(self.state, min_doc_pct, self.n_docs)
 
     def release(self) -> None:
         """Delete the staged tables when nothing is to be read from the corpus any more."""
@@ -56,13 +58,15 @@ def count_corpus(
     come from their staged counts. Of an unmerged state each reader computes its own part, so it
     is staged only where ``earlier`` is merged in.
     """
-    counts = terms.term_counts(docs, body, stop_words, keep_empty, with_max=True)
-    state = weights.frequency_state(counts)
+    counts, sizes = terms.sized_counts(docs, body, stop_words, keep_empty)
+    state = weights.sized_state(counts, sizes)
     if store is not None:
         store.add(counts, batch)
         state = stage(store.state(), "state")
     elif earlier is not None:
         state = stage(weights.merge_states(earlier, state), "state")
+    else:
+        return Corpus(counts, state, sizes)
     return Corpus(counts, state)
 
 
