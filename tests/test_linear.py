@@ -163,3 +163,25 @@ def test_scoring_holds_no_more_for_a_longer_batch():
         return held
 
     assert peak(10_000) < 1.2 * peak(2_000) < 20_000_000
+
+
+def test_fits_of_a_training_set_read_it_alone(spark, table, monkeypatch):
+    """Settings that learn from one set share it, staged without other rows; it is gone after them."""
+    staged, released, read, real = [], [], [], models.fit
+    real_stage, real_release = models.stage, models.release
+    monkeypatch.setattr(models, "stage", lambda df, label: staged.append(real_stage(df, label)) or staged[-1])
+    monkeypatch.setattr(models, "release", lambda df: released.append(df) or real_release(df))
+
+    def counted(setting, training):
+        stored = spark.read.parquet(*training.inputFiles()).count() if training.inputFiles() else None
+        read.append((stored, training.count()))
+        return real(setting, training)
+
+    monkeypatch.setattr(models, "fit", counted)
+    found = models.evaluate_grid(table, ["art", "sea"], 4, models.regularised_grid()).collect()
+    assert len(found) == 2 * 3 * 4 * 3 and len(read) == 2 * 3 * 4
+    assert all(stored == wanted for stored, wanted in read)
+    assert len(staged) == len(released) == 2 * 3 and {id(s) for s in staged} == {id(r) for r in released}
+    for setting in models.regularised_grid():
+        rows = [r for r in found if (r.subject, r.fold, r.params) == ("art", 0, setting.params)]
+        assert {(r["set"], r.truePos, r.falsePos, r.trueNeg, r.falseNeg) for r in rows} == by_model(table, "art", 0, setting)

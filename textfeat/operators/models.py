@@ -1,8 +1,11 @@
 """Subject classifiers: training, prediction and the evaluation grid."""
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
+from threading import Lock
 from time import perf_counter
 from uuid import NAMESPACE_OID, uuid5
 
@@ -236,15 +239,47 @@ def _naive_bayes_group(table: DataFrame, runs: Sequence[Run], num_folds: int) ->
     ]
 
 
+class _TrainingSets:
+    """Training sets of runs. One that several runs learn from is staged for the first of them, as
+    ``label, features``, and released after the last.
+
+    A fit reads its rows twice. Staged, they are all that it reads, neither the rows of other sets nor
+    the places of documents. Runs come set by set, so few sets are there at a time.
+    """
+
+    def __init__(self, table: DataFrame, runs: Sequence[Run], num_folds: int):
+        self._table, self._num_folds = table, num_folds
+        self._left = Counter((subject, valid_fold) for subject, valid_fold, _ in runs)
+        self._locks = {key: Lock() for key in self._left}
+        self._staged: dict[tuple[str, int], DataFrame] = {}
+
+    @contextmanager
+    def rows(self, *key) -> Iterator[DataFrame]:
+        rows = training_rows(self._table, *key, self._num_folds)
+        try:
+            with self._locks[key]:
+                if key not in self._staged and self._left[key] > 1:
+                    self._staged[key] = stage(rows.select("label", "features"), "training-set")
+                rows = self._staged.get(key, rows)
+            yield rows
+        finally:
+            with self._locks[key]:
+                self._left[key] -= 1
+                if not self._left[key] and key in self._staged:
+                    release(self._staged.pop(key))
+
+
 def _fitted_group(table: DataFrame, runs: Sequence[Run], num_folds: int, parallel_fits: int) -> tuple[list[tuple], list[Exception]]:
     """Result rows of settings that are fitted one by one and scored together, and what failed."""
     spark = table.sparkSession
+    sets = _TrainingSets(table, runs, num_folds)
 
     def run(args: Run):
         subject, valid_fold, setting = args
-        start = perf_counter()
         try:
-            return fit(setting, training_rows(table, subject, valid_fold, num_folds)), perf_counter() - start
+            with sets.rows(subject, valid_fold) as training:
+                start = perf_counter()
+                return fit(setting, training), perf_counter() - start
         except Exception as error:  # raised when the other models are through
             return error
 
